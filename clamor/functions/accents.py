@@ -57,7 +57,7 @@ def _fold_several(char: Column) -> Column:
     """Folding of one character that becomes several."""
     _, _, several = folding_tables()
     keys = F.lit("".join(several))
-    values = F.array(*[F.lit(v) for v in several.values()])
+    values = F.split(F.lit("\n".join(several.values())), "\n")
     syllable = F.ascii(char) - HANGUL_FIRST
     lead = F.substring(F.lit("".join(chr(0x1100 + i) for i in range(19))),
                        F.floor(syllable / 588).cast("int") + 1, F.lit(1))

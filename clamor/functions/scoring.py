@@ -47,16 +47,24 @@ def _token_codes() -> dict[str, int]:
     return codes
 
 
-def token_code(piece: Column) -> Column:
-    """Role and value of a scored piece as one integer."""
-    literal = F.create_map(*[F.lit(x) for pair in _token_codes().items() for x in pair])
-    return F.when(is_punctuation(piece), BREAK_CODE).otherwise(
-        F.try_element_at(literal, piece)
+def token_codes(hits: str) -> Column:
+    """Role and value of each scored piece as one integer."""
+    codes = lx.map_of(_token_codes(), "int")
+    return F.expr(
+        f"transform({hits}, p -> CASE WHEN {is_punctuation('p')} THEN {BREAK_CODE} "
+        f"ELSE try_element_at({codes}, p) END)"
     )
 
 
-def is_scored(piece: Column) -> Column:
-    return lx.one_of(piece, lx.scored_tokens) | is_punctuation(piece)
+def scored(found: str) -> Column:
+    """Pieces or tokens with a role in the score."""
+    return F.expr(
+        f"filter({found}, p -> p {lx.in_list(lx.scored_tokens)} OR {is_punctuation('p')})"
+    )
+
+
+def opinion_words(found: str) -> Column:
+    return F.expr(f"filter({found}, p -> p {lx.in_list(lx.active_opinions)})")
 
 
 def clamp(value: Column) -> Column:
@@ -123,22 +131,31 @@ def with_scores(df: DataFrame, text: str = "text") -> DataFrame:
     """Add sentiment, score, raw_score, confidence, tokens, opinions,
     decisions and keywords for the text of each row."""
     hits, words, raw = F.col("_hits"), F.col("_words"), F.col("_raw")
-    folded = raw_score(F.transform(hits, token_code))
+    folded = raw_score(token_codes("_hits"))
+    kept = [F.col(c) for c in df.columns]
     return (
         with_pieces(df, text, "_pieces")
-        .withColumn("_hits", F.filter("_pieces", is_scored))
-        .withColumn("tokens", F.size("_pieces"))
-        .withColumn("decisions", F.size(hits))
-        .withColumn("_words", F.filter(hits, lx.is_opinion))
-        .withColumn("opinions", F.size(words))
-        .withColumn("keywords", F.slice(words, 1, MAX_KEYWORDS))
-        .withColumn("_raw", F.when(F.size(words) > 0, folded).otherwise(0.0))
+        .withColumns({"_hits": scored("_pieces"), "tokens": F.size("_pieces")})
+        .withColumns({"_words": opinion_words("_hits"), "decisions": F.size(hits)})
+        .withColumns(
+            {
+                "opinions": F.size(words),
+                "keywords": F.slice(words, 1, MAX_KEYWORDS),
+                "_raw": F.when(F.size(words) > 0, folded).otherwise(0.0),
+            }
+        )
         .withColumn("_squashed", squash(raw))
-        .withColumn("sentiment", sentiment_class(F.col("_squashed")))
-        .withColumn("score", F.round("_squashed", 6))
-        .withColumn("raw_score", F.round(raw, 6))
-        .withColumn("confidence", confidence(raw, F.col("opinions")))
-        .drop("_pieces", "_hits", "_words", "_raw", "_squashed")
+        .select(
+            *kept,
+            sentiment_class(F.col("_squashed")).alias("sentiment"),
+            F.round("_squashed", 6).alias("score"),
+            F.round(raw, 6).alias("raw_score"),
+            confidence(raw, F.col("opinions")).alias("confidence"),
+            "tokens",
+            "opinions",
+            "decisions",
+            "keywords",
+        )
     )
 
 
@@ -147,23 +164,21 @@ def with_scores(df: DataFrame, text: str = "text") -> DataFrame:
 # --------------------------------------------------------------------------
 
 
-def clause_array(tokens: Column, scored_only: bool = False) -> Column:
+def clause_array(tokens: str, scored_only: bool = False) -> Column:
     """Tokens cut into clauses: array of (clause, depth, items).
 
     ``clause`` counts the breaks before, ``depth`` the contrast words before.
     An item is ``position:token``; a break is the first item of the clause it
-    opens; with ``scored_only`` other tokens are left out.  Two nested splits keep the cost linear in the length of the text
-    (tokens hold neither ``|``, ``/`` nor ``:``).
+    opens; with ``scored_only`` other tokens are left out.  Two nested splits
+    keep the cost linear in the length of the text (tokens hold neither ``|``,
+    ``/`` nor ``:``).
     """
-
-    def item(token: Column, position: Column) -> Column:
-        mark = (
-            F.when(lx.is_contrast(token), "|").when(lx.is_clause_break(token), "/").otherwise("")
-        )
-        entry = F.concat(mark, position.cast("string"), F.lit(":"), token)
-        return F.when(lx.one_of(token, lx.scored_tokens), entry) if scored_only else entry
-
-    marked = F.array_join(F.transform(tokens, item), " ")
+    kept = f"t {lx.in_list(lx.scored_tokens)}" if scored_only else "true"
+    marked = F.expr(
+        f"array_join(transform({tokens}, (t, i) -> CASE WHEN {kept} THEN concat("
+        f"CASE WHEN t {lx.in_list(lx.contrasts)} THEN '|' "
+        f"WHEN t {lx.in_list(lx.clause_breaks)} THEN '/' ELSE '' END, i, ':', t) END), ' ')"
+    )
 
     def clauses_of(segment: Column, depth: Column) -> Column:
         return F.transform(
@@ -219,7 +234,7 @@ def clause_opinions(items: Column) -> Column:
         return F.struct(
             (state["negated"] | lx.is_negator(token)).alias("negated"),
             (state["factor"] * F.coalesce(lx.modifier_factor(token), F.lit(1.0))).alias("factor"),
-            F.when(lx.is_opinion(token), F.concat(state["found"], F.array(opinion)))
+            F.when(weight.isNotNull(), F.concat(state["found"], F.array(opinion)))
             .otherwise(state["found"])
             .alias("found"),
         )
@@ -231,7 +246,7 @@ def with_clauses(df: DataFrame, text: str = "text", scored_only: bool = False) -
     """One row per clause of each text: adds clause, depth and items."""
     return (
         with_tokens(df, text, "_tokens")
-        .withColumn("_clause", F.explode(clause_array(F.col("_tokens"), scored_only)))
+        .withColumn("_clause", F.explode(clause_array("_tokens", scored_only)))
         .withColumns({n: F.col("_clause")[n] for n in ("clause", "depth", "items")})
         .drop("_tokens", "_clause")
     )
@@ -239,7 +254,9 @@ def with_clauses(df: DataFrame, text: str = "text", scored_only: bool = False) -
 
 def with_opinions(df: DataFrame, text: str = "text") -> DataFrame:
     """One row per clause that holds an opinion, with the array ``found``."""
-    holds_opinion = F.exists("items", lambda i: lx.is_opinion(item_token(i)))
+    holds_opinion = F.expr(
+        f"exists(items, i -> substring_index(i, ':', -1) {lx.in_list(lx.active_opinions)})"
+    )
     return (
         with_clauses(df, text, scored_only=True)
         .where(holds_opinion)

@@ -23,7 +23,7 @@ from clamor.functions.lexicon import (
     CONTRAST_TOKEN,
     PAUSE_TOKEN,
     PHRASES,
-    one_of,
+    in_list,
     stopwords,
 )
 
@@ -59,20 +59,17 @@ def pieces(clean: Column) -> Column:
     return F.regexp_extract_all(clean, F.lit(PIECES), F.lit(0))
 
 
-def is_punctuation(piece: Column) -> Column:
-    return one_of(F.substring(piece, 1, 1), ".!?;:,")
+def is_punctuation(piece: str) -> str:
+    """SQL condition on a piece."""
+    return f"substring({piece}, 1, 1) {in_list('.!?;:,')}"
 
 
-def as_token(piece: Column) -> Column:
-    """A punctuation run as its sentinel, a word as it is."""
-    sentinel = F.when(piece.startswith(","), COMMA_TOKEN).otherwise(PAUSE_TOKEN)
-    return F.when(is_punctuation(piece), sentinel).otherwise(piece)
-
-
-def may_hold_phrase(clean: Column) -> Column:
-    """False only if no two-word connector can occur in the text."""
-    pairs = [phrase.split() for phrase in PHRASES]
-    return reduce(lambda a, b: a | b, [clean.contains(x) & clean.contains(y) for x, y in pairs])
+def as_tokens(found: str) -> Column:
+    """Pieces with each punctuation run as its sentinel."""
+    return F.expr(
+        f"transform({found}, p -> CASE WHEN startswith(p, ',') THEN '{COMMA_TOKEN}' "
+        f"WHEN {is_punctuation('p')} THEN '{PAUSE_TOKEN}' ELSE p END)"
+    )
 
 
 def collapse_phrases(joined: Column) -> Column:
@@ -81,10 +78,24 @@ def collapse_phrases(joined: Column) -> Column:
     return reduce(lambda t, phrase: F.replace(t, F.lit(phrase), marker), PHRASES, joined)
 
 
-def meaningful(found: Column) -> Column:
+def collapsed_pieces(found: str, clean: str) -> Column:
+    """Pieces with connectors collapsed.
+
+    Only texts that hold both words of a connector are joined and split again.
+    """
+    pairs = [phrase.split() for phrase in PHRASES]
+    possible = " OR ".join(
+        f"(contains({clean}, '{x}') AND contains({clean}, '{y}'))" for x, y in pairs
+    )
+    joined = collapse_phrases(F.array_join(found, " "))
+    return F.when(F.expr(possible), F.split(joined, " ")).otherwise(F.col(found))
+
+
+def meaningful(found: str) -> Column:
     """Punctuation, and words of two characters or more but stopwords."""
-    return F.filter(
-        found, lambda p: ((F.length(p) > 1) | is_punctuation(p)) & ~one_of(p, stopwords)
+    return F.expr(
+        f"filter({found}, p -> (length(p) > 1 OR {is_punctuation('p')}) "
+        f"AND NOT p {in_list(stopwords)})"
     )
 
 
@@ -108,39 +119,31 @@ def work_bound(n: Column) -> Column:
 
 
 def with_clean(df: DataFrame, text: str, out: str) -> DataFrame:
-    return (
-        df.withColumn("_folded", fold(F.col(text)))
-        .withColumn(out, drop_links(F.col("_folded")))
-        .drop("_folded")
-    )
+    folded = df.withColumn("_folded", fold(F.col(text)))
+    return folded.withColumn(out, drop_links(F.col("_folded"))).drop("_folded")
 
 
 def with_normalized(df: DataFrame, text: str = "text", out: str = "normalized") -> DataFrame:
     """Lower case, no accents, links or users; clause punctuation as sentinels."""
     return (
         with_clean(df, text, "_clean")
-        .withColumn(out, F.array_join(F.transform(pieces(F.col("_clean")), as_token), " "))
-        .drop("_clean")
+        .withColumn("_found", pieces(F.col("_clean")))
+        .withColumn(out, F.array_join(as_tokens("_found"), " "))
+        .drop("_clean", "_found")
     )
 
 
 def with_pieces(df: DataFrame, text: str = "text", out: str = "pieces") -> DataFrame:
     """Meaningful words and punctuation runs, connectors collapsed."""
-    found, clean = F.col("_found"), F.col("_clean")
-    collapsed = F.split(collapse_phrases(F.array_join(found, " ")), " ")
     return (
         with_clean(df, text, "_clean")
-        .withColumn("_found", pieces(clean))
-        .withColumn("_found", F.when(may_hold_phrase(clean), collapsed).otherwise(found))
-        .withColumn(out, meaningful(found))
+        .withColumn("_found", pieces(F.col("_clean")))
+        .withColumn("_found", collapsed_pieces("_found", "_clean"))
+        .withColumn(out, meaningful("_found"))
         .drop("_clean", "_found")
     )
 
 
 def with_tokens(df: DataFrame, text: str = "text", out: str = "tokens") -> DataFrame:
     """Meaningful tokens in text order, repeats kept, punctuation as sentinels."""
-    return (
-        with_pieces(df, text, "_pieces")
-        .withColumn(out, F.transform("_pieces", as_token))
-        .drop("_pieces")
-    )
+    return with_pieces(df, text, "_pieces").withColumn(out, as_tokens("_pieces")).drop("_pieces")

@@ -16,6 +16,8 @@ from clamor.functions.scoring import (
     clause_opinions,
     item_position,
     item_token,
+    opinion_words,
+    scored,
     with_clauses,
     with_opinions,
 )
@@ -23,8 +25,13 @@ from clamor.functions.text import with_tokens, work_bound
 
 
 def token_rows(df: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
-    """One row per token: keys, pos, token."""
-    return with_tokens(df, text).select(*keys, F.posexplode("tokens").alias("pos", "token"))
+    """One row per token: keys, pos, token.
+
+    The outer form keeps Spark from testing the size of the list beforehand: it
+    would move that test below the projections and build the list twice.
+    """
+    found = with_tokens(df, text).select(*keys, F.posexplode_outer("tokens").alias("pos", "token"))
+    return found.where(F.col("token").isNotNull())
 
 
 def token_lexicon(df: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
@@ -40,14 +47,13 @@ def token_lexicon(df: DataFrame, keys: list[str], text: str = "text") -> DataFra
 
 def token_stats(df: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
     """Tokens, decisions, opinions per text and the n log n bound of tokens."""
-    tokens = F.col("_tokens")
     return (
         with_tokens(df, text, "_tokens")
         .select(
             *keys,
-            F.size(tokens).alias("tokens"),
-            F.size(F.filter(tokens, lambda t: lx.one_of(t, lx.scored_tokens))).alias("decisions"),
-            F.size(F.filter(tokens, lx.is_opinion)).alias("opinions"),
+            F.size("_tokens").alias("tokens"),
+            F.size(scored("_tokens")).alias("decisions"),
+            F.size(opinion_words("_tokens")).alias("opinions"),
         )
         .withColumn("bound", work_bound(F.col("tokens")))
     )
@@ -70,7 +76,7 @@ def clauses(df: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
 
 def opinions(df: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
     """Every opinion with its clause, its scope and its signed weight."""
-    return with_opinions(df, text).select(*keys, "clause", "depth", F.inline("found"))
+    return with_opinions(df, text).select(*keys, "clause", "depth", F.inline_outer("found"))
 
 
 def _add(array: Column, value) -> Column:
@@ -122,7 +128,7 @@ def raw_scores(df: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
 
     return (
         with_tokens(df, text, "_tokens")
-        .withColumn("_clauses", clause_array(F.col("_tokens"), scored_only=True))
+        .withColumn("_clauses", clause_array("_tokens", scored_only=True))
         .select(*keys, F.round(_add(F.col("_clauses"), clause_value), 6).alias("raw_score"))
     )
 
@@ -146,8 +152,9 @@ def opinions_ranked(df: DataFrame, keys: list[str], text: str = "text") -> DataF
     )
     return (
         with_tokens(df, text, "_tokens")
-        .withColumn("_clauses", clause_array(F.col("_tokens"), scored_only=True))
-        .select(*keys, F.posexplode(by_strength).alias("_rank", "o"))
+        .withColumn("_clauses", clause_array("_tokens", scored_only=True))
+        .select(*keys, F.posexplode_outer(by_strength).alias("_rank", "o"))
+        .where(F.col("o").isNotNull())
         .select(
             *keys,
             (F.col("_rank") + 1).alias("strength_rank"),

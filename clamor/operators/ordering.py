@@ -26,7 +26,8 @@ def keyword_topk(facts: DataFrame, k: int = 5) -> DataFrame:
     drop the rest of a batch in every task before the shuffle.
     """
     counted = (
-        facts.select("batch_id", F.explode("keywords").alias("keyword"))
+        facts.select("batch_id", F.explode_outer("keywords").alias("keyword"))
+        .where(F.col("keyword").isNotNull())
         .groupBy("batch_id", "keyword")
         .agg(F.count("*").alias("mentions"))
     )

@@ -6,7 +6,7 @@ and ``turn_mentions`` take whole documents and conversation turns as texts.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clamor.session import configure, spread
@@ -42,33 +42,40 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def pick(values: list[str], index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
+def _quoted(values: list[str]) -> str:
+    return ", ".join("'" + v.replace("'", "\\'") + "'" for v in values)
+
+
+def pick(values: list[str], index: str) -> str:
+    """SQL expression: the value at an index from 0."""
+    return f"element_at(array({_quoted(values)}), CAST({index} + 1 AS INT))"
+
+
+def phrase(index: str) -> str:
+    return pick([text for text, _ in PHRASES], f"{index} % 20")
 
 
 def mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One mention per event."""
-    n = F.col("event_id")
+    label = pick([label for _, label in PHRASES], "event_id % 20")
     events = spread(table(spark, sf_dir, "events"), "event_id")
-    return events.select(
-        F.concat(F.lit("m"), n).alias("mention_id"),
-        F.col("ts").cast("timestamp").alias("ts"),
-        pick(BRANDS, n % 3).alias("brand"),
-        F.when(n % 4 == 1, "").when(n % 4 == 2, "feed_a").when(n % 4 == 3, "feed_b").alias("source"),
-        F.col("event_type").alias("platform"),
-        F.concat(F.lit("user_"), F.col("user_id")).alias("author"),
-        (F.col("user_id") * 37 % 9000).cast("int").alias("author_followers"),
-        pick([text for text, _ in PHRASES], n % 20).alias("text"),
-        F.when(n % 5 == 0, None).when(n % 2 == 0, "en").otherwise("es").alias("lang"),
-        F.when(n % 4 == 1, F.array(F.lit("launch")))
-        .when(n % 4 == 2, F.array(F.lit("launch"), F.lit("review")))
-        .when(n % 4 == 3, F.array(F.lit("review"), F.lit("review")))
-        .alias("hashtags"),
-        (n % 50).cast("int").alias("likes"),
-        (n % 7).cast("int").alias("shares"),
-        F.when(n % 7 != 3, pick([label for _, label in PHRASES], n % 20)).alias("expected"),
-        F.floor(n / ROWS_PER_BATCH).cast("long").alias("batch_id"),
-        F.col("ts").cast("timestamp").alias("processed_at"),
+    return events.selectExpr(
+        "concat('m', event_id) AS mention_id",
+        "CAST(ts AS timestamp) AS ts",
+        f"{pick(BRANDS, 'event_id % 3')} AS brand",
+        "CASE event_id % 4 WHEN 1 THEN '' WHEN 2 THEN 'feed_a' WHEN 3 THEN 'feed_b' END AS source",
+        "event_type AS platform",
+        "concat('user_', user_id) AS author",
+        "CAST(user_id * 37 % 9000 AS INT) AS author_followers",
+        f"{phrase('event_id')} AS text",
+        "CASE WHEN event_id % 5 = 0 THEN NULL WHEN event_id % 2 = 0 THEN 'en' ELSE 'es' END AS lang",
+        "CASE event_id % 4 WHEN 1 THEN array('launch') WHEN 2 THEN array('launch', 'review') "
+        "WHEN 3 THEN array('review', 'review') END AS hashtags",
+        "CAST(event_id % 50 AS INT) AS likes",
+        "CAST(event_id % 7 AS INT) AS shares",
+        f"CASE WHEN event_id % 7 <> 3 THEN {label} END AS expected",
+        f"event_id DIV {ROWS_PER_BATCH} AS batch_id",
+        "CAST(ts AS timestamp) AS processed_at",
     )
 
 
@@ -90,21 +97,19 @@ def raw_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def document_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole documents, each followed by a phrase, as (mention_id, text)."""
     documents = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
-    phrase = pick([text for text, _ in PHRASES], F.col("doc_id") % 20)
-    return documents.select(
-        F.concat(F.lit("d"), F.col("doc_id")).alias("mention_id"),
-        F.concat_ws(" ", "text", phrase).alias("text"),
+    return documents.selectExpr(
+        "concat('d', doc_id) AS mention_id",
+        f"concat_ws(' ', text, {phrase('doc_id')}) AS text",
     )
 
 
 def turn_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversation turns, each followed by a phrase; roles act as platforms."""
     turns = spread(table(spark, sf_dir, "conversations"), "conv_id")
-    n = F.col("conv_id") + F.col("turn")
-    return turns.select(
-        F.concat(F.lit("c"), F.col("conv_id"), F.lit("_"), F.col("turn")).alias("mention_id"),
-        pick(BRANDS, F.col("conv_id") % 3).alias("brand"),
-        F.col("role").alias("platform"),
-        F.concat(F.lit("conv_"), F.col("conv_id")).alias("author"),
-        F.concat_ws(" ", "text", pick([text for text, _ in PHRASES], n % 20)).alias("text"),
+    return turns.selectExpr(
+        "concat('c', conv_id, '_', turn) AS mention_id",
+        f"{pick(BRANDS, 'conv_id % 3')} AS brand",
+        "role AS platform",
+        "concat('conv_', conv_id) AS author",
+        f"concat_ws(' ', text, {phrase('(conv_id + turn)')}) AS text",
     )

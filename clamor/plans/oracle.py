@@ -285,7 +285,7 @@ session AS (
          count(*) FILTER (WHERE sentiment = 'POSITIVO') AS pos,
          count(*) FILTER (WHERE sentiment = 'NEUTRAL') AS neu,
          count(*) FILTER (WHERE sentiment = 'NEGATIVO') AS neg,
-         max(strftime(ts, '%Y%m%d%H%M%S%f') || lpad(mention_id, 20) || lpad(CAST(touch AS VARCHAR), 3, '0')) AS last_touch
+         max(strftime(ts, '%Y%m%d%H%M%S%f') || lpad(mention_id, 20, '#') || lpad(CAST(touch AS VARCHAR), 3, '0')) AS last_touch
   FROM touches GROUP BY src, dst, rel, name
 ),
 classed AS (

@@ -19,14 +19,12 @@ from clamor.streaming import job
 BRAND = "acme"
 # Longer than the time the test events cover, as files come in any order.
 DELAY = "40 days"
+ROWS_PER_FILE = 1_000_000
 
 
-def message_files(spark: SparkSession, rows: DataFrame, folder: str) -> int:
-    """Write messages as a handful of files or more; files per trigger for a
-    few batches whatever the size."""
-    write_files(rows, folder, max(5000, rows.count() // 8))
-    files = len(spark.read.text(folder).inputFiles())
-    return max(2, files // 3)
+def few_batches(spark: SparkSession, folder: str) -> int:
+    """Files per trigger that make about three batches of a folder."""
+    return max(1, -(-len(spark.read.text(folder).inputFiles()) // 3))
 
 
 def broken_lines(rows: DataFrame, folder: str) -> None:
@@ -50,11 +48,11 @@ def drained_store(spark: SparkSession, sf: str) -> MentionStore:
     """All raw mentions, copies of some in files of their own, broken lines."""
     folder = work_folder(spark, "messages")
     rows = fx.raw_mentions(spark, sf)
-    per_trigger = message_files(spark, rows, folder)
-    write_files(copies_of(rows), folder, 5000)
+    write_files(rows, folder, ROWS_PER_FILE)
+    write_files(copies_of(rows), folder, ROWS_PER_FILE)
     broken_lines(copies_of(rows), folder)
     root = work_folder(spark, "store")
-    run_job(spark, folder, per_trigger, root, work_folder(spark, "checkpoint"))
+    run_job(spark, folder, few_batches(spark, folder), root, work_folder(spark, "checkpoint"))
     return MentionStore(spark, root)
 
 
@@ -63,10 +61,10 @@ FACTS = ["mention_id", "brand", "source", "platform", "author", "sentiment", "sc
 
 def stream_source(spark, sf):
     folder = work_folder(spark, "messages")
-    per_trigger = message_files(spark, fx.raw_mentions(spark, sf), folder)
+    write_files(fx.raw_mentions(spark, sf), folder, ROWS_PER_FILE)
     out, checkpoint = work_folder(spark, "table"), work_folder(spark, "checkpoint")
     query = (
-        valid_rows(decode(file_stream(spark, folder, per_trigger)))
+        valid_rows(decode(file_stream(spark, folder, few_batches(spark, folder))))
         .writeStream.format("parquet")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
@@ -86,11 +84,11 @@ def stream_restart(spark, sf):
     checkpoint = work_folder(spark, "checkpoint")
     rows = fx.raw_mentions(spark, sf)
     early = F.col("batch_id") % 3 == 0
-    per_trigger = message_files(spark, rows.where(early), folder)
-    run_job(spark, folder, per_trigger, root, checkpoint)
-    write_files(rows.where(~early), folder, 5000 * 1000)
-    write_files(copies_of(rows), folder, 5000 * 1000)
-    run_job(spark, folder, per_trigger * 2, root, checkpoint)
+    write_files(rows.where(early), folder, ROWS_PER_FILE)
+    run_job(spark, folder, few_batches(spark, folder), root, checkpoint)
+    write_files(rows.where(~early), folder, ROWS_PER_FILE)
+    write_files(copies_of(rows), folder, ROWS_PER_FILE)
+    run_job(spark, folder, few_batches(spark, folder), root, checkpoint)
     store = MentionStore(spark, root)
     runs = store.read("batch_stats").select("run_id").distinct().agg(F.count("*")).scalar()
     return store.read("mentions").select(*FACTS, runs.alias("runs"))
@@ -139,17 +137,18 @@ def stream_graph(spark, sf):
     folder, root = work_folder(spark, "messages"), work_folder(spark, "store")
     accepted, _ = split_rejects(rows.where(F.col("batch_id") % 4 == 0))
     MentionStore(spark, root).load_history(mention_facts(dedupe(accepted), ("processed_at",)))
-    per_trigger = message_files(spark, rows, folder)
-    run_job(spark, folder, per_trigger, root, work_folder(spark, "checkpoint"))
+    write_files(rows, folder, ROWS_PER_FILE)
+    run_job(spark, folder, few_batches(spark, folder), root, work_folder(spark, "checkpoint"))
     _, edges = MentionStore(spark, root).graph()
     return edges
 
 
 def stream_buckets(spark, sf):
     folder, out = work_folder(spark, "messages"), work_folder(spark, "table")
-    per_trigger = message_files(spark, fx.mentions(spark, sf), folder)
+    write_files(fx.mentions(spark, sf), folder, ROWS_PER_FILE)
     job.use_state_settings(spark)
-    counted = job.live_buckets(valid_rows(decode(file_stream(spark, folder, per_trigger))), DELAY)
+    arriving = valid_rows(decode(file_stream(spark, folder, few_batches(spark, folder))))
+    counted = job.live_buckets(arriving, DELAY)
     job.write_live_buckets(counted, out, work_folder(spark, "checkpoint")).awaitTermination()
     return job.read_live_buckets(spark, out).withColumn("bucket", F.col("bucket").cast("string"))
 
@@ -157,10 +156,11 @@ def stream_buckets(spark, sf):
 def stream_dedup(spark, sf):
     folder, out = work_folder(spark, "messages"), work_folder(spark, "table")
     rows = fx.raw_mentions(spark, sf)
-    per_trigger = message_files(spark, rows, folder)
-    write_files(copies_of(rows), folder, 5000 * 1000)
+    write_files(rows, folder, ROWS_PER_FILE)
+    write_files(copies_of(rows), folder, ROWS_PER_FILE)
     job.use_state_settings(spark)
-    unique = job.unique_stream(valid_rows(decode(file_stream(spark, folder, per_trigger))), DELAY)
+    arriving = valid_rows(decode(file_stream(spark, folder, few_batches(spark, folder))))
+    unique = job.unique_stream(arriving, DELAY)
     query = (
         unique.writeStream.format("parquet")
         .option("checkpointLocation", work_folder(spark, "checkpoint"))
