@@ -29,9 +29,6 @@ MAX_KEYWORDS = 4
 POSITIVE, NEUTRAL, NEGATIVE = "POSITIVO", "NEUTRAL", "NEGATIVO"
 CLASSES = [POSITIVE, NEUTRAL, NEGATIVE]
 
-# Keeps the gain finite in texts with a thousand contrast words or more.
-GAIN_CEILING = 1e300
-
 # One integer per scored token, so that the fold compares numbers only:
 # opinion weights in hundredths, then factors, then the structural roles.
 FACTOR_BASE, NEGATOR_CODE, BREAK_CODE, CONTRAST_CODE = 1000, 2000, 3000, 4000
@@ -89,17 +86,26 @@ def confidence(raw: Column, opinions: Column) -> Column:
     return F.round(magnitude * (CONFIDENCE_BASE + CONFIDENCE_SUPPORT * support), 4)
 
 
+def gained(value: Column, depth: Column) -> Column:
+    """Value times the contrast gain, which may overflow, but never to NaN."""
+    return F.when(value == 0, 0.0).otherwise(value * F.pow(F.lit(CONTRAST_GAIN), depth))
+
+
 def raw_score(codes: Column) -> Column:
-    """Sum of the scoped weights over an array of token codes."""
+    """Sum of the scoped weights over an array of token codes.
+
+    The sum is kept relative to the gain of the current depth: a contrast word
+    divides what came before.  It stays finite for any number of them.
+    """
     start = F.struct(
         F.lit(False).alias("negated"),
         F.lit(1.0).alias("factor"),
-        F.lit(1.0).alias("gain"),
+        F.lit(0).alias("depth"),
         F.lit(0.0).alias("raw"),
     )
 
     def step(state: Column, code: Column) -> Column:
-        breaks = code >= BREAK_CODE
+        breaks, contrast = code >= BREAK_CODE, code == CONTRAST_CODE
         sign = F.when(state["negated"], -1.0).otherwise(1.0)
         weight = clamp(sign * (code / F.lit(100.0)) * state["factor"])
         return F.struct(
@@ -113,18 +119,14 @@ def raw_score(codes: Column) -> Column:
             )
             .otherwise(state["factor"])
             .alias("factor"),
-            F.when(
-                code == CONTRAST_CODE,
-                F.least(F.lit(GAIN_CEILING), state["gain"] * CONTRAST_GAIN),
-            )
-            .otherwise(state["gain"])
-            .alias("gain"),
-            F.when(code < FACTOR_BASE, state["raw"] + state["gain"] * weight)
+            F.when(contrast, state["depth"] + 1).otherwise(state["depth"]).alias("depth"),
+            F.when(contrast, state["raw"] / CONTRAST_GAIN)
+            .when(code < FACTOR_BASE, state["raw"] + weight)
             .otherwise(state["raw"])
             .alias("raw"),
         )
 
-    return F.aggregate(codes, start, step, lambda state: state["raw"])
+    return F.aggregate(codes, start, step, lambda state: gained(state["raw"], state["depth"]))
 
 
 def with_scores(df: DataFrame, text: str = "text") -> DataFrame:

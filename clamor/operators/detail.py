@@ -14,6 +14,7 @@ from clamor.functions.scoring import (
     CONTRAST_GAIN,
     clause_array,
     clause_opinions,
+    gained,
     item_position,
     item_token,
     opinion_words,
@@ -110,7 +111,7 @@ def clause_breakdown(df: DataFrame, keys: list[str], text: str = "text") -> Data
             F.col("_top")["token"].alias("dominant"),
             F.round(F.col("_top")["signed_weight"], 4).alias("dominant_weight"),
             F.round("_gain", 4).alias("gain"),
-            F.round(F.col("_sum") * F.col("_gain"), 4).alias("weighted"),
+            F.round(gained(F.col("_sum"), F.col("depth")), 4).alias("weighted"),
             (F.col("depth") > 0).alias("is_contrast"),
             F.exists(found, lambda o: o["negated"]).alias("is_negated"),
         )
@@ -120,16 +121,21 @@ def clause_breakdown(df: DataFrame, keys: list[str], text: str = "text") -> Data
 def raw_scores(df: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
     """Raw score per text, summed from its clauses (0 without an opinion).
 
-    The clause detail of a text stays in its row until it is added up.
+    The clauses of a text stay in its row until they are added up, each
+    relative to the last one, whose gain is the largest.
     """
+    last = F.col("_last")
+
     def clause_value(clause: Column) -> Column:
         total = _add(clause_opinions(clause["items"]), lambda o: o["signed_weight"])
-        return total * F.pow(F.lit(CONTRAST_GAIN), clause["depth"])
+        return total * F.pow(F.lit(CONTRAST_GAIN), clause["depth"] - last)
 
     return (
         with_tokens(df, text, "_tokens")
         .withColumn("_clauses", clause_array("_tokens", scored_only=True))
-        .select(*keys, F.round(_add(F.col("_clauses"), clause_value), 6).alias("raw_score"))
+        .withColumn("_last", F.element_at("_clauses", -1)["depth"])
+        .withColumn("_sum", _add(F.col("_clauses"), clause_value))
+        .select(*keys, F.round(gained(F.col("_sum"), last), 6).alias("raw_score"))
     )
 
 

@@ -54,9 +54,11 @@ class MentionStore:
         return "/".join(parts)
 
     def exists(self, path: str) -> bool:
+        """Whether any file or folder matches the path, which may be a glob."""
         jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
         target = jvm.org.apache.hadoop.fs.Path(path)
-        return target.getFileSystem(conf).exists(target)
+        found = target.getFileSystem(conf).globStatus(target)
+        return found is not None and len(found) > 0
 
     def read(self, table: str) -> DataFrame:
         """All rows of a table with their run and batch; empty before the first."""
@@ -77,7 +79,8 @@ class MentionStore:
         rows.select(*names).write.mode("overwrite").parquet(self.path(table, run_id, batch_id))
 
     def is_complete(self, run_id: str, batch_id: int) -> bool:
-        return self.exists(f"{self.path('batch_stats', run_id, batch_id)}/_SUCCESS")
+        """True once the record of a batch, its last table, is committed."""
+        return self.exists(f"{self.path('batch_stats', run_id, batch_id)}/part-*")
 
     def known_ids(self, run_id: str, batch_id: int) -> DataFrame:
         """Ids of all stored mentions but those of this batch, from a scan of
