@@ -324,10 +324,10 @@ def neighbourhood(
 ) -> tuple[DataFrame, DataFrame]:
     """A node, its neighbours either way, and the edges that connect them."""
     connecting = edges.where((F.col("src") == centre) | (F.col("dst") == centre))
-    ends = F.explode(F.array("src", "dst")).alias("node_id")
-    members = nodes.join(connecting.select(ends), "node_id", "left_semi")
-    alone = nodes.where(F.col("node_id") == centre)
-    return members.unionByName(alone).dropDuplicates(["node_id"]), connecting
+    ends = connecting.select(F.explode(F.array("src", "dst")).alias("node_id"))
+    itself = nodes.sparkSession.range(1).select(F.lit(centre).alias("node_id"))
+    members = nodes.join(ends.unionByName(itself).distinct(), "node_id", "left_semi")
+    return members, connecting
 
 
 def brand_neighbours(edges: DataFrame, limit: int = 100) -> DataFrame:

@@ -76,13 +76,13 @@ def without_known(messages: DataFrame, known: DataFrame, few_rows: bool) -> Data
 
     ``known`` is the whole history.  If the caller has counted ``messages`` and
     found few rows, their ids are sent to the history scan, which then ships
-    back at most as many ids; the history itself is never shuffled.
+    back at most as many ids; the history itself is not shuffled.
     """
-    ids = messages.select("mention_id")
+    ids = known.select("mention_id")
     if few_rows:
-        ids = F.broadcast(ids)
-    present = known.select("mention_id").join(ids, "mention_id", "left_semi").distinct()
-    return messages.join(present, "mention_id", "left_anti")
+        wanted = F.broadcast(messages.select("mention_id"))
+        ids = ids.join(wanted, "mention_id", "left_semi").distinct()
+    return messages.join(ids, "mention_id", "left_anti")
 
 
 def correct_flag(expected: str = "expected", sentiment: str = "sentiment") -> Column:

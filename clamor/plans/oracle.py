@@ -277,15 +277,15 @@ touches AS (
   UNION ALL SELECT ts, mention_id, sentiment, 3, 'PLATAFORMA:' || platform, '', '', platform FROM facts
   UNION ALL SELECT ts, mention_id, sentiment, 4, 'USUARIO:' || author, 'PLATAFORMA:' || platform, 'PUBLICA', '' FROM facts
   UNION ALL SELECT ts, mention_id, sentiment, 5, 'MARCA', 'PLATAFORMA:' || platform, 'EN_PLATAFORMA', '' FROM facts
-  UNION ALL SELECT ts, mention_id, sentiment, 5 + generate_subscripts(keywords, 1), 'PALABRA:' || unnest(keywords), '', '', unnest(keywords) FROM facts
-  UNION ALL SELECT ts, mention_id, sentiment, 5 + generate_subscripts(keywords, 1), 'PALABRA:' || unnest(keywords), 'MARCA', 'APARECE_EN', '' FROM facts
+  UNION ALL SELECT ts, mention_id, sentiment, 4 + 2 * generate_subscripts(keywords, 1), 'PALABRA:' || unnest(keywords), '', '', unnest(keywords) FROM facts
+  UNION ALL SELECT ts, mention_id, sentiment, 5 + 2 * generate_subscripts(keywords, 1), 'PALABRA:' || unnest(keywords), 'MARCA', 'APARECE_EN', '' FROM facts
 ),
 session AS (
   SELECT src, dst, rel, name, count(*) AS weight,
          count(*) FILTER (WHERE sentiment = 'POSITIVO') AS pos,
          count(*) FILTER (WHERE sentiment = 'NEUTRAL') AS neu,
          count(*) FILTER (WHERE sentiment = 'NEGATIVO') AS neg,
-         max(strftime(ts, '%Y%m%d%H%M%S%f') || lpad(mention_id, 20, '#') || lpad(CAST(touch AS VARCHAR), 3, '0')) AS last_touch
+         max(epoch_us(ts) * 1000 + touch) AS last_touch
   FROM touches GROUP BY src, dst, rel, name
 ),
 classed AS (
@@ -577,7 +577,7 @@ ORACLE: dict[str, str] = {
         kept AS (
           SELECT src FROM classed WHERE dst = '' AND src = 'MARCA'
           UNION ALL
-          (SELECT src FROM classed WHERE dst = '' AND src <> 'MARCA' ORDER BY last_touch DESC LIMIT 59)
+          (SELECT src FROM classed WHERE dst = '' AND src <> 'MARCA' ORDER BY last_touch DESC, src LIMIT 59)
         )""",
         f"""SELECT {SESSION_LIST} FROM classed WHERE src IN (SELECT src FROM kept)
         AND (dst = '' OR dst IN (SELECT src FROM kept))""",

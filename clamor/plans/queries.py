@@ -427,7 +427,8 @@ def class_accuracy(spark, sf):
 
 
 def latest_mentions(spark, sf):
-    newest = reports.latest_mentions(facts(spark, sf), 200)
+    recent = fx.mentions(spark, sf).orderBy(F.desc("processed_at"), "mention_id").limit(200)
+    newest = reports.latest_mentions(mn.mention_facts(recent, ("processed_at",)), 200)
     return newest.withColumns(
         {
             "ts": F.col("ts").cast("string"),

@@ -94,17 +94,28 @@ class MentionStore:
 
     # Derived tables -------------------------------------------------------
 
+    def batches(self, table: str) -> set[tuple[str, int]]:
+        """(run, batch) of every stored partition, from folder names alone."""
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        pattern = jvm.org.apache.hadoop.fs.Path(f"{self.path(table)}/run_id=*/batch_id=*")
+        found = pattern.getFileSystem(conf).globStatus(pattern) or []
+        folders = [(f.getPath().getParent().getName(), f.getPath().getName()) for f in found]
+        return {(run.split("=", 1)[1], int(batch.split("=", 1)[1])) for run, batch in folders}
+
     def seed_graph(self) -> None:
         """Write graph ledgers for stored batches that have none.
 
-        Safe to repeat: each batch replaces its own partition only.
+        Only the partitions of those batches are read, and each batch replaces
+        its own partition only, so this is safe to repeat.
         """
-        done = self.read("graph").select("run_id", "batch_id").distinct()
-        missing = self.read("mentions").join(done, ["run_id", "batch_id"], "left_anti")
-        rows = graph.graph_elements(missing, "run_id", "batch_id")
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-            "run_id", "batch_id"
-        ).parquet(self.path("graph"))
+        missing = self.batches("mentions") - self.batches("graph")
+        for run_id in sorted({run for run, _ in missing}):
+            numbers = sorted(batch for run, batch in missing if run == run_id)
+            own = (F.col("run_id") == run_id) & F.col("batch_id").isin(numbers)
+            rows = graph.graph_elements(self.read("mentions").where(own), "run_id", "batch_id")
+            rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+                "run_id", "batch_id"
+            ).parquet(self.path("graph"))
 
     def graph(self) -> tuple[DataFrame, DataFrame]:
         """(nodes, edges) added up over all batches."""
