@@ -197,27 +197,44 @@ clean_facts AS (
 
 def _graph(facts: str) -> str:
     return f"""
-node_rows AS (
-  SELECT mention_id, batch_id, sentiment, score, 'MARCA' AS label, brand AS name FROM {facts}
-  UNION ALL SELECT mention_id, batch_id, sentiment, score, 'USUARIO', author FROM {facts}
-  UNION ALL SELECT mention_id, batch_id, sentiment, score, 'PLATAFORMA', platform FROM {facts}
-  UNION ALL SELECT mention_id, batch_id, sentiment, score, 'HASHTAG', unnest(hashtags) FROM {facts}
-  UNION ALL SELECT mention_id, batch_id, sentiment, score, 'PALABRA', unnest(keywords) FROM {facts}
+parts AS (
+  SELECT mention_id, batch_id, sentiment, score, author, brand, platform, 'fact' AS part,
+         NULL AS entity FROM {facts}
+  UNION ALL
+  SELECT mention_id, batch_id, sentiment, score, author, brand, platform, 'tag', unnest(hashtags)
+  FROM {facts}
+  UNION ALL
+  SELECT mention_id, batch_id, sentiment, score, author, brand, platform, 'word', unnest(keywords)
+  FROM {facts}
+),
+named AS (
+  SELECT *, 'USUARIO:' || author AS user_node, 'MARCA:' || brand AS brand_node,
+         'PLATAFORMA:' || platform AS place_node,
+         CASE part WHEN 'tag' THEN 'HASHTAG:' WHEN 'word' THEN 'PALABRA:' END || entity AS own_node
+  FROM parts
 ),
-base AS (
-  SELECT mention_id, batch_id, sentiment, score, 'USUARIO:' || author AS u, 'MARCA:' || brand AS b,
-         'PLATAFORMA:' || platform AS pl FROM {facts}
+node_kinds(part, label) AS (
+  VALUES ('fact', 'MARCA'), ('fact', 'USUARIO'), ('fact', 'PLATAFORMA'), ('tag', 'HASHTAG'),
+         ('word', 'PALABRA')
+),
+relations(part, rel) AS (
+  VALUES ('fact', 'MENCIONA'), ('fact', 'PUBLICA'), ('fact', 'EN_PLATAFORMA'), ('tag', 'ETIQUETA'),
+         ('tag', 'CON_HASHTAG'), ('word', 'APARECE_EN'), ('word', 'USA')
+),
+node_rows AS (
+  SELECT mention_id, batch_id, sentiment, score, label,
+         CASE label WHEN 'MARCA' THEN brand WHEN 'USUARIO' THEN author
+                    WHEN 'PLATAFORMA' THEN platform ELSE entity END AS name
+  FROM named JOIN node_kinds ON node_kinds.part = named.part
 ),
-tags AS (SELECT mention_id, 'HASHTAG:' || unnest(hashtags) AS h FROM {facts}),
-spoken AS (SELECT mention_id, 'PALABRA:' || unnest(keywords) AS k FROM {facts}),
 edge_rows AS (
-  SELECT mention_id, batch_id, sentiment, score, u AS src, b AS dst, 'MENCIONA' AS rel FROM base
-  UNION ALL SELECT mention_id, batch_id, sentiment, score, u, pl, 'PUBLICA' FROM base
-  UNION ALL SELECT mention_id, batch_id, sentiment, score, b, pl, 'EN_PLATAFORMA' FROM base
-  UNION ALL SELECT mention_id, batch_id, sentiment, score, u, h, 'ETIQUETA' FROM base JOIN tags USING (mention_id)
-  UNION ALL SELECT mention_id, batch_id, sentiment, score, b, h, 'CON_HASHTAG' FROM base JOIN tags USING (mention_id)
-  UNION ALL SELECT mention_id, batch_id, sentiment, score, k, b, 'APARECE_EN' FROM base JOIN spoken USING (mention_id)
-  UNION ALL SELECT mention_id, batch_id, sentiment, score, k, u, 'USA' FROM base JOIN spoken USING (mention_id)
+  SELECT mention_id, batch_id, sentiment, score, rel,
+         CASE WHEN rel IN ('MENCIONA', 'PUBLICA', 'ETIQUETA') THEN user_node
+              WHEN rel IN ('EN_PLATAFORMA', 'CON_HASHTAG') THEN brand_node ELSE own_node END AS src,
+         CASE WHEN rel IN ('MENCIONA', 'APARECE_EN') THEN brand_node
+              WHEN rel IN ('PUBLICA', 'EN_PLATAFORMA') THEN place_node
+              WHEN rel = 'USA' THEN user_node ELSE own_node END AS dst
+  FROM named JOIN relations ON relations.part = named.part
 ),
 nodes AS (
   SELECT label || ':' || name AS node_id, label, name, count(*) AS weight,
