@@ -298,13 +298,17 @@ def list_nodes(nodes: DataFrame, limit: int = 100) -> DataFrame:
     return nodes.orderBy("node_id").limit(limit)
 
 
+def of_kinds(nodes: DataFrame, kinds: list[str]) -> DataFrame:
+    return nodes.where(F.col("label").isin(kinds))
+
+
 def visible_nodes(nodes: DataFrame, kinds: list[str], top: int = 30) -> DataFrame:
     """All brands, and the heaviest other nodes of the chosen kinds up to ``top``.
 
     The ranking window sees at most ``top`` rows, those a distributed top-k
     leaves over.
     """
-    chosen = nodes.where(F.col("label").isin(kinds))
+    chosen = of_kinds(nodes, kinds)
     brands = chosen.where(F.col("label") == "MARCA")
     strength = [F.desc("weight"), F.asc("node_id")]
     room = F.lit(top) - brands.agg(F.count("*")).scalar()

@@ -207,10 +207,10 @@ def with_batch_accuracy(counters: DataFrame) -> DataFrame:
 
 
 def batch_list(stats: DataFrame, limit: int = 40) -> DataFrame:
-    """Newest batches first."""
+    """Newest batches first; batch numbers start again with each run."""
     if not 1 <= limit <= 500:
         raise ValueError("limit must be between 1 and 500")
-    return stats.orderBy(F.desc("batch_id")).limit(limit).select(
+    return stats.orderBy(F.desc("processed_at"), F.desc("batch_id")).limit(limit).select(
         "batch_id", "processed_at", "messages", "total_tokens", "decisions", "opinions", "bound",
         "max_tokens",
     )
@@ -240,11 +240,15 @@ def newest_batches(stats: DataFrame, limit: int = 8) -> DataFrame:
 
 
 def pipeline_state(stats: DataFrame) -> DataFrame:
-    """Brand and number of the last batch, and when it was processed."""
-    return stats.agg(
-        F.max_by("brand", "batch_id").alias("brand"),
-        F.max("batch_id").alias("last_batch"),
-        F.max("processed_at").alias("last_updated"),
+    """Brand and number of the last batch, and when it was processed.
+
+    Batch numbers start again with each run, so time decides.
+    """
+    last = F.max(F.struct("processed_at", "batch_id", "brand"))
+    return stats.agg(last.alias("last")).select(
+        F.col("last.brand").alias("brand"),
+        F.col("last.batch_id").alias("last_batch"),
+        F.col("last.processed_at").alias("last_updated"),
     )
 
 

@@ -10,7 +10,6 @@ new run and cannot be mistaken for old ones.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -63,12 +62,9 @@ class MentionStore:
     def read(self, table: str) -> DataFrame:
         """All rows of a table with their run and batch; empty before the first."""
         schema = T.StructType.fromDDL(f"{TABLES[table]}, {PARTITION}")
-        try:
-            return self.spark.read.schema(schema).parquet(self.path(table))
-        except AnalysisException:
-            if self.exists(self.path(table)):
-                raise
+        if not self.exists(self.path(table)):
             return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(self.path(table))
 
     def read_batch(self, table: str, run_id: str, batch_id: int) -> DataFrame:
         path = self.path(table, run_id, batch_id)

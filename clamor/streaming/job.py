@@ -4,14 +4,21 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from clamor.functions.scoring import with_scores
 from clamor.operators.graph import graph_elements
-from clamor.operators.mentions import dedupe, mention_facts, split_rejects, valid_rows, without_known
-from clamor.operators.reports import batch_counters, buckets
+from clamor.operators.mentions import (
+    dedupe,
+    mention_facts,
+    split_rejects,
+    valid_rows,
+    without_known,
+)
+from clamor.operators.reports import batch_counters, buckets, with_batch_accuracy
+from clamor.session import configure
 from clamor.sources.messages import decode
 from clamor.sources.store import MentionStore
 
@@ -20,6 +27,12 @@ LOG = logging.getLogger(__name__)
 # Batches up to this many ids send them to the history scan (about 16 MB).
 FEW_IDS = 400_000
 
+# Counters of the log line of a batch, beside the graph sizes.
+SUMMARY = [
+    "messages", "accuracy", "decisions", "bound", "opinions", "max_tokens", "positive", "neutral",
+    "negative",
+]
+
 # Keeps large streaming state on local disk of the executors, backed by the
 # checkpoint, instead of on their heap.
 STATE_SETTINGS = {
@@ -31,39 +44,47 @@ STATE_SETTINGS = {
 
 def process_batch(
     store: MentionStore, run_id: str, brand: str, messages: DataFrame, batch_id: int
-) -> bool:
-    """Store one batch; False if it was empty or already complete.
+) -> dict | None:
+    """Store one batch and return its counters; None if there was nothing to do.
+
+    An empty batch is skipped, and so is one that is already complete.
 
     Facts are written first, and everything else is computed from the written
     partition: texts are scored once, and a lost executor costs no rescoring.
     """
     if store.is_complete(run_id, batch_id):
-        return False
+        return None
     accepted, rejected = split_rejects(messages)
     unique = dedupe(accepted).persist()
     try:
         rows = unique.count()
         if rows == 0 and rejected.isEmpty():
-            return False
+            return None
         new = without_known(unique, store.known_ids(run_id, batch_id), rows <= FEW_IDS)
         facts = mention_facts(new.withColumn("processed_at", F.current_timestamp()), ("processed_at",))
         store.write_batch("mentions", facts, run_id, batch_id)
     finally:
         unique.unpersist()
-    columns = [c for c in messages.columns]
+    message = F.to_json(F.struct(*messages.columns)).alias("message")
     store.write_batch(
-        "rejects",
-        rejected.select("mention_id", "ts", "reason", F.to_json(F.struct(*columns)).alias("message")),
-        run_id,
-        batch_id,
+        "rejects", rejected.select("mention_id", "ts", "reason", message), run_id, batch_id
     )
     stored = store.read_batch("mentions", run_id, batch_id)
     store.write_batch("buckets", buckets(stored), run_id, batch_id)
-    store.write_batch("graph", graph_elements(stored), run_id, batch_id)
-    stats = batch_counters(stored, ()).withColumn("brand", F.lit(brand))
-    sums = ["total_tokens", "decisions", "opinions", "bound", "max_tokens"]
-    store.write_batch("batch_stats", stats.na.fill(0, sums), run_id, batch_id)
-    return True
+    sizes, counters = Observation(), Observation()
+    elements = graph_elements(stored).observe(
+        sizes,
+        F.count_if(F.col("dst").isNull()).alias("nodes"),
+        F.count_if(F.col("dst").isNotNull()).alias("edges"),
+    )
+    store.write_batch("graph", elements, run_id, batch_id)
+    stats = with_batch_accuracy(batch_counters(stored, ())).na.fill(0)
+    # One row; its values are observed as it is written.
+    stats = stats.withColumn("brand", F.lit(brand)).observe(
+        counters, *[F.max(c).alias(c) for c in SUMMARY]
+    )
+    store.write_batch("batch_stats", stats, run_id, batch_id)
+    return {**counters.get, **sizes.get}
 
 
 def start(
@@ -85,11 +106,13 @@ def start(
         LOG.warning("graph not seeded: %s", error)
 
     def on_batch(messages: DataFrame, batch_id: int) -> None:
-        session = messages.sparkSession
+        # Streaming switches adaptive execution off in the session of its
+        # batches; these are ordinary queries and profit from it.
+        session = configure(messages.sparkSession)
         run_id = session.sparkContext.getLocalProperty("sql.streaming.queryId")
         here = MentionStore(session, root)
-        applied = process_batch(here, run_id, brand, messages, batch_id)
-        LOG.info("batch %s of run %s %s", batch_id, run_id, "stored" if applied else "skipped")
+        summary = process_batch(here, run_id, brand, messages, batch_id)
+        LOG.info("batch %s of run %s: %s", batch_id, run_id, summary or "nothing to do")
 
     writer = (
         valid_rows(decode(values))

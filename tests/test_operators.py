@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from clamor.operators import graph, mentions as mn, ordering, reports
 from clamor.operators.session_graph import session_graph
-from clamor.plans import fixtures as fx
+from clamor.plans import endpoints, fixtures as fx
 from clamor.schema import MESSAGE
 from clamor.session import work_folder
 from clamor.sources import messages as ms
@@ -219,7 +219,7 @@ def test_store_replay_and_compaction(spark):
     half = raw.where(F.col("likes") < 25)
     assert job.process_batch(store, "run", "acme", half, 0)
     before = rows(store.read("graph")), rows(store.read("mentions"))
-    assert not job.process_batch(store, "run", "acme", half, 0)
+    assert job.process_batch(store, "run", "acme", half, 0) is None
     assert (rows(store.read("graph")), rows(store.read("mentions"))) == before
     assert job.process_batch(store, "run", "acme", raw, 1)
     assert not job.process_batch(store, "run", "acme", raw.limit(0), 2)
@@ -251,3 +251,34 @@ def test_failed_seed_does_not_stop_the_stream(spark, monkeypatch):
     )
     query.awaitTermination()
     assert MentionStore(spark, root).read("mentions").count() == fx.mentions(spark, SF).count()
+
+
+def test_endpoints_and_views(spark):
+    raw = mn.valid_rows(fx.raw_mentions(spark, SF))
+    store = MentionStore(spark, work_folder(spark, "store"))
+    assert endpoints.health(store, "acme").first().last_batch == -1
+    summary = job.process_batch(store, "run", "globex", raw, 7)
+    stored = store.read("mentions").count()
+    nodes, edges = store.graph()
+    assert (summary["messages"], summary["nodes"], summary["edges"]) == (
+        stored, nodes.count(), edges.count(),
+    )
+    state = endpoints.health(store, "acme").first()
+    assert (state.brand, state.last_batch, state.mentions) == ("globex", 7, stored)
+    assert endpoints.kpis(store).first().total == stored
+    newest = reports.latest(store.read("mentions"))
+    points = endpoints.trend(store, 1440, newest).collect()
+    assert points and all(p.total == p.POSITIVO + p.NEUTRAL + p.NEGATIVO for p in points)
+    chosen, links = endpoints.graph(store, 20)
+    ids = {r.node_id for r in chosen.collect()}
+    assert len(ids) == 20 and all({e.src, e.dst} <= ids for e in links.collect())
+    assert endpoints.messages(store, 5).count() == 5
+    matrix, per_class = endpoints.accuracy(store)
+    assert sum(r.total for r in matrix.collect()) == stored
+    assert {r.expected for r in per_class.collect()} == set(reports.CLASSES)
+    listed, totals = endpoints.work(store)
+    assert listed.count() == 1 and totals.first().messages == stored
+    endpoints.register_views(store)
+    counted = spark.sql("SELECT sum(n) AS n FROM (SELECT source, platform, count(*) AS n FROM mentions GROUP BY ALL)")
+    assert counted.first().n == stored
+    assert spark.sql("SELECT total FROM kpis").first().total == stored
