@@ -53,6 +53,17 @@ def token_codes(hits: str) -> Column:
     )
 
 
+def without_idle_breaks(codes: str) -> Column:
+    """Codes without breaks at the start or right after another plain break.
+
+    They change no state, and most scored pieces of a long text are such breaks.
+    """
+    return F.expr(
+        f"filter({codes}, (c, i) -> c <> {BREAK_CODE} "
+        f"OR (i > 0 AND get({codes}, i - 1) <> {BREAK_CODE}))"
+    )
+
+
 def scored(found: str) -> Column:
     """Pieces or tokens with a role in the score."""
     return F.expr(
@@ -133,12 +144,18 @@ def with_scores(df: DataFrame, text: str = "text") -> DataFrame:
     """Add sentiment, score, raw_score, confidence, tokens, opinions,
     decisions and keywords for the text of each row."""
     hits, words, raw = F.col("_hits"), F.col("_words"), F.col("_raw")
-    folded = raw_score(token_codes("_hits"))
+    folded = raw_score(without_idle_breaks("_codes"))
     kept = [F.col(c) for c in df.columns]
     return (
         with_pieces(df, text, "_pieces")
         .withColumns({"_hits": scored("_pieces"), "tokens": F.size("_pieces")})
-        .withColumns({"_words": opinion_words("_hits"), "decisions": F.size(hits)})
+        .withColumns(
+            {
+                "_words": opinion_words("_hits"),
+                "_codes": token_codes("_hits"),
+                "decisions": F.size(hits),
+            }
+        )
         .withColumns(
             {
                 "opinions": F.size(words),
