@@ -27,7 +27,7 @@ def main() -> None:
     source = parser.add_mutually_exclusive_group(required=True)
     source.add_argument("--folder", help="folder of JSON-lines files")
     source.add_argument("--servers", help="bootstrap servers of the topic")
-    parser.add_argument("--topic", default="menciones")
+    parser.add_argument("--topic", default="mentions")
     options = parser.parse_args()
 
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(message)s")

@@ -27,7 +27,6 @@ SUPPORT_OPINIONS = 3
 MAX_KEYWORDS = 4
 
 POSITIVE, NEUTRAL, NEGATIVE = "POSITIVO", "NEUTRAL", "NEGATIVO"
-CLASSES = [POSITIVE, NEUTRAL, NEGATIVE]
 
 # One integer per scored token, so that the fold compares numbers only:
 # opinion weights in hundredths, then factors, then the structural roles.

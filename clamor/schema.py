@@ -4,15 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# Labels, node kinds, relations and defaults as stored.
+# Labels and defaults as stored.
 CLASSES = ["POSITIVO", "NEUTRAL", "NEGATIVO"]
 DEFAULT_SOURCE = "desconocida"
 DEFAULT_LANG = "es"
 UNLABELLED = "SIN_ETIQUETA"
-NODE_KINDS = ["MARCA", "USUARIO", "PLATAFORMA", "HASHTAG", "PALABRA"]
-RELATIONS = [
-    "MENCIONA", "PUBLICA", "EN_PLATAFORMA", "ETIQUETA", "CON_HASHTAG", "APARECE_EN", "USA",
-]
 
 MESSAGE = T.StructType(
     [

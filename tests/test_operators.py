@@ -128,6 +128,8 @@ def test_random_batches_give_one_graph(spark, facts, seed):
     split = facts.withColumn("part", F.pmod(F.hash("mention_id", F.lit(seed)), F.lit(parts)))
     ledger = graph.graph_elements(split, "part")
     assert rows(graph.merge_elements(ledger)) == rows(graph.graph_elements(facts))
+    edge_parts = graph.aggregate_edges(graph.edge_contributions(split, "part"), "part")
+    assert rows(graph.merge_edges(edge_parts)) == rows(graph.graph_edges(facts))
     counters = reports.batch_counters(split, ("part",))
     assert rows(reports.batch_totals(counters)) == rows(
         reports.batch_totals(reports.batch_counters(facts))

@@ -85,3 +85,27 @@ def test_lexicon_sizes():
     assert len(lx.stopwords) == 156
     assert lx.polarity_weights["gusto"] == 0.55
     assert "bien" not in lx.active_opinions and "super" not in lx.active_opinions
+
+
+def test_lookups(spark):
+    words = ["bueno", "super", "muy", "apenas", "jamas", "pero", lx.COMMA_TOKEN, "casa", "bien"]
+    token = F.col("t")
+    df = spark.createDataFrame([(w,) for w in words], "t string").select(
+        "t",
+        lx.polarity(token).alias("polarity"),
+        lx.opinion_weight(token).alias("opinion"),
+        lx.modifier_factor(token).alias("factor"),
+        lx.is_negator(token).alias("negator"),
+        lx.is_contrast(token).alias("contrast"),
+        lx.is_clause_break(token).alias("breaks"),
+    )
+    got = {r.t: tuple(r)[1:] for r in df.collect()}
+    assert got["bueno"] == (0.45, 0.45, None, False, False, False)
+    assert got["super"] == (0.6, None, 1.35, False, False, False)
+    assert got["muy"] == (None, None, 1.45, False, False, False)
+    assert got["apenas"] == (None, None, 0.45, False, False, False)
+    assert got["jamas"] == (None, None, None, True, False, False)
+    assert got["pero"] == (None, None, None, False, True, True)
+    assert got[lx.COMMA_TOKEN] == (None, None, None, False, False, True)
+    assert got["casa"] == (None, None, None, False, False, False)
+    assert got["bien"] == (0.42, None, None, False, False, False)
