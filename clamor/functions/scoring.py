@@ -224,40 +224,47 @@ def item_token(item: Column) -> Column:
     return F.substring_index(item, ":", -1)
 
 
-OPINION_TYPE = (
-    "array<struct<pos:int,token:string,negated:boolean,factor:double,"
-    "weight:double,signed_weight:double>>"
-)
+def clause_opinions(items: Column) -> Column:
+    """Opinions of one clause with the scope that reaches each of them.
 
+    The clause is sorted into its modifiers, its first negator and its opinions
+    once; each opinion then looks at the modifiers only, which are few.
+    """
 
-def clause_opinions(items: Column) -> Column:
-    """Opinions of one clause with the scope that reaches each of them."""
-    start = F.struct(
-        F.lit(False).alias("negated"),
-        F.lit(1.0).alias("factor"),
-        F.array().cast(OPINION_TYPE).alias("found"),
+    sorted_out = F.struct(
+        F.filter(items, lambda i: lx.modifier_factor(item_token(i)).isNotNull()).alias("modifiers"),
+        F.array_min(
+            F.transform(F.filter(items, lambda i: lx.is_negator(item_token(i))), item_position)
+        ).alias("negator"),
+        F.filter(items, lambda i: lx.opinion_weight(item_token(i)).isNotNull()).alias("said"),
     )
 
-    def step(state: Column, item: Column) -> Column:
-        token = item_token(item)
-        weight = lx.opinion_weight(token) * state["factor"]
-        opinion = F.struct(
+    def factor_before(clause: Column, pos: Column) -> Column:
+        earlier = F.filter(clause["modifiers"], lambda m: item_position(m) < pos)
+        return F.aggregate(
+            earlier, F.lit(1.0), lambda total, m: total * lx.modifier_factor(item_token(m))
+        )
+
+    def scoped(clause: Column, item: Column) -> Column:
+        return F.struct(
             item_position(item).alias("pos"),
-            token.alias("token"),
-            state["negated"].alias("negated"),
-            state["factor"].alias("factor"),
-            weight.alias("weight"),
-            clamp(F.when(state["negated"], -weight).otherwise(weight)).alias("signed_weight"),
+            item_token(item).alias("token"),
+            F.coalesce(item_position(item) > clause["negator"], F.lit(False)).alias("negated"),
+            factor_before(clause, item_position(item)).alias("factor"),
         )
+
+    def weighed(opinion: Column) -> Column:
+        weight = lx.opinion_weight(opinion["token"]) * opinion["factor"]
         return F.struct(
-            (state["negated"] | lx.is_negator(token)).alias("negated"),
-            (state["factor"] * F.coalesce(lx.modifier_factor(token), F.lit(1.0))).alias("factor"),
-            F.when(weight.isNotNull(), F.concat(state["found"], F.array(opinion)))
-            .otherwise(state["found"])
-            .alias("found"),
+            *[opinion[n].alias(n) for n in ("pos", "token", "negated", "factor")],
+            weight.alias("weight"),
+            clamp(F.when(opinion["negated"], -weight).otherwise(weight)).alias("signed_weight"),
         )
 
-    return F.aggregate(items, start, step, lambda state: state["found"])
+    found = F.transform(
+        F.array(sorted_out), lambda c: F.transform(c["said"], lambda i: scoped(c, i))
+    )
+    return F.transform(F.get(found, F.lit(0)), weighed)
 
 
 def with_clauses(df: DataFrame, text: str = "text", scored_only: bool = False) -> DataFrame:

@@ -127,3 +127,9 @@ def test_partitioning_changes_nothing(spark):
         for n in (1, 4, 16)
     ]
     assert results[0] == results[1] == results[2]
+
+
+def test_detail_of_one_long_clause(spark):
+    df = spark.createDataFrame([(1, "muy " * 3 + "bueno " * 20_000)], "i int, text string")
+    assert detail.opinions(df, ["i"]).count() == 20_000
+    assert detail.raw_scores(df, ["i"]).first().raw_score == pytest.approx(20_000.0)
