@@ -3,6 +3,8 @@
 import pytest
 
 import __spark_entry__ as entry
+from clamor.plans.oracle import ORACLE
+from clamor.plans.queries import QUERIES
 from compare import connect, difference
 from conftest import SF
 
@@ -13,12 +15,17 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
-@pytest.mark.parametrize("key", list(entry.queries()))
+def test_the_entry_names_them_all():
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+@pytest.mark.parametrize("key", list(QUERIES))
 def test_query(spark, con, key):
-    assert difference(spark, con, SF, entry.queries()[key], entry.oracle_sql()[key]) == ""
+    assert difference(spark, con, SF, QUERIES[key], ORACLE[key]) == ""
 
 
 def test_entry(spark):
