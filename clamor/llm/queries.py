@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from clamor.llm import exact_queries, license_queries
+from clamor.llm import exact_queries, license_queries, token_queries, url_queries
 
-_MODULES = [license_queries, exact_queries]
+_MODULES = [license_queries, url_queries, token_queries, exact_queries]
 
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 ORACLE = {name: sql for module in _MODULES for name, sql in module.ORACLES.items()}
