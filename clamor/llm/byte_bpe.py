@@ -21,6 +21,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -229,9 +230,7 @@ def encode_texts(
     """
 
     @F.pandas_udf("binary")
-    def encoded(batches: Iterator) -> Iterator:
-        import pandas as pd
-
+    def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         own = codec(path, pattern)
         for texts in batches:
             yield pd.Series(list(own.encode(texts.tolist())), dtype=object)
@@ -243,9 +242,7 @@ def decode_ids(docs: DataFrame, path: str, ids: str = "ids", text: str = "decode
     """docs with the bytes that the ids stand for; null ids give no bytes."""
 
     @F.pandas_udf("binary")
-    def decoded(batches: Iterator) -> Iterator:
-        import pandas as pd
-
+    def decoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         own = codec(path, "")
         for rows in batches:
             yield pd.Series([own.decode(x) for x in rows], dtype=object)

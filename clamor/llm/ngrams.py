@@ -21,3 +21,32 @@ def hashed(codes: np.ndarray, n: int, bits: int) -> np.ndarray:
 
 def code_points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+class DistinctPlaces:
+    """Which hashed n-grams occur in a text, each once.
+
+    Long texts are read in slices that overlap by the longest n-gram less one.
+    """
+
+    SLICE = 1 << 20
+
+    def __init__(self, sizes: tuple[int, ...], bits: int):
+        self.sizes, self.bits = sizes, bits
+        self.last = np.zeros(1 << bits, np.int64)
+
+    def of_slice(self, codes: np.ndarray) -> np.ndarray:
+        places = np.concatenate([hashed(codes, n, self.bits) for n in self.sizes])
+        # Each place remembers the last n-gram that wrote to it; that one speaks for it.
+        turn = np.arange(len(places))
+        self.last[places] = turn
+        return places[self.last[places] == turn]
+
+    def of(self, text: str) -> np.ndarray:
+        text = text.lower()
+        if len(text) <= self.SLICE:
+            return self.of_slice(code_points(text))
+        seen, overlap = np.zeros(1 << self.bits, bool), max(self.sizes) - 1
+        for k in range(0, len(text), self.SLICE):
+            seen[self.of_slice(code_points(text[k : k + self.SLICE + overlap]))] = True
+        return np.flatnonzero(seen)
