@@ -33,8 +33,8 @@ BITS = 18
 SIZES = (4, 5)
 MAX_ROWS = 20_000  # labelled rows used for training
 PARTS = 12  # partitions of the training rows, and gradients added up by the driver
-SMOOTHING = 30.0  # documents
-RIDGE = 1e-3
+SMOOTHING = 100.0  # documents
+RIDGE = 3e-4
 STEPS = 25
 RATE = 0.3
 
