@@ -5,12 +5,20 @@ from __future__ import annotations
 from clamor.llm import (
     exact_queries,
     license_queries,
+    simhash_queries,
     token_queries,
     toxicity_queries,
     url_queries,
 )
 
-_MODULES = [license_queries, url_queries, token_queries, toxicity_queries, exact_queries]
+_MODULES = [
+    license_queries,
+    url_queries,
+    token_queries,
+    simhash_queries,
+    toxicity_queries,
+    exact_queries,
+]
 
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 ORACLE = {name: sql for module in _MODULES for name, sql in module.ORACLES.items()}
