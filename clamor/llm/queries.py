@@ -6,6 +6,7 @@ from clamor.llm import (
     exact_queries,
     license_queries,
     simhash_queries,
+    substring_queries,
     token_queries,
     toxicity_queries,
     url_queries,
@@ -16,6 +17,7 @@ _MODULES = [
     url_queries,
     token_queries,
     simhash_queries,
+    substring_queries,
     toxicity_queries,
     exact_queries,
 ]
