@@ -5,6 +5,7 @@ from __future__ import annotations
 from clamor.llm import (
     exact_queries,
     license_queries,
+    neighbour_queries,
     simhash_queries,
     substring_queries,
     token_queries,
@@ -15,6 +16,7 @@ from clamor.llm import (
 _MODULES = [
     license_queries,
     url_queries,
+    neighbour_queries,
     token_queries,
     simhash_queries,
     substring_queries,
