@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from clamor.llm import (
+    chat_queries,
     exact_queries,
     license_queries,
     neighbour_queries,
@@ -17,6 +18,7 @@ _MODULES = [
     license_queries,
     url_queries,
     neighbour_queries,
+    chat_queries,
     token_queries,
     simhash_queries,
     substring_queries,
