@@ -80,6 +80,40 @@ www.spam-mails.test/unsubscribe
 link-farm.test/seo/spam
 cheap-meds.test/pills
 free-bets.test/bonus/today
+vip-casino.test/free-bonus
+casino-jackpot.test/slots/win
+mega-slots.test/casino/play-now
+poker-room.test/free-chips
+texas-poker.test/bonus
+football-bets.test/free-odds
+sports-bet.test/bonus/odds
+claim-your-prize.test/win
+win-a-prize.test/free-iphone
+big-lottery.test/win-money
+generic-viagra.test/cheap
+discount-pills.test/pharmacy
+cialis-pharmacy.test/pills
+adult-tube.test/free-porn
+sex-cams.test/adult/live
+free-xxx.test/adult
+hot-dating.test/sex/chat
+singles-sex.test/dating
+cash-loans.test/payday/quick
+instant-loans.test/cash/apply-now
+torrent-movies.test/free-download
+free-torrent.test/crack
+keygen-serial.test/crack/download
+crack-warez.test/free
+banner-ads.test/click
+ads-network.test/track/pixel
+ad-tracker.test/impression?id=9
+spam-farm-links.test/backlinks
+seo-spam.test/cheap/backlinks
+earn-cash.test/free-money
+fast-money.test/earn/bitcoin
+cheap-replica.test/watches/buy
+malware-exe.test/download/free.exe
+phishing-bank.test/login/verify
 """.split()
 WANTED = """
 en.encyclopedia.test/wiki/history
@@ -121,6 +155,36 @@ trains.test/track/repairs
 adventure.club.test/trips
 freedom-of-press.test/report
 beta.software.test/release-notes
+en.encyclopedia.test/wiki/river
+wiki.history.test/article/roman-empire
+docs.cloud.test/reference/api
+developer.library.test/guide/start
+blog.science.test/2020/11/stars
+blog.traveller.test/de/8531
+news.world.test/article/2021/03/04
+www.newspaper.test/politics/city
+m.news.test/science/en/24949
+university.test/lectures/mathematics
+school.city.test/es/6364.html
+library.university.test/catalogue
+m.recipes.test/soup?page=2
+forum.gardeners.test/thread/88
+forum.developers.test/topic/install
+museum.history.test/exhibitions/2020
+hospital.city.test/visiting/hours
+journal.physics.test/article/17
+www.theatre.test/calendar/
+thoughts.test/en/7145
+m.theory.test/en/22419?page=2
+blog.others.test/fr/155/
+www.rhetoric.test/de/27629.html
+tions.test/es/14730?utm_source=feed
+another.test/fr/2505#top
+books.test/novel/chapter/3
+music.school.test/lessons
+weather.city.test/forecast
+trains.city.test/timetable
+farmers.market.test/en/opening
 cooking.family.test/soup
 river.walks.test/map
 """.split()
