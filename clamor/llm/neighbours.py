@@ -143,9 +143,10 @@ def matrix(column: pa.Array) -> np.ndarray:
 
 
 def nearest_of(
-    queries: np.ndarray, data: np.ndarray, ids: np.ndarray, k: int
+    queries: np.ndarray, data: np.ndarray, ids: np.ndarray, k: int, floor: np.ndarray | None = None
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Query, place in data and score of the k best rows of data for each query; ties by id.
+    """Query, place in data and score of the k best rows of data for each query; ties by
+    id.  Rows below the query's floor are left out.
 
     Scores are summed in one order for all rows; the product of matrices, which may
     round otherwise, only picks those that come into question.
@@ -156,13 +157,17 @@ def nearest_of(
         edge = np.full((len(rough), 1), -np.inf)
         if len(data) > k:
             edge = np.partition(rough, len(data) - k, axis=1)[:, len(data) - k, None]
-            edge -= 1e-9 * (1 + np.abs(edge))
+        if floor is not None:
+            edge = np.maximum(edge, floor[begin : begin + 256, None])
+        edge = np.where(np.isfinite(edge), edge - 1e-9 * (1 + np.abs(edge)), edge)
         query, at = np.nonzero(rough >= edge)
         score = np.einsum("ij,ij->i", data[at], queries[begin + query])
         order = np.lexsort((ids[at], -score, query))
         query, at, score = query[order], at[order], score[order]
         first = np.searchsorted(query, query)
         best = np.arange(len(query)) - first < k
+        if floor is not None:
+            best &= score >= floor[begin + query]
         found.append((begin + query[best], at[best], score[best]))
     if not found:
         return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
@@ -236,25 +241,49 @@ def calibrate(queries: DataFrame, placed: DataFrame, tree: Tree, k: int, recall:
 
 
 def visit_plan(queries: DataFrame, tree: Tree, visits: int) -> DataFrame:
-    """class, vector and each leaf that the query visits."""
+    """class, vector and each leaf that the query visits, with its turn."""
 
     def planned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 bins = [tree.best_bins(q, visits) for q in matrix(batch.column("vector"))]
                 yield pa.record_batch(
-                    [batch.column("class"), batch.column("vector"), pa.array(bins, pa.list_(pa.int32()))],
+                    [
+                        batch.column("class"), batch.column("vector"),
+                        pa.array(bins, pa.list_(pa.int32())),
+                    ],
                     names=["class", "vector", "leaves"],
                 )
 
     kind = queries.schema["vector"].dataType.simpleString()
     planned_rows = queries.mapInArrow(planned, f"class long, vector {kind}, leaves array<int>")
-    return planned_rows.select("class", "vector", F.explode("leaves").alias("leaf"))
+    return planned_rows.select("class", "vector", F.posexplode("leaves").alias("turn", "leaf"))
 
 
 def search(queries: DataFrame, placed: DataFrame, tree: Tree, visits: int, k: int) -> DataFrame:
-    """class, id, score: the k best of every block of every visited leaf."""
+    """class, id, score: the k best of the visited leaves.
+
+    The first leaves of a query are searched before the others, which then add only
+    what is no worse than the k-th best of those.
+    """
     plan = materialise(visit_plan(queries, tree, visits))
+    early = F.col("turn") < int(np.ceil(np.sqrt(visits)))
+    order = Window.partitionBy("class").orderBy(F.desc("score"), "id")
+
+    def best(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= k)
+
+    none = F.lit(float("-inf"))
+    first = materialise(best(visit(plan.filter(early).withColumn("floor", none), placed, k)))
+    floors = first.filter(F.col("place") == k).select("class", F.col("score").alias("found"))
+    later = plan.filter(~early).join(floors, "class", "left")
+    later = materialise(later.withColumn("floor", F.coalesce("found", none)).drop("found"))
+    return best(first.drop("place").unionAll(visit(later, placed, k))).drop("place")
+
+
+def visit(plan: DataFrame, placed: DataFrame, k: int) -> DataFrame:
+    """class, id, score: the k best of every block of every leaf of the plan, without
+    those below the floor of the class."""
 
     def blocks(rows: DataFrame, name: str, size: int) -> DataFrame:
         # A row for each leaf; the tree's sample bounds how many there are.
@@ -272,17 +301,18 @@ def search(queries: DataFrame, placed: DataFrame, tree: Tree, visits: int, k: in
     right = plan.join(sizes, "leaf").select(
         "leaf", F.explode(every).alias("block"),
         F.pmod(F.xxhash64("class"), "n_slices").cast("int").alias("slice"), "class", "vector",
+        "floor",
     )
 
     def met(data: pa.Table, asked: pa.Table) -> pa.Table:
         if not data.num_rows or not asked.num_rows:
-            return pa.table(
-                {"class": pa.array([], pa.int64()), "id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())}
-            )
+            nothing = pa.array([], pa.int64())
+            return pa.table({"class": nothing, "id": nothing, "score": pa.array([], pa.float64())})
         names = data.column("id").to_numpy()
         q, at, score = nearest_of(
             matrix(asked.column("vector").combine_chunks()),
             matrix(data.column("vector").combine_chunks()), names, k,
+            asked.column("floor").to_numpy(),
         )
         own = asked.column("class").to_numpy()
         return pa.table(
@@ -313,13 +343,7 @@ def nearest_neighbours(
     queries = materialise(asked.groupBy("vector").agg(F.min("id").alias("class")))
     members = asked.join(queries, "vector").select("class", F.col("id").alias("query_id"))
     visits = calibrate(queries, placed, tree, k, recall)
-    by_class = Window.partitionBy("class").orderBy(F.desc("score"), "id")
-    found = (
-        search(queries, placed, tree, visits, k + 1)
-        .withColumn("place", F.row_number().over(by_class))
-        .filter(F.col("place") <= k + 1)
-        .drop("place")
-    )
+    found = search(queries, placed, tree, visits, k + 1)
     by_query = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
     return (
         members.join(found, "class")
