@@ -32,7 +32,8 @@ from clamor.llm.ngrams import DistinctPlaces
 BITS = 18
 SIZES = (4, 5)
 MAX_ROWS = 20_000  # labelled rows used for training
-PARTS = 12  # partitions of the training rows, and gradients added up by the driver
+PARTS = 12  # tasks of a training step, and gradients added up by the driver
+ROWS = 256  # training texts at a time
 SMOOTHING = 100.0  # documents
 RIDGE = 3e-4
 STEPS = 25
@@ -45,13 +46,9 @@ class Model:
     weights: np.ndarray  # of the scaled n-grams, times their ratios
     bias: float
 
-    def margins(self, places: list[np.ndarray]) -> np.ndarray:
-        found = np.full(len(places), self.bias)
-        for k, at in enumerate(places):
-            length = float(np.sqrt((self.ratios[at] ** 2).sum()))
-            if length > 0:
-                found[k] += float(self.weights[at].sum()) / length
-        return found
+    def margin(self, places: np.ndarray) -> float:
+        length = float(np.sqrt((self.ratios[places] ** 2).sum()))
+        return self.bias + (float(self.weights[places].sum()) / length if length > 0 else 0.0)
 
 
 def is_held_out(doc_id: str = "doc_id") -> Column:
@@ -81,11 +78,11 @@ def training_rows(
 
 
 def features(rows: DataFrame) -> DataFrame:
-    """label and the places of each text as 32-bit integers, stored in PARTS partitions."""
+    """label and the places of each text as 32-bit integers, stored in the shared folder."""
 
     def extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         distinct = DistinctPlaces(SIZES, BITS)
-        for batch in batches:
+        for batch in _pieces(batches):
             places = [
                 distinct.of(t.as_py()).astype(np.int32).tobytes() for t in batch.column("text")
             ]
@@ -93,16 +90,22 @@ def features(rows: DataFrame) -> DataFrame:
                 [batch.column("label"), pa.array(places, pa.binary())], names=["label", "places"]
             )
 
-    found = rows.mapInArrow(extracted, "label int, places binary")
-    return materialise(found.repartition(PARTS, F.xxhash64("places")))
+    return materialise(rows.mapInArrow(extracted, "label int, places binary")).coalesce(PARTS)
+
+
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for k in range(0, batch.num_rows, ROWS):
+            yield batch.slice(k, ROWS)
 
 
 def _summed(rows: DataFrame, part: Callable, size: int) -> np.ndarray:
-    """The sum of one vector of part(labels, places, sizes) for each record batch."""
+    """The sum of part(labels, places, sizes) over all rows; a vector for each of at most
+    PARTS tasks comes to the driver."""
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size)
-        for batch in batches:
+        for batch in _pieces(batches):
             labels = batch.column("label").to_numpy()
             held = [np.frombuffer(x.as_py(), np.int32) for x in batch.column("places")]
             keep = np.array([len(x) > 0 for x in held], bool)
@@ -113,7 +116,7 @@ def _summed(rows: DataFrame, part: Callable, size: int) -> np.ndarray:
         yield pa.record_batch([pa.array([total.tobytes()], pa.binary())], names=["sum"])
 
     total = np.zeros(size)
-    for row in rows.mapInArrow(vectors, "sum binary").toLocalIterator():
+    for row in rows.mapInArrow(vectors, "sum binary").collect():
         total += np.frombuffer(row["sum"])
     return total
 
@@ -178,7 +181,7 @@ def with_toxicity(docs: DataFrame, model: Model, text: str = "text", score: str
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         distinct = DistinctPlaces(SIZES, BITS)
         for texts in batches:
-            margins = model.margins([distinct.of(t) for t in texts])
+            margins = np.array([model.margin(distinct.of(t)) for t in texts], dtype=float)
             yield pd.Series(1 / (1 + np.exp(-np.clip(margins, -50, 50))))
 
     return docs.withColumn(fresh(docs, score)[0], scored(text_or_empty(text)))
