@@ -73,16 +73,9 @@ def op4_chat_tool_calls(spark, sf_dir):
 
 
 ORACLE = """
-WITH RECURSIVE
+WITH
 turns AS (SELECT conv_id, turn, role, text FROM conversations),
 reply AS (SELECT * FROM turns WHERE role = 'user'),
-depth AS (
-  SELECT r.conv_id, r.turn, 0 AS level FROM reply r
-  WHERE NOT EXISTS (SELECT 1 FROM reply b WHERE b.conv_id = r.conv_id AND b.turn = r.turn - 2)
-  UNION ALL
-  SELECT r.conv_id, r.turn, d.level + 1 FROM depth d
-  JOIN reply r ON r.conv_id = d.conv_id AND r.turn = d.turn + 2
-),
 answer AS (SELECT * FROM turns WHERE role = 'assistant'),
 chat AS (
   SELECT conv_id, min(turn) AS turn, max(turn) FILTER (role = 'user') AS last, count(*) AS turns
@@ -90,40 +83,43 @@ chat AS (
 ),
 replies AS (
   SELECT r.conv_id, r.turn, 'r-' || r.conv_id || '-' || r.turn AS call_id, 'reply' AS name,
-    a.turn IS NOT NULL AS answered, d.level, a.text AS result,
+    a.turn IS NOT NULL AS answered, a.text AS result,
     CASE WHEN r.text IS NULL THEN 'missing chars, missing question' ELSE '' END AS errors,
     json_merge_patch(
       CASE WHEN r.turn >= 2 THEN json_object('after', '${r-' || r.conv_id || '-' || (r.turn - 2) || '}')
         ELSE json('{}') END,
-      json_object('chars', length(r.text), 'question', r.text)) AS arguments
-  FROM reply r JOIN depth d USING (conv_id, turn)
-  LEFT JOIN answer a ON a.conv_id = r.conv_id AND a.turn = r.turn + 1
+      json_object('chars', length(r.text), 'question', r.text)) AS arguments, NULL AS last
+  FROM reply r LEFT JOIN answer a ON a.conv_id = r.conv_id AND a.turn = r.turn + 1
 ),
 instructs AS (
-  SELECT conv_id, turn, 's-' || conv_id || '-' || turn, 'instruct', false, 0, NULL,
+  SELECT conv_id, turn, 's-' || conv_id || '-' || turn, 'instruct', false, NULL,
     CASE WHEN text IS NULL THEN 'missing text' ELSE '' END,
-    json_merge_patch(json('{}'), json_object('text', text))
+    json_merge_patch(json('{}'), json_object('text', text)), NULL
   FROM turns WHERE role = 'system'
 ),
 outlines AS (
-  SELECT c.conv_id, c.turn, 'o-' || c.conv_id || '-' || c.turn, 'outline', false,
-    coalesce(d.level + 1, 0), NULL, CASE WHEN last IS NULL THEN 'missing last' ELSE '' END,
-    json_merge_patch(json('{}'), json_object('last', '${r-' || c.conv_id || '-' || last || '}', 'turns', turns))
-  FROM chat c LEFT JOIN depth d ON d.conv_id = c.conv_id AND d.turn = c.last
+  SELECT conv_id, turn, 'o-' || conv_id || '-' || turn, 'outline', false, NULL,
+    CASE WHEN last IS NULL THEN 'missing last' ELSE '' END,
+    json_merge_patch(json('{}'),
+      json_object('last', '${r-' || conv_id || '-' || last || '}', 'turns', turns)), last
+  FROM chat
 ),
 calls AS (
   SELECT * FROM replies UNION ALL SELECT * FROM instructs UNION ALL SELECT * FROM outlines
 )
 SELECT conv_id, turn, 0 AS place, call_id, name,
   CASE WHEN answered THEN 'linked' ELSE 'unanswered' END AS status,
-  answered::BIGINT AS n_results, level, errors = '' AS valid, errors,
+  answered::BIGINT AS n_results, errors = '' AS valid, errors,
   CAST(json_merge_patch(json('{}'),
-    json_object('arguments', arguments, 'id', call_id, 'name', name, 'result', result)) AS VARCHAR) AS message
+    json_object('arguments', arguments, 'id', call_id, 'name', name, 'result', result)) AS VARCHAR) AS message,
+  coalesce(last, turn) AS ready_turn, 0 AS ready_place,
+  coalesce('r-' || conv_id || '-' || last, call_id) AS ready_id, (last IS NOT NULL)::INT AS level
 FROM calls
 UNION ALL
-SELECT a.conv_id, a.turn, 0, 'r-' || a.conv_id || '-' || (a.turn - 1), NULL, 'orphan', 1, NULL, false,
+SELECT a.conv_id, a.turn, 0, 'r-' || a.conv_id || '-' || (a.turn - 1), NULL, 'orphan', 1, false,
   'no such call',
-  CAST(json_merge_patch(json('{}'), json_object('id', 'r-' || a.conv_id || '-' || (a.turn - 1), 'result', a.text)) AS VARCHAR)
+  CAST(json_merge_patch(json('{}'), json_object('id', 'r-' || a.conv_id || '-' || (a.turn - 1), 'result', a.text)) AS VARCHAR),
+  NULL, NULL, NULL, NULL
 FROM answer a WHERE NOT EXISTS (
   SELECT 1 FROM reply r WHERE r.conv_id = a.conv_id AND r.turn = a.turn - 1)
 """

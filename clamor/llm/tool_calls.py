@@ -5,12 +5,14 @@ An assistant message may be a JSON object with ``tool_calls``: a list of objects
 role ``tool`` is a JSON object with ``tool_call_id`` and ``content``.  Calls and results
 of a chat are joined by their id.
 
-A call depends on those whose id its arguments name as ``${id}``.  A chat in which
-every call comes after those it depends on is in order as it stands, and its calls
-have level 0.  In all other chats calls get their level in rounds: each takes the
-calls that wait for none, so there are as many rounds as the longest chain has calls.
-Level, turn and place sort a chat topologically; calls in or behind a circle have
-no level.
+A call depends on those whose id its arguments name as ``${id}``.  It is ready at its
+own position, or at the latest position of a call that it waits for, directly or not,
+if that one comes later; then its level counts the calls between.  Chats are sorted
+topologically by where calls are ready, then by level.  Only what stands before a call
+that it needs has to wait: there are as many rounds as calls in a row that are out of
+order (in a circle: as calls of that chat, at most), whatever the length of chats in
+order.  A chat whose calls wait for each other in a circle has no order: all its calls
+have none of the four.
 
 Arguments are checked against a table of parameters (name, parameter, type, required);
 a tool without parameters takes none, its one row has a null parameter.  Types are
@@ -25,10 +27,12 @@ are rows of their own.  A null conv_id is a chat as well.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clamor.llm.common import materialise, remove, work_folder
+from clamor.llm.common import materialise
 
 # Type names of variants by the JSON type that they stand for.
 INTEGERS = r"^(BIGINT|DECIMAL\(\d+,0\))$"
@@ -89,47 +93,62 @@ def tool_results(messages: DataFrame) -> DataFrame:
     )
 
 
-def levels(calls: DataFrame) -> DataFrame:
-    """chat, call_id, level of the calls in chats that are not in order as they stand;
-    level is null in and behind circles."""
-    spark = calls.sparkSession
-    folder = work_folder(spark, "levels")
+def _state(turn: str, place: str, call_id: str, level: Column) -> Column:
+    return F.struct(
+        F.col(turn).alias("turn"), F.col(place).alias("place"), F.col(call_id).alias("id"),
+        level.cast("int").alias("level"),
+    )
+
+
+def ready_states(calls: DataFrame) -> DataFrame:
+    """chat, call_id, ready (turn, place, id, level) of the calls in chats that are not in
+    order as they stand; ready is null in chats with a circle."""
     node = ["chat", "call_id"]
     named = calls.filter(F.col("call_id").isNotNull())
-    nodes = named.groupBy(*node).agg(F.min(F.struct("turn", "place")).alias("at"))
+    first = F.min(F.struct("turn", "place")).alias("at")
+    nodes = named.groupBy(*node).agg(first).select(*node, "at.turn", "at.place")
+    own = _state("turn", "place", "call_id", F.lit(0)).alias("own")
+    nodes = materialise(nodes.select(*node, own))
     references = F.regexp_extract_all(F.to_json("arguments"), F.lit(REFERENCE), F.lit(1))
+    needed = nodes.select("chat", F.col("call_id").alias("needs"), F.col("own").alias("needs_own"))
     edges = (
         named.select(*node, F.explode(F.array_distinct(references)).alias("needs"))
         .distinct()
         .join(nodes, node)
-        .join(
-            nodes.select("chat", F.col("call_id").alias("needs"), F.col("at").alias("needs_at")),
-            ["chat", "needs"],
-        )
+        .join(needed, ["chat", "needs"])
     )
-    edges = materialise(edges)
-    late = materialise(edges.filter(F.col("needs_at") >= F.col("at")).select("chat").distinct())
-    waiting = materialise(nodes.join(late, "chat", "left_semi").select(*node))
-    needs = materialise(edges.join(late, "chat", "left_semi").select("chat", "call_id", "needs"))
-    level = 0
+    late = edges.filter(F.col("needs_own") >= F.col("own")).select("chat").distinct()
+    late = materialise(late)
+    sizes = nodes.join(late, "chat", "left_semi").groupBy("chat").agg(F.count("*").alias("size"))
+    edges = materialise(
+        edges.select("chat", "call_id", "needs", "own").join(sizes, "chat")
+    )
+    state = materialise(
+        nodes.join(late, "chat", "left_semi").select(*node, "own", F.col("own").alias("ready"))
+    )
+    circles = []
     while True:
-        ready = waiting.join(needs.select(*node).distinct(), node, "left_anti")
-        ready.write.parquet(f"{folder}/level={level}")
-        ready = spark.read.schema("chat string, call_id string").parquet(f"{folder}/level={level}")
-        if ready.isEmpty():
+        before = state.select("chat", F.col("call_id").alias("needs"), F.col("ready").alias("r"))
+        waits = materialise(edges.join(before, ["chat", "needs"]).select(*node, "own", "size", "r"))
+        # A circle: a call that waits for one that waits for it, or more calls in a row
+        # than there are.
+        round_it = (F.col("r.id") == F.col("own.id")) | (F.col("r.level") + 1 >= F.col("size"))
+        closed = materialise(waits.filter(round_it).select("chat").distinct())
+        circles.append(closed)
+        latest = waits.groupBy(*node).agg(F.max("r").alias("r"))
+        after = _state("r.turn", "r.place", "r.id", F.col("r.level") + 1)
+        state = materialise(
+            state.join(latest, node, "left")
+            .join(closed, "chat", "left_anti")
+            .withColumn("new", F.greatest("ready", F.when(F.col("r").isNotNull(), after)))
+            .select(*node, "own", F.col("new").alias("ready"), (F.col("new") != F.col("ready")).alias("moved"))
+        )
+        if state.filter("moved").isEmpty():
             break
-        waiting = materialise(waiting.join(ready, node, "left_anti"))
-        done = ready.select("chat", F.col("call_id").alias("needs"))
-        needs = materialise(needs.join(done, ["chat", "needs"], "left_anti"))
-        level += 1
-    found = (
-        spark.read.schema("chat string, call_id string, level int").parquet(folder)
-        if level
-        else spark.createDataFrame([], "chat string, call_id string, level int")
-    )
-    if not level:
-        remove(spark, folder)
-    return found.unionAll(waiting.select(*node, F.lit(None).cast("int")))
+        state = state.drop("moved")
+    circular = nodes.join(reduce(DataFrame.unionAll, circles).distinct(), "chat", "left_semi")
+    nothing = F.lit(None).cast(state.schema["ready"].dataType)
+    return state.select(*node, "ready").unionAll(circular.select(*node, nothing))
 
 
 def schema_rows(parameters: DataFrame) -> DataFrame:
@@ -188,8 +207,9 @@ def argument_errors(arguments: Column, rules: Column) -> Column:
 
 
 def link_tool_calls(messages: DataFrame, parameters: DataFrame) -> DataFrame:
-    """conv_id, turn, place, call_id, name, status, n_results, level, valid, errors and
-    message (canonical JSON) of every call, and of every result without one.
+    """conv_id, turn, place, call_id, name, status, n_results, valid, errors, message
+    (canonical JSON), ready_turn, ready_place, ready_id and level of every call, and of
+    every result without one.
 
     messages: conv_id, turn, role, text; parameters: name, parameter, type, required.
     status is linked, unanswered or orphan (a result without a call).
@@ -207,10 +227,10 @@ def link_tool_calls(messages: DataFrame, parameters: DataFrame) -> DataFrame:
             F.first("conv_id").alias("result_conv"),
         )
     )
-    ranked = materialise(levels(calls))
+    waiting = ready_states(calls).withColumn("late", F.lit(True))
     linked = (
         calls.join(results, node, "left")
-        .join(ranked.withColumn("late", F.lit(True)), node, "left")
+        .join(waiting, node, "left")
         .join(schema_rows(parameters), F.col("name") == F.col("tool"), "left")
         .withColumn("given", F.expr("try_cast(arguments AS map<string, variant>)"))
     )
@@ -220,7 +240,9 @@ def link_tool_calls(messages: DataFrame, parameters: DataFrame) -> DataFrame:
         "conv_id", "turn", "place", "call_id", "name",
         F.when(F.col("n_results") > 0, "linked").otherwise("unanswered").alias("status"),
         F.coalesce("n_results", F.lit(0)).cast("long").alias("n_results"),
-        F.when(F.col("late"), F.col("level")).otherwise(F.lit(0)).alias("level"),
+        F.when(F.col("late"), F.col("ready"))
+        .otherwise(_state("turn", "place", "call_id", F.lit(0)))
+        .alias("ready"),
         errors.alias("errors"),
         F.to_json(
             F.struct(
@@ -232,10 +254,13 @@ def link_tool_calls(messages: DataFrame, parameters: DataFrame) -> DataFrame:
         F.col("result_conv").alias("conv_id"), F.col("first.turn").alias("turn"),
         F.lit(0).alias("place"), "call_id", F.lit(None).cast("string").alias("name"),
         F.lit("orphan").alias("status"), F.col("n_results").cast("long"),
-        F.lit(None).cast("int").alias("level"), F.array(F.lit("no such call")).alias("errors"),
+        F.lit(None).cast(answered.schema["ready"].dataType).alias("ready"),
+        F.array(F.lit("no such call")).alias("errors"),
         F.to_json(F.struct(F.col("call_id").alias("id"), result.alias("result"))).alias("message"),
     )
     return answered.unionAll(orphans).withColumn("valid", F.size("errors") == 0).select(
-        "conv_id", "turn", "place", "call_id", "name", "status", "n_results", "level", "valid",
+        "conv_id", "turn", "place", "call_id", "name", "status", "n_results", "valid",
         F.array_join("errors", ", ").alias("errors"), "message",
+        F.col("ready.turn").alias("ready_turn"), F.col("ready.place").alias("ready_place"),
+        F.col("ready.id").alias("ready_id"), F.col("ready.level").alias("level"),
     )
