@@ -13,7 +13,7 @@ import os
 import re
 from functools import lru_cache
 
-KNOWN = 600_000  # words of the newer half of the memory
+KNOWN = 300_000  # words of the newer half of the memory
 
 _MARK = re.compile("[̀-ͯ]")
 _PLAIN = re.compile("[a-zß-öø-ÿ]+")  # one piece for the tokenizer, and in its final form
@@ -48,22 +48,34 @@ class WordTokens:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
+        if hasattr(self.model, "_resize_cache"):
+            self.model._resize_cache(0)  # the words are remembered here
         self.letters = _byte_letters()
+        self.packed = [
+            k.to_bytes(4, "little") for k in range(self.tokenizer.get_vocab_size(with_added_tokens=True))
+        ]
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.words = Words(self, {})
 
+    def of_pieces(self, letters: str) -> bytes:
+        packed = self.packed
+        return b"".join([packed[t.id] for t in self.model.tokenize(letters)])
+
     def of_word(self, word: bytes) -> bytes:
+        if word.isalpha():  # ASCII letters, lower case
+            return self.of_pieces(word.decode("ascii"))
+        if word[:-1].isalpha() and word[-1:] in (b".", b","):
+            return self.words[word[:-1]] + self.words[word[-1:]]
         text = word.decode()
         if text[-1] in ".," and len(text) > 1 and _PLAIN.fullmatch(text[:-1]):
             return self.words[word[:-1]] + self.words[word[-1:]]
         if _PLAIN.fullmatch(text):
-            pieces = self.model.tokenize(word.decode("latin-1").translate(self.letters))
-            return b"".join([t.id.to_bytes(4, "little") for t in pieces])
+            return self.of_pieces(word.decode("latin-1").translate(self.letters))
         return self.of_text(text)
 
     def of_text(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return b"".join([t.to_bytes(4, "little") for t in ids])
+        return b"".join([self.packed[t] for t in ids])
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
