@@ -26,6 +26,8 @@ CONFIDENCE_SUPPORT = 0.4
 SUPPORT_OPINIONS = 3
 MAX_KEYWORDS = 4
 
+BLOCK = 64  # modifiers whose product is taken at once
+
 POSITIVE, NEUTRAL, NEGATIVE = "POSITIVO", "NEUTRAL", "NEGATIVO"
 
 # One integer per scored token, so that the fold compares numbers only:
@@ -33,13 +35,21 @@ POSITIVE, NEUTRAL, NEGATIVE = "POSITIVO", "NEUTRAL", "NEGATIVO"
 FACTOR_BASE, NEGATOR_CODE, BREAK_CODE, CONTRAST_CODE = 1000, 2000, 3000, 4000
 
 
+def _hundredths(value: float) -> int:
+    """A weight or factor as a code; one that does not fit is refused, not rounded."""
+    code = round(100 * value)
+    if abs(100 * value - code) > 1e-9 or abs(code) >= FACTOR_BASE:
+        raise ValueError(f"{value} is no number of hundredths below {FACTOR_BASE}")
+    return code
+
+
 def _token_codes() -> dict[str, int]:
     """Code per token; frequent roles first, as lookups scan in this order."""
     codes = dict.fromkeys(sorted(lx.clause_breaks), BREAK_CODE)
     codes |= dict.fromkeys(sorted(lx.contrasts), CONTRAST_CODE)
     codes |= dict.fromkeys(sorted(lx.negators), NEGATOR_CODE)
-    codes |= {t: FACTOR_BASE + round(100 * f) for t, f in lx.active_modifiers.items()}
-    codes |= {t: round(100 * w) for t, w in lx.active_opinions.items()}
+    codes |= {t: FACTOR_BASE + _hundredths(f) for t, f in lx.active_modifiers.items()}
+    codes |= {t: _hundredths(w) for t, w in lx.active_opinions.items()}
     return codes
 
 
@@ -224,33 +234,71 @@ def item_token(item: Column) -> Column:
     return F.substring_index(item, ":", -1)
 
 
+def running_product(factors: Column, n: Column, blocks: Column) -> Column:
+    """Product of the first n factors, from the products of whole blocks before."""
+    block = F.floor(n / F.lit(BLOCK)).cast("int")
+    rest = F.slice(factors, block * BLOCK + 1, n - block * BLOCK)
+    return F.aggregate(rest, F.get(blocks, block), lambda total, f: total * f)
+
+
+def block_products(factors: Column) -> Column:
+    """Product of all factors before each block; one more than there are whole blocks."""
+    products = F.transform(
+        F.sequence(F.lit(0), F.floor(F.size(factors) / F.lit(BLOCK)).cast("int")),
+        lambda b: F.aggregate(
+            F.slice(factors, b * BLOCK + 1, BLOCK), F.lit(1.0), lambda total, f: total * f
+        ),
+    )
+    return F.aggregate(
+        products,
+        F.array(F.lit(1.0)),
+        lambda done, p: F.concat(done, F.array(F.element_at(done, -1) * p)),
+    )
+
+
 def clause_opinions(items: Column) -> Column:
     """Opinions of one clause with the scope that reaches each of them.
 
-    The clause is sorted into its modifiers, its first negator and its opinions
-    once; each opinion then looks at the modifiers only, which are few.
+    The clause is cut at its modifiers, so the number of a part is that of the modifiers
+    before its opinions, whose product is taken from block products.  The cost is that
+    of BLOCK factors for each opinion, however long the clause.
     """
 
+    def is_modifier(item: Column) -> Column:
+        return lx.modifier_factor(item_token(item)).isNotNull()
+
+    cut = F.transform(
+        items,
+        lambda i: F.when(is_modifier(i), F.lit("|")).when(
+            lx.opinion_weight(item_token(i)).isNotNull(), i
+        ),
+    )
     sorted_out = F.struct(
-        F.filter(items, lambda i: lx.modifier_factor(item_token(i)).isNotNull()).alias("modifiers"),
+        F.transform(F.filter(items, is_modifier), lambda m: lx.modifier_factor(item_token(m))).alias(
+            "factors"
+        ),
         F.array_min(
             F.transform(F.filter(items, lambda i: lx.is_negator(item_token(i))), item_position)
         ).alias("negator"),
-        F.filter(items, lambda i: lx.opinion_weight(item_token(i)).isNotNull()).alias("said"),
+        F.split(F.array_join(cut, " "), r"\|").alias("parts"),
     )
 
-    def factor_before(clause: Column, pos: Column) -> Column:
-        earlier = F.filter(clause["modifiers"], lambda m: item_position(m) < pos)
-        return F.aggregate(
-            earlier, F.lit(1.0), lambda total, m: total * lx.modifier_factor(item_token(m))
-        )
-
-    def scoped(clause: Column, item: Column) -> Column:
+    def scoped(clause: Column, item: Column, modifiers: Column) -> Column:
         return F.struct(
             item_position(item).alias("pos"),
             item_token(item).alias("token"),
             F.coalesce(item_position(item) > clause["negator"], F.lit(False)).alias("negated"),
-            factor_before(clause, item_position(item)).alias("factor"),
+            running_product(clause["factors"], modifiers, clause["blocks"]).alias("factor"),
+        )
+
+    def opinions_of(clause: Column) -> Column:
+        return F.flatten(
+            F.transform(
+                clause["parts"],
+                lambda part, k: F.transform(
+                    F.filter(F.split(part, " "), lambda i: i != ""), lambda i: scoped(clause, i, k)
+                ),
+            )
         )
 
     def weighed(opinion: Column) -> Column:
@@ -261,9 +309,14 @@ def clause_opinions(items: Column) -> Column:
             clamp(F.when(opinion["negated"], -weight).otherwise(weight)).alias("signed_weight"),
         )
 
-    found = F.transform(
-        F.array(sorted_out), lambda c: F.transform(c["said"], lambda i: scoped(c, i))
+    blocked = F.transform(
+        F.array(sorted_out),
+        lambda c: F.struct(
+            *[c[n].alias(n) for n in ("factors", "negator", "parts")],
+            block_products(c["factors"]).alias("blocks"),
+        ),
     )
+    found = F.transform(blocked, opinions_of)
     return F.transform(F.get(found, F.lit(0)), weighed)
 
 

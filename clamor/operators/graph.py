@@ -25,6 +25,20 @@ EDGE_KEYS = ["src", "dst", "rel"]
 NODE_SUMS = ["weight", "pos", "neu", "neg", "score_sum"]
 EDGE_SUMS = ["weight", "score_sum"]
 
+# The label of the entities in each column, the columns that hold lists,
+# and the relations as source, target and name.
+SINGLE = {"MARCA": "brand", "USUARIO": "author", "PLATAFORMA": "platform"}
+LISTED = {"HASHTAG": "hashtags", "PALABRA": "keywords"}
+RELATIONS = [
+    ("USUARIO", "MARCA", "MENCIONA"),
+    ("USUARIO", "PLATAFORMA", "PUBLICA"),
+    ("MARCA", "PLATAFORMA", "EN_PLATAFORMA"),
+    ("USUARIO", "HASHTAG", "ETIQUETA"),
+    ("MARCA", "HASHTAG", "CON_HASHTAG"),
+    ("PALABRA", "MARCA", "APARECE_EN"),
+    ("PALABRA", "USUARIO", "USA"),
+]
+
 ALWAYS_KEPT = ["MARCA", "PLATAFORMA"]
 KEEP_PER_LABEL = 90
 SLICE_SIZE = 140
@@ -58,39 +72,34 @@ def _edge(src: Column, dst: Column, rel: str) -> Column:
     return F.struct(src.alias("src"), dst.alias("dst"), F.lit(rel).alias("rel"))
 
 
-def _node_array() -> Column:
-    single = F.array(
-        _node("MARCA", _named(F.col("brand"))),
-        _node("USUARIO", _named(F.col("author"))),
-        _node("PLATAFORMA", _named(F.col("platform"))),
-    )
-    tags = F.transform("hashtags", lambda h: _node("HASHTAG", h))
-    words = F.transform("keywords", lambda k: _node("PALABRA", k))
-    return F.filter(F.concat(single, tags, words), lambda n: n["node_id"].isNotNull())
+def _list(name: str) -> Column:
+    """A list column; a null one is empty."""
+    return F.coalesce(F.col(name), F.array().cast("array<string>"))
 
 
-def _edge_array() -> Column:
-    brand = node_id("MARCA", _named(F.col("brand")))
-    author = node_id("USUARIO", _named(F.col("author")))
-    platform = node_id("PLATAFORMA", _named(F.col("platform")))
+def _node_array() -> Column:
+    single = F.array(*[_node(label, _named(F.col(name))) for label, name in SINGLE.items()])
 
-    def tag(h: Column) -> Column:
-        return node_id("HASHTAG", h)
+    def nodes_of(label: str) -> Column:
+        return F.transform(_list(LISTED[label]), lambda v: _node(label, v))
 
-    def word(k: Column) -> Column:
-        return node_id("PALABRA", k)
+    listed = [nodes_of(label) for label in LISTED]
+    return F.filter(F.concat(single, *listed), lambda n: n["node_id"].isNotNull())
 
-    every = F.concat(
-        F.array(
-            _edge(author, brand, "MENCIONA"),
-            _edge(author, platform, "PUBLICA"),
-            _edge(brand, platform, "EN_PLATAFORMA"),
-        ),
-        F.transform("hashtags", lambda h: _edge(author, tag(h), "ETIQUETA")),
-        F.transform("hashtags", lambda h: _edge(brand, tag(h), "CON_HASHTAG")),
-        F.transform("keywords", lambda k: _edge(word(k), brand, "APARECE_EN")),
-        F.transform("keywords", lambda k: _edge(word(k), author, "USA")),
-    )
+
+def _edge_array() -> Column:
+    single = {label: node_id(label, _named(F.col(name))) for label, name in SINGLE.items()}
+
+    def edges_of(src: str, dst: str, rel: str) -> Column:
+        if src in LISTED:
+            own = _list(LISTED[src])
+            return F.transform(own, lambda v: _edge(node_id(src, v), single[dst], rel))
+        if dst in LISTED:
+            own = _list(LISTED[dst])
+            return F.transform(own, lambda v: _edge(single[src], node_id(dst, v), rel))
+        return F.array(_edge(single[src], single[dst], rel))
+
+    every = F.concat(*[edges_of(*relation) for relation in RELATIONS])
     return F.filter(every, lambda e: e["src"].isNotNull() & e["dst"].isNotNull())
 
 
@@ -105,41 +114,23 @@ def edge_contributions(facts: DataFrame, *extra: str) -> DataFrame:
 
 
 def edge_contributions_joined(facts: DataFrame) -> DataFrame:
-    """The same edges as equi joins of fact, tag and keyword rows by id.
+    """The same edges as one equi join of the entities of each fact.
 
-    For facts whose tags and keywords are stored as tables of their own.
+    For entities that are stored as a table of their own.  The relations are a constant
+    of seven rows.
     """
-    base = facts.select(
-        "mention_id",
-        "sentiment",
-        "score",
-        node_id("USUARIO", _named(F.col("author"))).alias("author"),
-        node_id("MARCA", _named(F.col("brand"))).alias("brand"),
-        node_id("PLATAFORMA", _named(F.col("platform"))).alias("platform"),
+    entities = facts.select("mention_id", "sentiment", "score", F.inline(_node_array()))
+    relations = facts.sparkSession.createDataFrame(
+        RELATIONS, "label string, dst_label string, rel string"
     )
-    tags = facts.select("mention_id", F.explode("hashtags").alias("h")).select(
-        "mention_id", node_id("HASHTAG", F.col("h")).alias("tag")
+    sources = entities.join(F.broadcast(relations), "label").select(
+        "mention_id", "dst_label", F.col("node_id").alias("src"), "rel", "sentiment", "score"
     )
-    words = facts.select("mention_id", F.explode("keywords").alias("k")).select(
-        "mention_id", node_id("PALABRA", F.col("k")).alias("word")
+    targets = entities.select(
+        "mention_id", F.col("label").alias("dst_label"), F.col("node_id").alias("dst")
     )
-    with_tags, with_words = base.join(tags, "mention_id"), base.join(words, "mention_id")
-
-    def relation(rows: DataFrame, src: str, dst: str, rel: str) -> DataFrame:
-        both = F.col(src).isNotNull() & F.col(dst).isNotNull()
-        return rows.where(both).select(
-            F.col(src).alias("src"), F.col(dst).alias("dst"), F.lit(rel).alias("rel"),
-            "sentiment", "score",
-        )
-
-    return (
-        relation(base, "author", "brand", "MENCIONA")
-        .unionByName(relation(base, "author", "platform", "PUBLICA"))
-        .unionByName(relation(base, "brand", "platform", "EN_PLATAFORMA"))
-        .unionByName(relation(with_tags, "author", "tag", "ETIQUETA"))
-        .unionByName(relation(with_tags, "brand", "tag", "CON_HASHTAG"))
-        .unionByName(relation(with_words, "word", "brand", "APARECE_EN"))
-        .unionByName(relation(with_words, "word", "author", "USA"))
+    return sources.join(targets, ["mention_id", "dst_label"]).select(
+        "src", "dst", "rel", "sentiment", "score"
     )
 
 
@@ -266,7 +257,10 @@ def top_nodes(nodes: DataFrame, per_label: int = KEEP_PER_LABEL) -> DataFrame:
 
 
 def edges_among(edges: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Edges with both ends in ``nodes``."""
+    """Edges with both ends in ``nodes``, which are read twice.
+
+    Where the caller knows a bound of ``nodes`` it marks them for broadcast.
+    """
     src = nodes.select(F.col("node_id").alias("src"))
     dst = nodes.select(F.col("node_id").alias("dst"))
     return edges.join(src, "src", "left_semi").join(dst, "dst", "left_semi")
@@ -281,10 +275,13 @@ def slice_nodes(nodes: DataFrame, limit: int = SLICE_SIZE) -> DataFrame:
 
 
 def slice_edges(edges: DataFrame, chosen: DataFrame) -> DataFrame:
-    """Distinct edges inside the slice, heaviest first, with an id."""
+    """Edges inside the slice, heaviest first, with an id.
+
+    ``edges`` holds one row for each edge, and a slice at most 1000 nodes, so the slice
+    is sent to the edges and these are not shuffled.
+    """
     return (
-        edges_among(edges, chosen)
-        .dropDuplicates(EDGE_KEYS)
+        edges_among(edges, F.broadcast(chosen))
         .withColumn("edge_id", edge_id())
         .orderBy(F.desc("weight"), "edge_id")
     )

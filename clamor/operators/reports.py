@@ -29,11 +29,10 @@ def latest(facts: DataFrame, column: str = "ts") -> Column:
 # --------------------------------------------------------------------------
 
 
-def buckets(facts: DataFrame) -> DataFrame:
+def buckets(facts: DataFrame, *extra: str) -> DataFrame:
     """Mentions per minute and class."""
-    return facts.groupBy(F.date_trunc("minute", "ts").alias("bucket"), "sentiment").agg(
-        F.count("*").alias("mentions")
-    )
+    minute = F.date_trunc("minute", "ts").alias("bucket")
+    return facts.groupBy(*extra, minute, "sentiment").agg(F.count("*").alias("mentions"))
 
 
 def minute_buckets(facts: DataFrame, as_of: Column, window_minutes: int = 20) -> DataFrame:

@@ -11,8 +11,6 @@ from clamor.session import materialise
 
 BRAND_NODE = "MARCA"
 KEPT_NODES = 160
-# Places inside one message that the order of touches tells apart.
-PLACES = 1000
 
 
 def majority(pos: str = "pos", neu: str = "neu", neg: str = "neg") -> Column:
@@ -41,8 +39,8 @@ def _element(src: Column, label: str, name: Column, dst: Column, rel: str) -> Co
 def session_elements(messages: DataFrame, brand: str = "Marca") -> DataFrame:
     """Nodes (``dst`` null) and edges with class counts and last touch.
 
-    A touch is ordered by time, then by its place inside the message.  Both
-    share one number, which keeps the aggregate in a hash table.
+    Messages touch their elements one after another: touches are ordered by time, then
+    by mention, then by the place inside the message.
     """
     none = F.lit(None).cast("string")
     centre = F.lit(BRAND_NODE)
@@ -71,19 +69,17 @@ def session_elements(messages: DataFrame, brand: str = "Marca") -> DataFrame:
         )
     )
     touched = _first_seen(messages).select(
-        "ts", "sentiment", F.posexplode(F.concat(fixed, spoken)).alias("place", "e")
+        "ts", "mention_id", "sentiment", F.posexplode(F.concat(fixed, spoken)).alias("place", "e")
     )
-    place_number = F.least(F.col("place"), F.lit(PLACES - 1))
     return (
         touched.where(F.col("e.src").isNotNull())
-        .withColumn("touch", F.unix_micros("ts") * PLACES + place_number)
         .groupBy("e.src", "e.label", "e.name", "e.dst", "e.rel")
         .agg(
             F.count("*").alias("weight"),
             F.count_if(F.col("sentiment") == POSITIVE).alias("pos"),
             F.count_if(~F.coalesce(F.col("sentiment"), F.lit("")).isin(POSITIVE, NEGATIVE)).alias("neu"),
             F.count_if(F.col("sentiment") == NEGATIVE).alias("neg"),
-            F.max("touch").alias("last_touch"),
+            F.max(F.struct("ts", "mention_id", "place")).alias("last_touch"),
         )
         .withColumn("sentiment", majority())
     )

@@ -11,15 +11,17 @@ from pyspark.sql import functions as F
 
 from clamor.operators import graph as gr
 from clamor.operators import reports
+from clamor.operators.session_graph import session_graph
 from clamor.sources.store import MentionStore
 
 
 def health(store: MentionStore, default_brand: str) -> DataFrame:
-    return reports.health(store.read("batch_stats"), store.read("mentions"), default_brand)
+    facts = store.read_complete("mentions")
+    return reports.health(store.read("batch_stats"), facts, default_brand)
 
 
 def kpis(store: MentionStore) -> DataFrame:
-    return reports.kpi_ratios(reports.kpis(store.read("mentions")))
+    return reports.kpi_ratios(reports.kpis(store.read_complete("mentions")))
 
 
 def trend(store: MentionStore, minutes: int = 30, as_of: Column | None = None) -> DataFrame:
@@ -35,15 +37,32 @@ def graph(store: MentionStore, limit: int = 140) -> tuple[DataFrame, DataFrame]:
 
 
 def messages(store: MentionStore, limit: int = 30) -> DataFrame:
-    return reports.latest_mentions(store.read("mentions"), limit)
+    return reports.latest_mentions(store.read_complete("mentions"), limit)
 
 
 def accuracy(store: MentionStore) -> tuple[DataFrame, DataFrame]:
     """(confusion matrix, accuracy per class)."""
-    facts = store.read("mentions")
+    facts = store.read_complete("mentions")
     return reports.confusion(facts), reports.class_accuracy(facts)
 
 
+def visible(store: MentionStore, kinds: list[str], top: int = 30) -> DataFrame:
+    """The nodes to draw, with their display size."""
+    nodes, _ = store.graph()
+    return gr.scaled(gr.visible_nodes(nodes, kinds, top), gr.NODE_CONSTANT)
+
+
+def neighbourhood(store: MentionStore, centre: str) -> tuple[DataFrame, DataFrame]:
+    """(nodes, edges) around a node."""
+    return gr.neighbourhood(*store.graph(), centre)
+
+
+def session(store: MentionStore, brand: str, keep: int | None = None) -> DataFrame:
+    """Session graph of the stored mentions of a brand."""
+    own = store.read_complete("mentions").where(F.col("brand") == brand)
+    return session_graph(own, brand, keep)
+
+
 def work(store: MentionStore, limit: int = 40) -> tuple[DataFrame, DataFrame]:
     """(newest batches, totals over all batches)."""
     stats = store.read("batch_stats")
@@ -53,7 +72,7 @@ def work(store: MentionStore, limit: int = 40) -> tuple[DataFrame, DataFrame]:
 def register_views(store: MentionStore) -> None:
     """Temporary views of the store for SQL: mentions, sentiment_buckets,
     batch_stats, graph_nodes, graph_edges, kpis and accuracy."""
-    facts = store.read("mentions")
+    facts = store.read_complete("mentions")
     nodes, edges = store.graph()
     views = {
         "mentions": facts,

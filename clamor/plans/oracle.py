@@ -268,6 +268,13 @@ ranked AS (
 GRAPH = f"{FACTS}, {_graph('facts')}"
 CLEAN_GRAPH = f"{CLEAN_FACTS}, {_graph('clean_facts')}"
 
+NULL_GRAPH = f"""{FACTS},
+null_facts AS (
+  SELECT * REPLACE (CASE WHEN n % 4 = 1 THEN [] ELSE hashtags END AS hashtags,
+                    CASE WHEN n % 3 = 0 THEN [] ELSE keywords END AS keywords)
+  FROM facts
+), {_graph('null_facts')}"""
+
 SLICE = f"""{GRAPH},
 slice AS (
   SELECT node_id, label, name, weight, pos, neu, neg, score_sum, sentiment FROM nodes_s
@@ -302,7 +309,7 @@ session AS (
          count(*) FILTER (WHERE sentiment = 'POSITIVO') AS pos,
          count(*) FILTER (WHERE sentiment = 'NEUTRAL') AS neu,
          count(*) FILTER (WHERE sentiment = 'NEGATIVO') AS neg,
-         max(epoch_us(ts) * 1000 + touch) AS last_touch
+         max(struct_pack(ts := ts, mention_id := mention_id, touch := touch)) AS last_touch
   FROM touches GROUP BY src, dst, rel, name
 ),
 classed AS (
@@ -340,6 +347,10 @@ SCORE_LIST = (
     "mention_id, sentiment, score, raw_score, confidence, tokens, opinions, decisions, "
     + JOINED.format("keywords")
 )
+CLEAN_BUCKETS = (
+    "SELECT CAST(date_trunc('minute', ts) AS VARCHAR) AS bucket, sentiment, "
+    "count(*) AS mentions FROM clean_facts GROUP BY 1, 2"
+)
 STORED = "mention_id, brand, source, platform, author, sentiment, score, confidence"
 SESSION_LIST = "src, dst, rel, name, weight, pos, neu, neg, sentiment"
 STATS_LIST = (
@@ -356,11 +367,24 @@ def _over(src: str, ctes: str, select: str) -> str:
     return _with(f"{MENTIONS}, {src}, {ctes}", select)
 
 
+def _capped(session: str) -> str:
+    return _with(
+        f"""{session},
+        kept AS (
+          SELECT src FROM classed WHERE dst = '' AND src = 'MARCA'
+          UNION ALL
+          (SELECT src FROM classed WHERE dst = '' AND src <> 'MARCA' ORDER BY last_touch DESC, src LIMIT 59)
+        )""",
+        f"""SELECT {SESSION_LIST} FROM classed WHERE src IN (SELECT src FROM kept)
+        AND (dst = '' OR dst IN (SELECT src FROM kept))""",
+    )
+
+
 ORACLE: dict[str, str] = {
     # A
     "json_decode": _with(
         MENTIONS,
-        f"""SELECT mention_id, {TS.format("date_trunc('millisecond', ts)")} AS ts, brand, source,
+        f"""SELECT mention_id, {TS.format("ts")} AS ts, brand, source,
         author, platform, text, lang, array_to_string(hashtags, ',') AS hashtags,
         author_followers, CASE WHEN n % 43 = 0 THEN -1 ELSE likes END AS likes, shares, expected
         FROM mentions WHERE n % 41 <> 0""",
@@ -368,7 +392,7 @@ ORACLE: dict[str, str] = {
     "json_encode": _with(
         MENTIONS,
         """SELECT mention_id AS key, '{"mention_id":"' || mention_id || '","ts":"'
-        || strftime(date_trunc('millisecond', ts), '%Y-%m-%dT%H:%M:%S.%g') || 'Z","brand":"' || brand || '"'
+        || strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || 'Z","brand":"' || brand || '"'
         || coalesce(',"source":"' || source || '"', '')
         || ',"author":"' || author || '","platform":"' || platform || '","text":"' || text || '"'
         || coalesce(',"lang":"' || lang || '"', '')
@@ -526,6 +550,16 @@ ORACLE: dict[str, str] = {
     ),
     "edge_contrib_join": _with(GRAPH, "SELECT src, dst, rel, sentiment, score FROM edge_rows"),
     "graph_nodes": _with(GRAPH, "SELECT * FROM nodes"),
+    "graph_nodes_null_lists": _with(NULL_GRAPH, "SELECT * FROM nodes"),
+    "graph_edges_null_lists": _with(NULL_GRAPH, "SELECT * FROM edges"),
+    "graph_elements_null_lists": _with(
+        NULL_GRAPH,
+        """SELECT node_id AS element, weight FROM nodes_s
+        UNION ALL SELECT src || '->' || dst || ':' || rel, weight FROM edges_s""",
+    ),
+    "edge_contrib_join_null_lists": _with(
+        NULL_GRAPH, "SELECT src, dst, rel, sentiment, score FROM edge_rows"
+    ),
     "graph_edges": _with(GRAPH, "SELECT * FROM edges"),
     "graph_sentiment": _with(
         GRAPH,
@@ -589,15 +623,12 @@ ORACLE: dict[str, str] = {
         FROM bounds""",
     ),
     "session_graph": _with(SESSION, f"SELECT {SESSION_LIST} FROM classed"),
-    "session_graph_capped": _with(
-        f"""{SESSION},
-        kept AS (
-          SELECT src FROM classed WHERE dst = '' AND src = 'MARCA'
-          UNION ALL
-          (SELECT src FROM classed WHERE dst = '' AND src <> 'MARCA' ORDER BY last_touch DESC, src LIMIT 59)
-        )""",
-        f"""SELECT {SESSION_LIST} FROM classed WHERE src IN (SELECT src FROM kept)
-        AND (dst = '' OR dst IN (SELECT src FROM kept))""",
+    "session_graph_capped": _capped(SESSION),
+    "session_graph_ties": _capped(
+        SESSION.replace(" FROM facts", " FROM day_facts").replace(
+            "touches AS (",
+            "day_facts AS (SELECT * REPLACE (date_trunc('day', ts) AS ts) FROM facts),\ntouches AS (",
+        )
     ),
     "applied_batches": _with(FACTS, "SELECT count(DISTINCT batch_id) AS batches FROM stats"),
     # E
@@ -745,10 +776,24 @@ ORACLE: dict[str, str] = {
     ),
     "graph_replay": _with(CLEAN_GRAPH, "SELECT * FROM nodes_s"),
     "stream_graph": _with(CLEAN_GRAPH, "SELECT * FROM edges_s"),
-    "stream_buckets": _with(
-        FACTS,
-        """SELECT CAST(date_trunc('minute', ts) AS VARCHAR) AS bucket, sentiment,
-        count(*) AS mentions FROM facts GROUP BY 1, 2""",
+    "stream_buckets": _with(CLEAN_FACTS, CLEAN_BUCKETS),
+    "stream_buckets_runs": _with(CLEAN_FACTS, CLEAN_BUCKETS),
+    "stream_recovery": _with(CLEAN_FACTS, CLEAN_BUCKETS),
+    "stream_recovery_stats": _with(
+        CLEAN_FACTS,
+        """SELECT run_id, 0 AS batch_id, count(mention_id) AS messages,
+        coalesce(sum(tokens), 0)::BIGINT AS total_tokens,
+        coalesce(sum(opinions), 0)::BIGINT AS opinions,
+        count(*) FILTER (WHERE expected = sentiment) AS correct
+        FROM (VALUES ('lost'), ('new')) runs(run_id)
+        LEFT JOIN clean_facts ON (batch_id % 3 = 0) = (run_id = 'lost') GROUP BY 1""",
+    ),
+    "history_load": _with(FACTS, CLEAN_BUCKETS.replace("clean_facts", "facts")),
+    "history_graph": _with(GRAPH, "SELECT * FROM nodes_s"),
+    "replayed_batch": _with(
+        CLEAN_FACTS,
+        """SELECT 0 AS batch_id, count(*) AS messages, true AS timed, 1 AS last_batch FROM clean_facts
+        UNION ALL SELECT 1, 0, true, 1""",
     ),
     "stream_dedup": _with(
         MENTIONS,

@@ -284,6 +284,36 @@ def graph_edges(spark, sf):
     return graph.graph_edges(facts(spark, sf))
 
 
+def facts_with_null_lists(spark: SparkSession, sf: str) -> DataFrame:
+    """Facts scored elsewhere: some have no tags, some no keywords, some neither."""
+    n = F.substring("mention_id", 2, 20).cast("long")
+    return facts(spark, sf).withColumns(
+        {
+            "hashtags": F.when(n % 4 != 1, F.col("hashtags")),
+            "keywords": F.when(n % 3 != 0, F.col("keywords")),
+        }
+    )
+
+
+def graph_nodes_null_lists(spark, sf):
+    return graph.graph_nodes(facts_with_null_lists(spark, sf))
+
+
+def graph_edges_null_lists(spark, sf):
+    return graph.graph_edges(facts_with_null_lists(spark, sf))
+
+
+def graph_elements_null_lists(spark, sf):
+    every_node, every_edge = graph.build_graph(facts_with_null_lists(spark, sf))
+    ids = [every_node.select(F.col("node_id").alias("element"), "weight")]
+    ids.append(every_edge.select(graph.edge_id().alias("element"), "weight"))
+    return ids[0].unionByName(ids[1])
+
+
+def edge_contrib_join_null_lists(spark, sf):
+    return graph.edge_contributions_joined(materialise(facts_with_null_lists(spark, sf)))
+
+
 def graph_sentiment(spark, sf):
     every_node, every_edge = stored_graph(spark, sf)
     named = every_edge.select(graph.edge_id().alias("element"), "weight", "sentiment")
@@ -368,6 +398,12 @@ def session(spark, sf):
     return _session(session_graph(facts(spark, sf)))
 
 
+def session_ties(spark, sf):
+    """Many messages of the same time: they touch their elements one after another."""
+    same = facts(spark, sf).withColumn("ts", F.date_trunc("day", "ts"))
+    return _session(session_graph(same, keep=60))
+
+
 def session_capped(spark, sf):
     return _session(session_graph(facts(spark, sf), keep=60))
 
@@ -558,6 +594,11 @@ QUERIES: dict[str, Query] = {
     "graph_scaled": graph_scaled,
     "session_graph": session,
     "session_graph_capped": session_capped,
+    "session_graph_ties": session_ties,
+    "graph_nodes_null_lists": graph_nodes_null_lists,
+    "graph_edges_null_lists": graph_edges_null_lists,
+    "graph_elements_null_lists": graph_elements_null_lists,
+    "edge_contrib_join_null_lists": edge_contrib_join_null_lists,
     "applied_batches": applied_batches,
     "minute_buckets": minute_buckets,
     "trend": trend,

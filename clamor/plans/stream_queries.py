@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clamor.operators.mentions import dedupe, mention_facts, split_rejects, valid_rows
+from clamor.operators import reports
 from clamor.plans import fixtures as fx
-from clamor.session import work_folder
+from clamor.session import configure, work_folder
 from clamor.sources.messages import decode, encode, file_stream, write_files
 from clamor.sources.store import MentionStore
 from clamor.streaming import job
@@ -114,8 +115,8 @@ def sink_idempotent(spark, sf):
 def graph_seed(spark, sf):
     store = MentionStore(spark, work_folder(spark, "store"))
     store.load_history(mention_facts(fx.mentions(spark, sf), ("processed_at",)))
-    store.seed_graph()
-    store.seed_graph()
+    store.rebuild_ledgers(BRAND)
+    store.rebuild_ledgers(BRAND)
     kept, _ = store.write_graph_snapshot(per_label=90)
     return kept
 
@@ -143,14 +144,42 @@ def stream_graph(spark, sf):
     return edges
 
 
+def stream_session(spark: SparkSession) -> SparkSession:
+    """A session of its own, for the settings of streaming state."""
+    own = configure(spark.newSession())
+    job.use_state_settings(own)
+    return own
+
+
+def count_live(spark: SparkSession, folder: str, out: str, checkpoint: str) -> None:
+    own = stream_session(spark)
+    arriving = valid_rows(decode(file_stream(own, folder, few_batches(spark, folder))))
+    job.write_live_buckets(job.live_buckets(arriving, DELAY), out, checkpoint).awaitTermination()
+
+
+def as_text(buckets: DataFrame) -> DataFrame:
+    return buckets.withColumn("bucket", F.col("bucket").cast("string"))
+
+
 def stream_buckets(spark, sf):
+    """Live counts of the raw messages, copies and rejects among them."""
     folder, out = work_folder(spark, "messages"), work_folder(spark, "table")
-    write_files(fx.mentions(spark, sf), folder, ROWS_PER_FILE)
-    job.use_state_settings(spark)
-    arriving = valid_rows(decode(file_stream(spark, folder, few_batches(spark, folder))))
-    counted = job.live_buckets(arriving, DELAY)
-    job.write_live_buckets(counted, out, work_folder(spark, "checkpoint")).awaitTermination()
-    return job.read_live_buckets(spark, out).withColumn("bucket", F.col("bucket").cast("string"))
+    rows = fx.raw_mentions(spark, sf)
+    write_files(rows, folder, ROWS_PER_FILE)
+    write_files(copies_of(rows), folder, ROWS_PER_FILE)
+    count_live(spark, folder, out, work_folder(spark, "checkpoint"))
+    return as_text(job.read_live_buckets(spark, out))
+
+
+def stream_buckets_runs(spark, sf):
+    """Live counts over two checkpoints; each has files of its own."""
+    out = work_folder(spark, "table")
+    rows = fx.raw_mentions(spark, sf)
+    for part in (F.col("batch_id") % 2 == 0, F.col("batch_id") % 2 == 1):
+        folder = work_folder(spark, "messages")
+        write_files(rows.where(part), folder, ROWS_PER_FILE)
+        count_live(spark, folder, out, work_folder(spark, "checkpoint"))
+    return as_text(job.read_live_buckets(spark, out))
 
 
 def stream_dedup(spark, sf):
@@ -158,9 +187,8 @@ def stream_dedup(spark, sf):
     rows = fx.raw_mentions(spark, sf)
     write_files(rows, folder, ROWS_PER_FILE)
     write_files(copies_of(rows), folder, ROWS_PER_FILE)
-    job.use_state_settings(spark)
-    arriving = valid_rows(decode(file_stream(spark, folder, few_batches(spark, folder))))
-    unique = job.unique_stream(arriving, DELAY)
+    arriving = file_stream(stream_session(spark), folder, few_batches(spark, folder))
+    unique = job.unique_stream(valid_rows(decode(arriving)), DELAY)
     query = (
         unique.writeStream.format("parquet")
         .option("checkpointLocation", work_folder(spark, "checkpoint"))
@@ -171,6 +199,61 @@ def stream_dedup(spark, sf):
     return spark.read.parquet(out).select("mention_id", "platform", "text")
 
 
+def crashed_store(spark: SparkSession, sf: str) -> MentionStore:
+    """One run wrote the facts of a batch and ended, its checkpoint is lost; a new run
+    gets all messages again, among them those of that batch."""
+    rows = valid_rows(fx.raw_mentions(spark, sf))
+    store = MentionStore(spark, work_folder(spark, "store"))
+    accepted, _ = split_rejects(rows.where(F.col("batch_id") % 3 == 0))
+    facts = mention_facts(dedupe(accepted), ("processed_at",))
+    store.write_batch("mentions", facts, "lost", 0)
+    store.rebuild_ledgers(BRAND, running="new")
+    job.process_batch(store, "new", BRAND, rows, 0)
+    return store
+
+
+def stream_recovery(spark, sf):
+    return as_text(crashed_store(spark, sf).bucket_rows())
+
+
+def stream_recovery_stats(spark, sf):
+    stats = crashed_store(spark, sf).read("batch_stats")
+    return stats.select("run_id", "batch_id", "messages", "total_tokens", "opinions", "correct")
+
+
+def loaded_history(spark: SparkSession, sf: str) -> MentionStore:
+    """Two loads of history, neither of which replaces the other."""
+    store = MentionStore(spark, work_folder(spark, "store"))
+    facts = mention_facts(fx.mentions(spark, sf), ("processed_at",))
+    for own in (F.col("brand") == BRAND, F.col("brand") != BRAND):
+        store.load_history(facts.where(own))
+        store.rebuild_ledgers(BRAND)
+    return store
+
+
+def history_load(spark, sf):
+    return as_text(loaded_history(spark, sf).bucket_rows())
+
+
+def history_graph(spark, sf):
+    nodes, _ = loaded_history(spark, sf).graph()
+    return nodes
+
+
+def replayed_batch(spark, sf):
+    """A second batch brings known messages only; its record tells when that was."""
+    rows = valid_rows(fx.raw_mentions(spark, sf))
+    store = MentionStore(spark, work_folder(spark, "store"))
+    job.process_batch(store, "run", BRAND, rows, 0)
+    job.process_batch(store, "run", BRAND, rows, 1)
+    stats = store.read("batch_stats")
+    state = reports.pipeline_state(stats).select("last_batch")
+    return stats.select(
+        "batch_id", "messages", F.col("processed_at").isNotNull().alias("timed"),
+        state.scalar().alias("last_batch"),
+    )
+
+
 STREAM_QUERIES = {
     "stream_source": stream_source,
     "stream_run": stream_run,
@@ -180,5 +263,11 @@ STREAM_QUERIES = {
     "graph_replay": graph_replay,
     "stream_graph": stream_graph,
     "stream_buckets": stream_buckets,
+    "stream_buckets_runs": stream_buckets_runs,
     "stream_dedup": stream_dedup,
+    "stream_recovery": stream_recovery,
+    "stream_recovery_stats": stream_recovery_stats,
+    "history_load": history_load,
+    "history_graph": history_graph,
+    "replayed_batch": replayed_batch,
 }

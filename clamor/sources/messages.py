@@ -11,6 +11,9 @@ from clamor.schema import MESSAGE
 
 RECORDS_PER_TRIGGER = 5000
 
+# Times on the wire keep their microseconds.
+WIRE_TIME = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+
 
 def topic_stream(
     spark: SparkSession, servers: str, topic: str, records_per_trigger: int = RECORDS_PER_TRIGGER
@@ -50,7 +53,7 @@ def encode(messages: DataFrame) -> DataFrame:
     """(key, value) of each message: its id, and its columns as JSON."""
     columns = [F.col(f.name) for f in MESSAGE]
     return messages.select(
-        F.col("mention_id").alias("key"), F.to_json(F.struct(*columns)).alias("value")
+        F.col("mention_id").alias("key"), F.to_json(F.struct(*columns), WIRE_TIME).alias("value")
     )
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clamor.operators import graph
+from clamor.operators import graph, reports
 
 PARTITION = "run_id string, batch_id bigint"
 TABLES = {
@@ -84,43 +84,83 @@ class MentionStore:
         own = (F.col("run_id") == run_id) & (F.col("batch_id") == batch_id)
         return self.read("mentions").where(~own).select("mention_id")
 
-    def load_history(self, facts: DataFrame, batch_id: int = 0) -> None:
-        """Store facts that were scored elsewhere; ``seed_graph`` adds them."""
-        self.write_batch("mentions", facts, SEED_RUN, batch_id)
+    def load_history(self, facts: DataFrame, batch_id: int | None = None) -> int:
+        """Store facts that were scored elsewhere as a batch of their own.
+
+        Each load has a number of its own, by default the next one; one that is taken is
+        refused, as facts that others were computed from are never replaced.
+        ``rebuild_ledgers`` adds what follows from them.
+        """
+        taken = {batch for run, batch in self.batches("mentions") if run == SEED_RUN}
+        number = max(taken, default=-1) + 1 if batch_id is None else batch_id
+        if number in taken:
+            raise ValueError(f"history batch {number} is stored already")
+        self.write_batch("mentions", facts, SEED_RUN, number)
+        return number
 
     # Derived tables -------------------------------------------------------
 
     def batches(self, table: str) -> set[tuple[str, int]]:
-        """(run, batch) of every stored partition, from folder names alone."""
+        """(run, batch) of every partition that was written to its end, from names alone."""
         jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
-        pattern = jvm.org.apache.hadoop.fs.Path(f"{self.path(table)}/run_id=*/batch_id=*")
+        pattern = jvm.org.apache.hadoop.fs.Path(f"{self.path(table)}/run_id=*/batch_id=*/part-*")
         found = pattern.getFileSystem(conf).globStatus(pattern) or []
-        folders = [(f.getPath().getParent().getName(), f.getPath().getName()) for f in found]
-        return {(run.split("=", 1)[1], int(batch.split("=", 1)[1])) for run, batch in folders}
-
-    def seed_graph(self) -> None:
-        """Write graph ledgers for stored batches that have none.
-
-        Only the partitions of those batches are read, and each batch replaces
-        its own partition only, so this is safe to repeat.
+        folders = {f.getPath().getParent() for f in found}
+        pairs = [(f.getParent().getName(), f.getName()) for f in folders]
+        return {(run.split("=", 1)[1], int(batch.split("=", 1)[1])) for run, batch in pairs}
+
+    def rebuild_ledgers(self, brand: str = "", running: str | None = None) -> None:
+        """Write buckets, graph and batch record for stored facts that lack them.
+
+        Such facts are history, or were left by a run that ended between its outputs and
+        whose checkpoint is lost.  ``running`` names the run that goes on from its
+        checkpoint: it repeats its last batch itself.  Only the partitions concerned are
+        read, each replaces its own partition only, and the record comes last, so this
+        is safe to repeat.
         """
-        missing = self.batches("mentions") - self.batches("graph")
-        for run_id in sorted({run for run, _ in missing}):
-            numbers = sorted(batch for run, batch in missing if run == run_id)
-            own = (F.col("run_id") == run_id) & F.col("batch_id").isin(numbers)
-            rows = graph.graph_elements(self.read("mentions").where(own), "run_id", "batch_id")
-            rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-                "run_id", "batch_id"
-            ).parquet(self.path("graph"))
+        stored = self.batches("mentions")
+        if self.exists(self.path("folded")):
+            folded = self.spark.read.schema(PARTITION).parquet(self.path("folded"))
+            stored -= {(row["run_id"], row["batch_id"]) for row in folded.collect()}
+        if running is not None:
+            stored -= {b for b in stored if b[0] == running} - self.batches("batch_stats")
+        keys = ("run_id", "batch_id")
+
+        def stats(facts: DataFrame) -> DataFrame:
+            counted = reports.with_batch_accuracy(reports.batch_counters(facts, keys))
+            return counted.na.fill(0).withColumn("brand", F.lit(brand))
+
+        makers = {
+            "buckets": lambda facts: reports.buckets(facts, *keys),
+            "graph": lambda facts: graph.graph_elements(facts, *keys),
+            "batch_stats": stats,
+        }
+        for table, make in makers.items():
+            names = [*T.StructType.fromDDL(TABLES[table]).names, *keys]
+            missing = stored - self.batches(table)
+            for run_id in sorted({run for run, _ in missing}):
+                numbers = sorted(batch for run, batch in missing if run == run_id)
+                own = (F.col("run_id") == run_id) & F.col("batch_id").isin(numbers)
+                rows = make(self.read("mentions").where(own)).select(*names)
+                rows.write.mode("overwrite").option(
+                    "partitionOverwriteMode", "dynamic"
+                ).partitionBy(*keys).parquet(self.path(table))
+
+    def read_complete(self, table: str) -> DataFrame:
+        """Rows of the batches that have their record: all tables agree on these."""
+        done = self.read("batch_stats").select("run_id", "batch_id").distinct()
+        if self.exists(self.path("folded")):
+            done = done.unionAll(self.spark.read.schema(PARTITION).parquet(self.path("folded")))
+        return self.read(table).join(done, ["run_id", "batch_id"], "left_semi")
 
     def graph(self) -> tuple[DataFrame, DataFrame]:
         """(nodes, edges) added up over all batches."""
-        merged = graph.merge_elements(self.read("graph"))
+        merged = graph.merge_elements(self.read_complete("graph"))
         return graph.split_elements(graph.with_sentiment(merged))
 
     def bucket_rows(self) -> DataFrame:
         return (
-            self.read("buckets")
+            self.read_complete("buckets")
             .groupBy("bucket", "sentiment")
             .agg(F.sum("mentions").alias("mentions"))
         )
@@ -140,7 +180,8 @@ class MentionStore:
         """Copy the store with all batches folded into one partition per table.
 
         The copy is a store of its own, so a failed run leaves this one as it
-        was.  Batch records stay one row each: they tell which batches are done.
+        was.  Batch records stay one row each: they tell which batches are done.  The
+        folded partition is named in a table of its own, as it has no record.
         """
         target.write_batch("mentions", self.read("mentions"), run_id, 0)
         target.write_batch("rejects", self.read("rejects"), run_id, 0)
@@ -149,6 +190,8 @@ class MentionStore:
         self.read("batch_stats").write.mode("overwrite").partitionBy(
             "run_id", "batch_id"
         ).parquet(target.path("batch_stats"))
+        folded = self.spark.createDataFrame([(run_id, 0)], PARTITION)
+        folded.write.mode("overwrite").parquet(target.path("folded"))
 
 
 def write_jdbc(rows: DataFrame, url: str, table: str, rows_per_insert: int = 500) -> None:

@@ -50,10 +50,12 @@ def process_batch(
     An empty batch is skipped, and so is one that is already complete.
 
     Facts are written first, and everything else is computed from the written
-    partition: texts are scored once, and a lost executor costs no rescoring.
+    partition: texts are scored once, and a lost executor costs no rescoring.  Facts and
+    record carry the one time of the batch, also where no row is new.
     """
     if store.is_complete(run_id, batch_id):
         return None
+    now = F.lit(messages.sparkSession.sql("SELECT current_timestamp()").first()[0])
     accepted, rejected = split_rejects(messages)
     unique = dedupe(accepted).persist()
     try:
@@ -61,7 +63,7 @@ def process_batch(
         if rows == 0 and rejected.isEmpty():
             return None
         new = without_known(unique, store.known_ids(run_id, batch_id), rows <= FEW_IDS)
-        facts = mention_facts(new.withColumn("processed_at", F.current_timestamp()), ("processed_at",))
+        facts = mention_facts(new.withColumn("processed_at", now), ("processed_at",))
         store.write_batch("mentions", facts, run_id, batch_id)
     finally:
         unique.unpersist()
@@ -80,7 +82,7 @@ def process_batch(
     store.write_batch("graph", elements, run_id, batch_id)
     stats = with_batch_accuracy(batch_counters(stored, ())).na.fill(0)
     # One row; its values are observed as it is written.
-    stats = stats.withColumn("brand", F.lit(brand)).observe(
+    stats = stats.withColumns({"brand": F.lit(brand), "processed_at": now}).observe(
         counters, *[F.max(c).alias(c) for c in SUMMARY]
     )
     store.write_batch("batch_stats", stats, run_id, batch_id)
@@ -101,9 +103,9 @@ def start(
     spark = values.sparkSession
     store = MentionStore(spark, root)
     try:
-        store.seed_graph()
+        store.rebuild_ledgers(brand, run_of(spark, checkpoint))
     except Exception as error:  # the stream has to start in any case
-        LOG.warning("graph not seeded: %s", error)
+        LOG.warning("ledgers not rebuilt: %s", error)
 
     def on_batch(messages: DataFrame, batch_id: int) -> None:
         # Streaming switches adaptive execution off in the session of its
@@ -125,6 +127,14 @@ def start(
     return writer.trigger(processingTime=f"{trigger_seconds} seconds").start()
 
 
+def run_of(spark: SparkSession, checkpoint: str) -> str | None:
+    """Id of the query that a checkpoint belongs to; None for a new one."""
+    if not MentionStore(spark, checkpoint).exists(f"{checkpoint}/metadata"):
+        return None
+    found = F.get_json_object("value", "$.id").alias("id")
+    return spark.read.text(f"{checkpoint}/metadata").select(found).first()["id"]
+
+
 def use_state_settings(spark: SparkSession) -> None:
     for key, value in STATE_SETTINGS.items():
         spark.conf.set(key, value)
@@ -146,35 +156,42 @@ def unique_stream(messages: DataFrame, delay: str = "1 hour") -> DataFrame:
 
 
 def live_buckets(messages: DataFrame, delay: str = "10 minutes") -> DataFrame:
-    """Running mentions per minute and class; rows later than ``delay`` are
-    left out, which bounds the state."""
+    """Running mentions per minute and class of accepted, unique messages; copies and
+    rows later than ``delay`` are left out, which bounds the state."""
+    accepted, _ = split_rejects(messages)
     return (
-        with_scores(messages.withWatermark("ts", delay))
+        with_scores(unique_stream(accepted, delay))
         .groupBy(F.window("ts", "1 minute"), "sentiment")
         .agg(F.count("*").alias("mentions"))
         .select(F.col("window.start").alias("bucket"), "sentiment", "mentions")
     )
 
 
-def write_live_buckets(rows: DataFrame, folder: str, checkpoint: str) -> StreamingQuery:
-    """Keep the updates of ``live_buckets``, one folder per batch."""
+def write_live_buckets(
+    rows: DataFrame, folder: str, checkpoint: str, trigger_seconds: int | None = None
+) -> StreamingQuery:
+    """Keep the updates of ``live_buckets``, one folder per run and batch."""
 
     def on_batch(updates: DataFrame, batch_id: int) -> None:
-        updates.write.mode("overwrite").parquet(f"{folder}/batch_id={batch_id}")
+        run_id = updates.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        updates.write.mode("overwrite").parquet(f"{folder}/run_id={run_id}/batch_id={batch_id}")
 
-    return (
+    writer = (
         rows.writeStream.foreachBatch(on_batch)
         .outputMode("update")
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
     )
+    if trigger_seconds is None:
+        return writer.trigger(availableNow=True).start()
+    return writer.trigger(processingTime=f"{trigger_seconds} seconds").start()
 
 
 def read_live_buckets(spark: SparkSession, folder: str) -> DataFrame:
-    """Latest count of each bucket; counts only grow."""
-    return (
+    """Count of each bucket: the latest of each run, as counts of a run only grow, added
+    up over the runs."""
+    latest = (
         spark.read.parquet(folder)
-        .groupBy("bucket", "sentiment")
+        .groupBy("run_id", "bucket", "sentiment")
         .agg(F.max("mentions").alias("mentions"))
     )
+    return latest.groupBy("bucket", "sentiment").agg(F.sum("mentions").alias("mentions"))

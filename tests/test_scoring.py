@@ -1,7 +1,10 @@
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
 import model
+from clamor.functions import lexicon as lx
 from clamor.functions.scoring import with_scores
 from clamor.operators import detail
 from clamor.plans.fixtures import PHRASES
@@ -31,18 +34,23 @@ GOLDEN = [
     (0.9, 0.441171, "POSITIVO", 0.3545, 2, ["bueno", "bueno"]),
 ]
 
-SENTENCES = [
-    ("La tienda es maravillosa y el trato excelente", "POSITIVO"),
-    ("No es nada excelente, que decepcion", "NEGATIVO"),
-    ("Jamas vi algo tan perfecto y me arrepenti", "NEGATIVO"),
-    ("Es hermoso, pero la entrega fue horrible", "NEGATIVO"),
-    ("Llego tarde, sin embargo es fantastico", "POSITIVO"),
-    ("El envio es perfecto, no obstante el trato es pesimo", "NEGATIVO"),
-    ("Great screen, although the battery is useless", "NEGATIVO"),
-    ("The box was broken, that said the phone is amazing", "POSITIVO"),
-    ("Es un poco bueno", "POSITIVO"),
-    ("A que hora abre la tienda?", "NEUTRAL"),
-]
+def rule_cases():
+    """Texts made from the word list, each with the class that one rule gives it."""
+    sign = {True: "POSITIVO", False: "NEGATIVO"}
+    strong = {w: p for w, p in lx.active_opinions.items() if abs(p) >= 0.4 and len(w) > 1}
+    cases = {}
+    for word, weight in strong.items():
+        cases[word] = sign[weight > 0]
+        cases[f"no {word}"] = sign[weight < 0]  # a negator turns what follows
+        cases[f"no, {word}"] = sign[weight > 0]  # a comma ends its reach
+        cases[f"{word} no"] = sign[weight > 0]  # it does not reach back
+    words = sorted(strong, key=strong.get)
+    for bad, good in zip(words, reversed(words[len(words) // 2 :])):
+        if strong[bad] < 0 < strong[good]:
+            cases[f"{good} pero {bad}"] = sign[strong[good] + 1.9 * strong[bad] > 0]
+            cases[f"{bad} pero {good}"] = sign[strong[bad] + 1.9 * strong[good] > 0]
+    cases["palabra otra cosa"] = "NEUTRAL"
+    return cases
 
 
 def scored(spark, texts):
@@ -57,9 +65,23 @@ def test_phrases(spark):
         assert (r.raw_score, r.score, r.sentiment, r.confidence, r.tokens, r.keywords) == want, text
 
 
-def test_sentences(spark):
-    rows = scored(spark, [text for text, _ in SENTENCES])
-    assert {t: rows[t].sentiment for t, _ in SENTENCES} == dict(SENTENCES)
+def test_rules_over_the_word_list(spark):
+    cases = rule_cases()
+    rows = scored(spark, list(cases))
+    assert len(cases) > 200
+    assert {t: rows[t].sentiment for t in cases} == cases
+
+
+def test_scope_words_are_no_stopwords():
+    scope = lx.negators | lx.contrasts | lx.modifier_factors.keys()
+    assert not [w for w in scope if w in lx.stopwords]
+
+
+def test_weights_fit_their_codes():
+    """The fold reads weights and factors as whole hundredths."""
+    for value in [*lx.active_opinions.values(), *lx.active_modifiers.values()]:
+        assert abs(100 * value - round(100 * value)) < 1e-9
+        assert abs(value) < 9
 
 
 def test_negation_reaches_forward_only(spark):
@@ -133,3 +155,28 @@ def test_detail_of_one_long_clause(spark):
     df = spark.createDataFrame([(1, "muy " * 3 + "bueno " * 20_000)], "i int, text string")
     assert detail.opinions(df, ["i"]).count() == 20_000
     assert detail.raw_scores(df, ["i"]).first().raw_score == pytest.approx(20_000.0)
+
+
+def test_scope_detail_grows_with_the_clause(spark):
+    """Twice the modifiers and opinions in one clause cost about twice the time."""
+
+    def seconds(n):
+        df = spark.createDataFrame([(1, "muy bueno poco malo " * n)], "i int, text string")
+        best = []
+        for _ in range(2):
+            begin = time.perf_counter()
+            assert detail.opinions(df, ["i"]).agg(F.count("*"), F.max("factor")).first()[0] == 2 * n
+            best.append(time.perf_counter() - begin)
+        return min(best)
+
+    seconds(50)
+    assert seconds(8000) < 3 * seconds(4000) + 1
+
+
+@pytest.mark.parametrize("n", [1, 63, 64, 65, 200])
+def test_product_of_many_modifiers(spark, n):
+    text = "muy bueno " * n
+    df = spark.createDataFrame([(1, text)], "i int, text string")
+    factor = lx.active_modifiers["muy"]
+    rows = detail.opinions(df, ["i"]).orderBy("pos").collect()
+    assert [r.factor for r in rows] == [pytest.approx(factor ** (k + 1), rel=1e-9) for k in range(n)]
