@@ -60,29 +60,38 @@ def split_rejects(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
 def dedupe(messages: DataFrame, order: list[str] | None = None) -> DataFrame:
     """One row per ``mention_id``, the first by ``order``, then by content.
 
-    An aggregate keeps one row per id in every task before the shuffle, so an
-    id with very many copies costs no more than any other.
+    A count of ids alone, which combines in every task before the shuffle, finds the few
+    that occur more than once.  Only their rows are ordered; all others stay where they
+    are.  ``messages`` is read twice and should be stored or cheap.
     """
     rest = [c for c in messages.columns if c != "mention_id"]
     first = [c for c in (order or ["ts"]) if c in rest]
     ranked = F.struct(*first, *[c for c in rest if c not in first])
-    kept = messages.groupBy("mention_id").agg(F.min(ranked).alias("_kept"))
-    return kept.select(*["mention_id" if c == "mention_id" else F.col("_kept")[c].alias(c)
-                         for c in messages.columns])
+    repeated = (
+        messages.groupBy("mention_id")
+        .agg(F.count("*").alias("_copies"))
+        .where(F.col("_copies") > 1)
+        .select(F.col("mention_id").alias("_id"))
+    )
+    same = F.col("mention_id").eqNullSafe(F.col("_id"))
+    single = messages.join(repeated, same, "left_anti")
+    copies = messages.join(repeated, same, "left_semi")
+    kept = copies.groupBy("mention_id").agg(F.min(ranked).alias("_kept"))
+    return single.unionByName(
+        kept.select(*["mention_id" if c == "mention_id" else F.col("_kept")[c].alias(c)
+                      for c in messages.columns])
+    )
 
 
-def without_known(messages: DataFrame, known: DataFrame, few_rows: bool) -> DataFrame:
+def without_known(messages: DataFrame, known: DataFrame) -> DataFrame:
     """Rows whose id is not among ``known`` ids.
 
-    ``known`` is the whole history.  If the caller has counted ``messages`` and
-    found few rows, their ids are sent to the history scan, which then ships
-    back at most as many ids; the history itself is not shuffled.
+    ``known`` is the whole history: only those of its ids that occur in ``messages`` are
+    looked for.  Where Spark knows that the ids of ``messages`` are small (they are held, or
+    a table) it sends them to the scan, and the history is not shuffled.
     """
-    ids = known.select("mention_id")
-    if few_rows:
-        wanted = F.broadcast(messages.select("mention_id"))
-        ids = ids.join(wanted, "mention_id", "left_semi").distinct()
-    return messages.join(ids, "mention_id", "left_anti")
+    ids = known.select("mention_id").join(messages.select("mention_id"), "mention_id", "left_semi")
+    return messages.join(ids.distinct(), "mention_id", "left_anti")
 
 
 def correct_flag(expected: str = "expected", sentiment: str = "sentiment") -> Column:

@@ -105,7 +105,7 @@ def dedup_mentions(spark, sf):
     """The first half of the batches is stored; the rest comes with copies of it."""
     accepted, _ = mn.split_rejects(fx.raw_mentions(spark, sf))
     known = accepted.where(F.col("batch_id") % 2 == 0)
-    fresh = mn.without_known(mn.dedupe(accepted), known, few_rows=False)
+    fresh = mn.without_known(mn.dedupe(accepted), known)
     return fresh.select("mention_id", "author", "text", "batch_id")
 
 
@@ -326,7 +326,9 @@ def graph_top_nodes(spark, sf):
 
 def graph_kept_edges(spark, sf):
     every_node, every_edge = stored_graph(spark, sf)
-    return graph.edges_among(every_edge, graph.top_nodes(every_node, 20))
+    # Written once: it is read for both ends, and Spark knows its size then.
+    kept = materialise(graph.top_nodes(every_node, 20).select("node_id"))
+    return graph.edges_among(every_edge, kept)
 
 
 def graph_increment(spark, sf):

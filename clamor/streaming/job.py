@@ -19,14 +19,11 @@ from clamor.operators.mentions import (
 )
 from clamor.operators.reports import batch_counters, buckets, with_batch_accuracy
 from clamor.session import configure
-from clamor.sources.messages import decode
+from clamor.sources.messages import WIRE_TIME, decode
 from clamor.sources.store import MentionStore
 
 LOG = logging.getLogger(__name__)
 
-# Batches up to this many ids send them to the history scan (about 16 MB).
-FEW_IDS = 400_000
-
 # Counters of the log line of a batch, beside the graph sizes.
 SUMMARY = [
     "messages", "accuracy", "decisions", "bound", "opinions", "max_tokens", "positive", "neutral",
@@ -56,21 +53,23 @@ def process_batch(
     if store.is_complete(run_id, batch_id):
         return None
     now = F.lit(messages.sparkSession.sql("SELECT current_timestamp()").first()[0])
-    accepted, rejected = split_rejects(messages)
-    unique = dedupe(accepted).persist()
+    messages = messages.persist()  # decoded once for all that follows
     try:
-        rows = unique.count()
-        if rows == 0 and rejected.isEmpty():
+        # Once it is held, Spark knows its size, and sends its ids to the history scan if
+        # they are small enough to be broadcast.
+        if messages.count() == 0:
             return None
-        new = without_known(unique, store.known_ids(run_id, batch_id), rows <= FEW_IDS)
+        accepted, rejected = split_rejects(messages)
+        unique = dedupe(accepted)
+        new = without_known(unique, store.known_ids(run_id, batch_id))
         facts = mention_facts(new.withColumn("processed_at", now), ("processed_at",))
         store.write_batch("mentions", facts, run_id, batch_id)
+        message = F.to_json(F.struct(*messages.columns), WIRE_TIME).alias("message")
+        store.write_batch(
+            "rejects", rejected.select("mention_id", "ts", "reason", message), run_id, batch_id
+        )
     finally:
-        unique.unpersist()
-    message = F.to_json(F.struct(*messages.columns)).alias("message")
-    store.write_batch(
-        "rejects", rejected.select("mention_id", "ts", "reason", message), run_id, batch_id
-    )
+        messages.unpersist()
     stored = store.read_batch("mentions", run_id, batch_id)
     store.write_batch("buckets", buckets(stored), run_id, batch_id)
     sizes, counters = Observation(), Observation()

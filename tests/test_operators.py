@@ -73,19 +73,29 @@ def test_defaults_and_rejects(spark):
     assert (row.source, row.lang, row.hashtags, row.likes) == ("desconocida", "es", [], 0)
 
 
-def test_known_ids_either_way(spark):
+def test_dedupe_orders_only_repeated_rows(spark):
+    """Rows of ids that occur once meet no sort and are not shuffled with their columns."""
+    df = fx.raw_mentions(spark, SF).select("mention_id", "ts", "text")
+    plan = mn.dedupe(df)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan or "SortMergeJoin" in plan
+    none = messages(spark, {"mention_id": None, "text": "x"}, {"mention_id": None, "text": "y"})
+    assert [r.text for r in mn.dedupe(none).collect()] == ["x"]
+
+
+def test_known_ids(spark):
     batch = spark.createDataFrame([("a",), ("b",), ("c",)], "mention_id string")
     known = spark.createDataFrame([("b",), ("z",), ("b",)], "mention_id string")
-    for few in (True, False):
-        left = mn.without_known(batch, known, few)
-        assert sorted(r.mention_id for r in left.collect()) == ["a", "c"]
+    left = mn.without_known(batch, known)
+    assert sorted(r.mention_id for r in left.collect()) == ["a", "c"]
 
 
 def test_history_is_not_shuffled_for_a_small_batch(spark):
     batch = spark.range(10).select(F.concat(F.lit("a"), "id").alias("mention_id"))
     path = work_folder(spark, "known")
     spark.range(1000).select(F.concat(F.lit("a"), "id").alias("mention_id")).write.parquet(path)
-    plan = mn.without_known(batch, spark.read.parquet(path), True)
+    batch = batch.persist()
+    assert batch.count() == 10
+    plan = mn.without_known(batch, spark.read.parquet(path))
     text = plan._jdf.queryExecution().executedPlan().toString()
     scan = next(line for line in text.split("\n") if "FileScan" in line)
     before = text[: text.index(scan)].split("\n")

@@ -4,21 +4,40 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry
+from clamor import session
+from clamor.operators import graph as graph_module
+from clamor.operators import session_graph as session_module
 from clamor.plans import fixtures as fx
+from clamor.plans import queries as query_module
+from clamor.plans.queries import QUERIES
 from clamor.plans.stream_queries import STREAM_QUERIES
 from conftest import SF
 
-BATCH = [k for k in entry.queries() if k not in STREAM_QUERIES]
+BATCH = [k for k in QUERIES if k not in STREAM_QUERIES]
 
 
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+@pytest.fixture
+def written(monkeypatch):
+    """Plans of the tables that a query writes on its way."""
+    plans = []
+
+    def watched(df):
+        plans.append(plan_of(df))
+        return session.materialise(df)
+
+    for module in (graph_module, session_module, query_module):
+        monkeypatch.setattr(module, "materialise", watched)
+    return plans
+
+
 @pytest.mark.parametrize("key", BATCH)
-def test_plan(spark, key):
-    plan = plan_of(entry.queries()[key](spark, SF))
+def test_plan(spark, key, written):
+    last = plan_of(QUERIES[key](spark, SF))
+    plan = "\n".join([*written, last])
     for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "EvalPython", "InPandas"):
         assert operator not in plan, operator
     for line in plan.split("\n"):
@@ -28,16 +47,32 @@ def test_plan(spark, key):
 
 
 def test_no_shuffle_for_scores(spark):
-    plan = plan_of(entry.queries()["score_documents"](spark, SF))
+    plan = plan_of(QUERIES["score_documents"](spark, SF))
     assert set(re.findall(r"Exchange \w+", plan)) <= {"Exchange hashpartitioning"}
     assert plan.count("Exchange") == plan.count("REPARTITION_BY_NUM")
 
 
 def test_scan_reads_only_needed_columns(spark):
-    plan = plan_of(entry.queries()["health"](spark, SF))
+    plan = plan_of(QUERIES["health"](spark, SF))
     assert "props" not in plan and "value" not in re.findall(r"ReadSchema: \S+", plan)[0]
 
 
+def test_edges_of_a_slice_are_not_shuffled(spark, tmp_path):
+    """Also with automatic broadcast off, as with a large node table."""
+    nodes = spark.range(100).selectExpr("concat('n', id) node_id", "'MARCA' label", "id weight")
+    edges = spark.range(1000).selectExpr(
+        "concat('n', id % 100) src", "concat('n', id % 7) dst", "'r' rel", "id weight"
+    )
+    edges.write.parquet(f"{tmp_path}/edges")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        chosen = graph_module.slice_nodes(nodes, 10).select("node_id")
+        plan = plan_of(graph_module.slice_edges(spark.read.parquet(f"{tmp_path}/edges"), chosen))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+
+
 def test_one_pass_for_the_graph(spark):
     from clamor.operators import graph
     from clamor.plans.queries import facts
