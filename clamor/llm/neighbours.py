@@ -205,20 +205,26 @@ def calibrate(queries: DataFrame, placed: DataFrame, tree: Tree, k: int, recall:
     asked = np.array([r["vector"] for r in rows], np.float64)
 
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The best of a partition: no more rows than queries times k + 1 are held."""
+        held = [np.empty(0, t) for t in (np.int64, np.int64, np.int64, np.float64)]
         for batch in batches:
+            if not batch.num_rows:
+                continue
             data, ids = matrix(batch.column("vector")), batch.column("id").to_numpy()
             leaf = batch.column("leaf").to_numpy()
-            if not len(ids):
-                continue
             q, at, score = nearest_of(asked, data, ids, k + 1)
-            other = ids[at] != own[q]
-            q, at, score = q[other], at[other], score[other]
-            yield pa.record_batch(
-                [
-                    pa.array(q, pa.int32()), pa.array(ids[at]), pa.array(leaf[at]), pa.array(score),
-                ],
-                names=["q", "id", "leaf", "score"],
-            )
+            new = (q, ids[at], leaf[at], score)
+            held = [np.concatenate(c) for c in zip(held, new, strict=True)]
+            order = np.lexsort((held[1], -held[3], held[0]))
+            held = [c[order] for c in held]
+            first = np.searchsorted(held[0], held[0])
+            held = [c[np.arange(len(first)) - first < k + 1] for c in held]
+        other = held[1] != own[held[0]]
+        kinds = (pa.int32(), pa.int64(), pa.int32(), pa.float64())
+        yield pa.record_batch(
+            [pa.array(c[other], t) for c, t in zip(held, kinds, strict=True)],
+            names=["q", "id", "leaf", "score"],
+        )
 
     order = Window.partitionBy("q").orderBy(F.desc("score"), "id")
     true = (
