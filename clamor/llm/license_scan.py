@@ -122,7 +122,7 @@ def template_rows(base=BASE, notices=NOTICES) -> list[tuple]:
 def words_of(text: Column) -> Column:
     """Lower-cased words.  The Kelvin sign is the one other character whose lower case
     is a letter of a-z; it is replaced first, so that it matches no template."""
-    lowered = F.lower(F.replace(text, F.lit("K"), F.lit("ĸ")))
+    lowered = F.lower(F.replace(text, F.lit("\u212a"), F.lit("\u0138")))
     return F.array_remove(F.split(lowered, NOT_WORD), "")
 
 

@@ -24,7 +24,7 @@ def test_base_places_match_brute_force(spark):
         "cc by cc by, CC-BY all rights reserved all rights",
         "All\nrights -- reserved. General Public License general public",
         "ccby cc bye cc  by\x00cc\x1fby",
-        "the GENERAL public liKense and worK",
+        "the GENERAL public licen\u212ae and worK",
         "all rights reservedé All Rights Reserved é all rights reserved",
         "x cc by " * 500,
         "cc",
@@ -58,10 +58,11 @@ def test_long_notice_with_gaps(spark):
 
 
 def test_own_phrases(spark):
-    docs = documents(spark, ["please do not copy this", "do not   copy"])
-    rows = license_scan(docs, base=[("do not copy", "private")], notices=[]).collect()
-    assert {(r.doc_id, r.base_labels, r.first_word) for r in rows} == {
-        (0, "private", 1), (1, "private", 0),
+    """The Kelvin sign is no k, though its lower case is one."""
+    docs = documents(spark, ["please do not Keep this", "do not   keep", "do not \u212aeep"])
+    rows = license_scan(docs, base=[("do not keep", "private")], notices=[]).collect()
+    assert {(r.doc_id, r.base_labels, r.first_word, r.n_words) for r in rows} == {
+        (0, "private", 1, 5), (1, "private", 0, 3), (2, "", None, 3),
     }
 
 
