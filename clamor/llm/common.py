@@ -7,10 +7,22 @@ from pyspark.sql import functions as F
 
 from clamor.session import materialise, work_folder
 
-__all__ = ["fresh", "materialise", "remove", "table", "text_or_empty", "work_folder"]
+__all__ = ["fresh", "materialise", "prepared", "remove", "table", "text_or_empty", "work_folder"]
+
+
+# Rows of a record batch to and from Python.  Texts are long: Spark's default of 10,000
+# would hold tens of megabytes of them in each task, several times over.
+BATCH_ROWS = "512"
+
+
+def prepared(spark: SparkSession) -> SparkSession:
+    """The session with record batches that suit long texts."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    return spark
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    prepared(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

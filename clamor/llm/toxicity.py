@@ -18,15 +18,16 @@ labels give 0.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clamor.llm.common import fresh, materialise, text_or_empty
+from clamor.llm.common import fresh, text_or_empty, work_folder
 from clamor.llm.ngrams import DistinctPlaces
 
 BITS = 18
@@ -78,19 +79,40 @@ def training_rows(
 
 
 def features(rows: DataFrame) -> DataFrame:
-    """label and the places of each text as 32-bit integers, stored in the shared folder."""
+    """label and the sorted places of each text, stored in the shared folder.
+
+    Places are kept as their steps in 32-bit integers, most of which are small, so that
+    they take little more than a byte each once they are compressed.
+    """
 
     def extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         distinct = DistinctPlaces(SIZES, BITS)
         for batch in _pieces(batches):
             places = [
-                distinct.of(t.as_py()).astype(np.int32).tobytes() for t in batch.column("text")
+                np.diff(np.sort(distinct.of(t.as_py())), prepend=0).astype(np.int32).tobytes()
+                for t in batch.column("text")
             ]
             yield pa.record_batch(
                 [batch.column("label"), pa.array(places, pa.binary())], names=["label", "places"]
             )
 
-    return materialise(rows.mapInArrow(extracted, "label int, places binary")).coalesce(PARTS)
+    with small_batches(rows.sparkSession):
+        found = rows.mapInArrow(extracted, "label int, places binary")
+        path = work_folder(rows.sparkSession, "features")
+        found.write.option("compression", "zstd").parquet(path)
+    return rows.sparkSession.read.schema(found.schema).parquet(path).coalesce(PARTS)
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Record batches of ROWS rows for the jobs inside: rows are long lists of places."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -107,7 +129,7 @@ def _summed(rows: DataFrame, part: Callable, size: int) -> np.ndarray:
         total = np.zeros(size)
         for batch in _pieces(batches):
             labels = batch.column("label").to_numpy()
-            held = [np.frombuffer(x.as_py(), np.int32) for x in batch.column("places")]
+            held = [np.cumsum(np.frombuffer(x.as_py(), np.int32)) for x in batch.column("places")]
             keep = np.array([len(x) > 0 for x in held], bool)
             if keep.any():
                 sizes = np.array([len(x) for x in held if len(x)])
@@ -116,7 +138,9 @@ def _summed(rows: DataFrame, part: Callable, size: int) -> np.ndarray:
         yield pa.record_batch([pa.array([total.tobytes()], pa.binary())], names=["sum"])
 
     total = np.zeros(size)
-    for row in rows.mapInArrow(vectors, "sum binary").collect():
+    with small_batches(rows.sparkSession):
+        vectors_of_tasks = rows.mapInArrow(vectors, "sum binary").collect()
+    for row in vectors_of_tasks:
         total += np.frombuffer(row["sum"])
     return total
 

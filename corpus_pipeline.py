@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from clamor.llm.common import table, work_folder
+from clamor.llm.common import prepared, table, work_folder
 from clamor.llm.exact_dedup import drop_exact_copies
 from clamor.llm.packing import pack
 from clamor.llm.simhash import drop_near_copies
@@ -29,16 +29,19 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
+    prepared(spark)
     return drop_near_copies(docs, shingle=3, distance=2)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without passages that an earlier document holds."""
+    prepared(spark)
     return drop_repeats(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents in sequences of up to 2,048 tokens."""
+    prepared(spark)
     return pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
