@@ -33,7 +33,7 @@ from clamor.llm.ngrams import DistinctPlaces
 BITS = 18
 SIZES = (4, 5)
 MAX_ROWS = 20_000  # labelled rows used for training
-PARTS = 12  # tasks of a training step, and gradients added up by the driver
+PARTS = 6  # tasks of a training step, and gradients added up by the driver
 ROWS = 256  # training texts at a time
 SMOOTHING = 100.0  # documents
 RIDGE = 3e-4
@@ -135,13 +135,14 @@ def _summed(rows: DataFrame, part: Callable, size: int) -> np.ndarray:
                 sizes = np.array([len(x) for x in held if len(x)])
                 places = np.concatenate([x for x in held if len(x)])
                 total += part(labels[keep], places, sizes)
-        yield pa.record_batch([pa.array([total.tobytes()], pa.binary())], names=["sum"])
+        summed = total.astype(np.float32).tobytes()
+        yield pa.record_batch([pa.array([summed], pa.binary())], names=["sum"])
 
     total = np.zeros(size)
     with small_batches(rows.sparkSession):
         vectors_of_tasks = rows.mapInArrow(vectors, "sum binary").collect()
     for row in vectors_of_tasks:
-        total += np.frombuffer(row["sum"])
+        total += np.frombuffer(row["sum"], np.float32)
     return total
 
 
