@@ -1,12 +1,15 @@
 """Substring dedup over content-defined chunks.
 
-A gear hash rolls over the bytes of a text, and where it ends a word with its top
-bits zero a chunk ends.  Where chunks end depends on the last 16 bytes only, so a
-passage is cut alike wherever it stands and insertions shift nothing.  Two chunks in a
-row have one digest; their repeats are searched over all texts, and the text with the
+A gear hash rolls over the bytes of a text, and a chunk ends where the hash is the least
+of ``WINDOW`` bytes in a row: at the end of a word, or within a word where the window
+holds no end.  Thus no chunk is long, except in blanks, and repeated lines are cut in
+each turn.  Where chunks end depends on the bytes near by only, so a passage is cut
+alike wherever it stands and insertions shift nothing.  Two chunks in a row have one
+digest; their repeats are searched over all texts, and the text with the
 smallest doc_id that holds a digest owns it.  In every other text the chunks of owned
 digests are marked, and runs of marked chunks of at least ``MIN_WORDS`` words (or
-``MIN_BYTES`` bytes, for texts without words) are taken out.
+``MIN_BYTES`` bytes) are taken out.  For that, a stretch without blanks counts one word
+more for each ``LETTERS`` bytes after the first ``LONG_WORD``.
 
 A passage loses its chunks that lie whole in it, thus a few words at its ends may
 stay.  Digests have 64 bits: a chance meeting marks two chunks, which are too short a
@@ -32,11 +35,14 @@ from clamor.llm.common import fresh, materialise, text_or_empty
 
 SEED = 20_771
 MIN_CHUNK = 16  # bytes
-MAX_CHUNK = 4096  # bytes without a cut before any byte may end a chunk
-CUT_BITS = 2  # of the hash that are zero at a cut between words
+MAX_CHUNK = 4096  # bytes without a cut (blanks only) before any byte may end a chunk
+WINDOW = 48  # bytes in a row of which one ends a chunk, unless they are blank
+NOWHERE = 0xFFFFFFFF  # the rank of a byte that ends none
 TOGETHER = 2  # chunks with one digest
 MIN_WORDS = 20
 MIN_BYTES = 400
+LONG_WORD = 32  # bytes after which a stretch without blanks counts a word for each
+LETTERS = 8  # bytes
 
 GEAR = np.random.default_rng(SEED).integers(0, 1 << 16, 256, dtype=np.uint16)
 WHITE = np.zeros(256, bool)
@@ -54,18 +60,49 @@ def gear_hashes(octets: np.ndarray) -> np.ndarray:
     return h
 
 
+def sliding(values: np.ndarray, width: int, pick: np.ufunc) -> np.ndarray:
+    """The least or largest value (pick) of each width values in a row."""
+    have = 1
+    while have < width:
+        k = min(have, width - have)
+        values = pick(values[k:], values[:-k])
+        have += k
+    return values
+
+
+def places_of_cuts(octets: np.ndarray) -> np.ndarray:
+    """Where some WINDOW bytes in a row have their least hash, ends of words before
+    places within words.  Equal hashes are all least, so a period is cut in each turn."""
+    if len(octets) < WINDOW:
+        return np.empty(0, np.int64)
+    h, white = gear_hashes(octets), WHITE[octets]
+    rank = np.full(len(octets), NOWHERE, np.uint32)
+    before = h[:-1].astype(np.uint32)
+    in_word = ~white[1:] & ~white[:-1] & ((octets[1:] & 0xC0) != 0x80)
+    np.copyto(rank[1:], before + np.uint32(1 << 16), where=in_word)
+    np.copyto(rank[1:], before, where=white[1:] & ~white[:-1])
+    least = np.pad(sliding(rank, WINDOW, np.minimum), WINDOW - 1)
+    places = np.flatnonzero((rank < NOWHERE) & (rank == sliding(least, WINDOW, np.maximum)))
+    # Of places too near to each other the lesser ones stay, whatever stands before them.
+    rank, keep = rank[places], np.ones(len(places), bool)
+    for k in range(1, MIN_CHUNK):
+        near = places[k:] - places[:-k] < MIN_CHUNK
+        if not near.any():
+            break
+        keep[k:] &= ~(near & (rank[:-k] < rank[k:]))
+        keep[:-k] &= ~(near & (rank[k:] < rank[:-k]))
+    return places[keep]
+
+
 def cuts(octets: np.ndarray) -> list[int]:
     """Ends of the chunks, the last one being the end of the text."""
     n = len(octets)
     if not n:
         return []
-    h, white = gear_hashes(octets), WHITE[octets]
-    ends_word = white[1:] & ~white[:-1]
-    places = np.flatnonzero(ends_word & (h[:-1] >> np.uint16(16 - CUT_BITS) == 0)) + 1
     found, last = [], 0
-    for place in [*places.tolist(), n]:
+    for place in [*places_of_cuts(octets).tolist(), n]:
         if place - last > MAX_CHUNK:
-            found += _forced(octets, h, last, place)
+            found += _forced(octets, gear_hashes(octets), last, place)
             last = found[-1] if found else last
         if place - last >= MIN_CHUNK:
             found.append(place)
@@ -170,7 +207,12 @@ def repeated_spans(text: str, owned: dict[int, int]) -> tuple[list[tuple[int, in
             for chunk in by_chunk[k : k + TOGETHER]:
                 chunk.add(owned[value])
     white = WHITE[data]
-    word_starts = np.concatenate([[0], np.cumsum(~white & np.append(True, white[:-1]))])
+    first_bytes = ~white & np.append(True, white[:-1])
+    word_starts = np.concatenate([[0], np.cumsum(first_bytes)])
+    at = np.arange(len(data))
+    inside = at - np.maximum.accumulate(np.where(first_bytes, at, 0))
+    further = ~white & (inside >= LONG_WORD) & (inside % LETTERS == 0)
+    further = np.concatenate([[0], np.cumsum(further)])
     spans, sources, k = [], set(), 0
     while k < len(ends):
         first = k
@@ -179,7 +221,8 @@ def repeated_spans(text: str, owned: dict[int, int]) -> tuple[list[tuple[int, in
         if k > first:
             begin, end = starts[first], ends[k - 1]
             words = int(word_starts[end] - word_starts[begin])
-            if words >= MIN_WORDS or end - begin >= MIN_BYTES:
+            more = int(further[end] - further[begin])
+            if words + more >= MIN_WORDS or end - begin >= MIN_BYTES:
                 spans.append((begin, end, words))
                 sources.update(*by_chunk[first:k])
         else:

@@ -1,3 +1,4 @@
+import base64
 import random
 
 import numpy as np
@@ -8,6 +9,7 @@ from clamor.llm.substring_dedup import (
     GEAR,
     MAX_CHUNK,
     cuts,
+    digests,
     drop_repeats,
     gear_hashes,
     repeated_spans,
@@ -105,3 +107,35 @@ def test_whole_copies_and_odd_rows(spark):
 def test_unknown_digests_change_nothing():
     assert repeated_spans(prose(100, 12), {}) == ([], set())
     assert repeated_spans("", {1: 2}) == ([], set())
+
+
+def left_of(passage, seed, between=" "):
+    """Bytes of the passage that stay when two texts share it."""
+    first = f"{prose(40, seed)}{between}{passage}{between}{prose(45, seed + 1)}".encode()
+    before = f"{prose(50, seed + 2)}{between}"
+    other = f"{before}{passage}{between}{prose(35, seed + 3)}"
+    owned = dict.fromkeys(digests(first, cuts(np.frombuffer(first, np.uint8))), 1)
+    spans, _ = repeated_spans(other, owned)
+    begin = len(before.encode())
+    end = begin + len(passage.encode())
+    return end - begin - sum(max(0, min(b, end) - max(a, begin)) for a, b, _ in spans)
+
+
+@pytest.mark.parametrize("words, times", [(1, 60), (2, 40), (8, 10), (20, 4)])
+def test_repeated_lines_are_found(words, times):
+    for k in range(300):
+        passage = "\n".join([prose(words, 10_000 + k)] * times)
+        assert left_of(passage, 5 * k, "\n") < 0.5 * len(passage.encode()), (k, passage[:80])
+
+
+@pytest.mark.parametrize("letters", ["CJK", "base64"])
+@pytest.mark.parametrize("size", [300, 600, 1500, 3000, 4000, 6000])
+def test_text_without_blanks_is_found(letters, size):
+    rng = random.Random(size)
+    for k in range(30):
+        if letters == "CJK":
+            passage = "".join(chr(rng.randrange(0x4E00, 0x9F00)) for _ in range(size // 3))
+        else:
+            passage = base64.b64encode(rng.randbytes(size * 3 // 4)).decode()
+        assert left_of(passage, 5 * k) <= 160, (k, len(passage))
+        assert left_of(passage, 5 * k, "") <= 160, (k, len(passage))
