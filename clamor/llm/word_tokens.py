@@ -54,7 +54,9 @@ class WordTokens:
         self.packed = [
             k.to_bytes(4, "little") for k in range(self.tokenizer.get_vocab_size(with_added_tokens=True))
         ]
-        self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.specials = [
+            t.content.encode().lower() for t in self.tokenizer.get_added_tokens_decoder().values()
+        ]
         self.words = Words(self, {})
 
     def of_pieces(self, letters: str) -> bytes:
@@ -79,13 +81,15 @@ class WordTokens:
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
-        if any(s in text for s in self.specials) or not (text.isascii() or not _MARK.search(text)):
+        # bytes.lower() and bytes.split() know ASCII letters and white space only.
+        lowered = text.encode().lower()
+        # Of a special token the library knows its own case only, a lowered word would be it.
+        if any(s in lowered for s in self.specials) or not (text.isascii() or not _MARK.search(text)):
             return self.of_text(text)
         if len(self.words) > KNOWN:
             self.words = Words(self, dict(self.words))
         words = self.words
-        # bytes.lower() and bytes.split() know ASCII letters and white space only.
-        return b"".join([words[w] for w in text.encode().lower().split()])
+        return b"".join([words[w] for w in lowered.split()])
 
 
 @lru_cache(maxsize=2)

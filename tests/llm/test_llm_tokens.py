@@ -93,6 +93,16 @@ def test_word_ids_are_those_of_the_library(monkeypatch, known):
         assert own.encode(text) == as_bytes(library.encode(text, add_special_tokens=False).ids), ascii(text)
 
 
+@pytest.mark.parametrize("marker", ["<|EndOfText|>", "<|ENDOFTEXT|>", "<|endofTEXT|>", "<|endoftext|>"])
+def test_special_tokens_in_any_case(marker):
+    library, own = Tokenizer.from_file(WORDS), word_tokens.WordTokens(WORDS)
+    for name in {t.content for t in library.get_added_tokens_decoder().values()} | {marker}:
+        for form in (name, name.upper(), name.title()):
+            for text in (f"a {form} b", form, f"é{form}É.", f"{form}{marker} {form.lower()}"):
+                want = as_bytes(library.encode(text, add_special_tokens=False).ids)
+                assert own.encode(text) == want, ascii(text)
+
+
 def check_packing(rows, want):
     """Every id of every document lies in one piece, sequences have no gap."""
     by_doc, by_sequence = defaultdict(list), defaultdict(list)
