@@ -40,8 +40,11 @@ def digest_of(text: Column) -> Column:
     return F.unhex(F.sha2(normalised(text), 256))
 
 
-def heavy_winners(keys: DataFrame, digest: str, size: str, doc_id: str) -> DataFrame:
-    """digest, rows, top_size, top_id of every digest with its share of all rows.
+def heavy_winners(
+    keys: DataFrame, digest: str, size: str, doc_id: str, row: str | None = None
+) -> DataFrame:
+    """digest, rows, top_size, top_id of every digest with its share of all rows; with a
+    column that tells rows apart also top_row, the least of those that tie.
 
     At most HEAVY rows; the counts are exact.
     """
@@ -53,7 +56,8 @@ def heavy_winners(keys: DataFrame, digest: str, size: str, doc_id: str) -> DataF
     least = max(2, -(-found["rows"] // HEAVY))
     items = keys.sparkSession.createDataFrame([(i,) for i in found["items"] or []], "item long")
     first = F.struct(
-        (-F.col(size)).alias("size"), F.col(doc_id).isNull().alias("none"), F.col(doc_id).alias("id")
+        (-F.col(size)).alias("size"), F.col(doc_id).isNull().alias("none"), F.col(doc_id).alias("id"),
+        *([F.col(row).alias("row")] if row else []),
     )
     return (
         keys.join(F.broadcast(items), F.xxhash64(digest) == F.col("item"), "left_semi")
@@ -65,16 +69,15 @@ def heavy_winners(keys: DataFrame, digest: str, size: str, doc_id: str) -> DataF
             F.col("rows").alias("heavy_rows"),
             (-F.col("first.size")).alias("top_size"),
             F.col("first.id").alias("top_id"),
+            *([F.col("first.row").alias("top_row")] if row else []),
         )
     )
 
 
-def split(keys: DataFrame, digest: str, size: str, doc_id: str, winners: DataFrame):
-    """Rows of heavy groups that cannot stay, and all others; both carry the winner."""
+def split(keys: DataFrame, digest: str, row: str, winners: DataFrame):
+    """Rows of heavy groups but the one that stays, and all others; both carry the winner."""
     joined = keys.join(F.broadcast(winners), F.col(digest) == F.col("heavy_digest"), "left")
-    loses = F.col("heavy_digest").isNotNull() & ~(
-        (F.col(size) == F.col("top_size")) & F.col(doc_id).eqNullSafe(F.col("top_id"))
-    )
+    loses = F.col("heavy_digest").isNotNull() & (F.col(row) != F.col("top_row"))
     return joined.filter(loses), joined.filter(~loses)
 
 
@@ -88,10 +91,11 @@ def exact_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
             F.col(doc_id).alias("doc_id"),
             digest_of(text_or_empty(text)).alias("digest"),
             F.length(text_or_empty(text)).alias("size"),
+            F.monotonically_increasing_id().alias("row"),
         )
     )
-    winners = materialise(heavy_winners(keys, "digest", "size", "doc_id"))
-    settled, others = split(keys, "digest", "size", "doc_id", winners)
+    winners = materialise(heavy_winners(keys, "digest", "size", "doc_id", "row"))
+    settled, others = split(keys, "digest", "row", winners)
     group = Window.partitionBy("digest")
     order = group.orderBy(F.col("size").desc(), F.col("doc_id").asc_nulls_last())
     settled = settled.select(

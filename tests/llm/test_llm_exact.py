@@ -61,3 +61,26 @@ def test_empty_table(spark):
     docs = spark.createDataFrame([], DOCUMENTS)
     assert exact_groups(docs).count() == 0
     assert drop_exact_copies(docs).count() == 0
+
+
+def test_tied_rows_of_a_heavy_group_stay_where_they_lie(spark, monkeypatch):
+    """One row repeated, and copies without a doc_id: one row of each group is shuffled."""
+    parts = []
+    split = exact_dedup.split
+    monkeypatch.setattr(exact_dedup, "split", lambda *a: parts.append(split(*a)) or parts[-1])
+    rows = [(7, "one row", "en", "a", 7)] * 300 + [(None, "no id", "en", "a", 5)] * 200
+    docs = spark.createDataFrame(rows + [(k, f"t{k}", "en", "a", 2) for k in range(9)], DOCUMENTS)
+    found = exact_groups(docs.repartition(8)).collect()
+    assert sorted((str(r.doc_id), r.group_size) for r in found if r.kept) == sorted(
+        [("7", 300), ("None", 200), *[(str(k), 1) for k in range(9)]]
+    )
+    assert len(found) == 509 and all(r.doc_id == r.keep_id for r in found)
+    settled, others = parts[0]
+    assert (settled.count(), others.count()) == (498, 11)
+
+
+def test_ties_are_cut_in_each_task(spark):
+    docs = spark.createDataFrame([(None, "no id", "en", "a", 5)] * 300, DOCUMENTS)
+    kept = drop_exact_copies(docs)
+    assert kept.count() == 1
+    assert "WindowGroupLimit" in kept._jdf.queryExecution().optimizedPlan().toString()
