@@ -5,6 +5,9 @@ turn becomes a call of ``reply`` that names the reply two turns before, and the
 the assistant after it is its result.  A system turn becomes a call of ``instruct``.
 Every chat begins with a call of ``outline`` that needs the last reply, which comes
 later, so that the order of the calls is not that of the turns.
+
+Turns of another role or of none give no message and count in the turns of the outline.
+A null conv_id or turn makes the ids null, and a result without an id is an orphan.
 """
 
 from __future__ import annotations
@@ -47,6 +50,10 @@ def tool_messages(turns: DataFrame) -> DataFrame:
     result = F.to_json(
         F.struct(F.col("text").alias("content"), _id("r", turn - 1).alias("tool_call_id"))
     )
+    # Without both it would be an empty object, which is no result.
+    result = F.when(
+        F.col("text").isNull() & _id("r", turn - 1).isNull(), F.lit('{"tool_call_id":null}')
+    ).otherwise(result)
     role = F.col("role")
     said = turns.filter(role.isin("user", "system", "assistant")).select(
         "conv_id", "turn",

@@ -22,7 +22,8 @@ canonical JSON: keys sorted, no white space, numbers and texts in one form.
 Messages that are null, empty or other text hold no calls.  A call without id links to
 nothing.  Of several results of one call the first by turn (then by text) is used and
 all are counted; calls that share an id share their results.  Results without a call
-are rows of their own.  A null conv_id is a chat as well.
+are rows of their own, and of those without an id each is one.  An object that has
+neither an id nor content is no result.  A null conv_id is a chat as well.
 """
 
 from __future__ import annotations
@@ -74,11 +75,13 @@ def tool_calls(messages: DataFrame) -> DataFrame:
 
 
 def tool_results(messages: DataFrame) -> DataFrame:
-    """conv_id, chat, turn, call_id, content (text) of every result that has an id."""
+    """conv_id, chat, turn, call_id, content (text) of every result."""
     body = _object(F.col("text"))
+    said = [F.try_variant_get("body", f"$.{key}", "variant").isNotNull() for key in ("tool_call_id", "content")]
     return (
         messages.filter(F.col("role") == "tool")
         .select("conv_id", "turn", body.alias("body"))
+        .filter(said[0] | said[1])
         .select(
             "conv_id",
             chat_of(F.col("conv_id")).alias("chat"),
@@ -89,7 +92,6 @@ def tool_results(messages: DataFrame) -> DataFrame:
                 F.to_json(F.try_variant_get("body", "$.content", "variant")),
             ).alias("content"),
         )
-        .filter(F.col("call_id").isNotNull())
     )
 
 
@@ -220,6 +222,7 @@ def link_tool_calls(messages: DataFrame, parameters: DataFrame) -> DataFrame:
     node = ["chat", "call_id"]
     results = materialise(
         tool_results(messages)
+        .filter(F.col("call_id").isNotNull())
         .groupBy(*node)
         .agg(
             F.count("*").alias("n_results"),
@@ -250,7 +253,16 @@ def link_tool_calls(messages: DataFrame, parameters: DataFrame) -> DataFrame:
             )
         ).alias("message"),
     )
-    orphans = results.join(calls.select(*node).distinct(), node, "left_anti").select(
+    nameless = (
+        tool_results(messages)
+        .filter(F.col("call_id").isNull())
+        .select(
+            *node, F.lit(1).cast("long").alias("n_results"),
+            F.struct("turn", "content").alias("first"), F.col("conv_id").alias("result_conv"),
+        )
+    )
+    uncalled = results.join(calls.select(*node).distinct(), node, "left_anti").unionByName(nameless)
+    orphans = uncalled.select(
         F.col("result_conv").alias("conv_id"), F.col("first.turn").alias("turn"),
         F.lit(0).alias("place"), "call_id", F.lit(None).cast("string").alias("name"),
         F.lit("orphan").alias("status"), F.col("n_results").cast("long"),

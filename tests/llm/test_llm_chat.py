@@ -1,7 +1,10 @@
 import json
 
+import duckdb
+from compare import difference
 from llm_tables import clashing
 
+from clamor.llm.chat_queries import ORACLES, QUERIES
 from clamor.llm.tool_calls import link_tool_calls
 
 MESSAGES = "conv_id long, turn long, role string, text string"
@@ -150,3 +153,32 @@ def test_odd_rows_and_empty_table(spark):
     ]
     empty = spark.createDataFrame([], MESSAGES)
     assert link_tool_calls(empty, spark.createDataFrame(RULES, PARAMETERS)).count() == 0
+
+
+def test_results_without_an_id_are_orphans(spark):
+    rows = linked(spark, [
+        (1, 0, "tool", '{"content": "x"}'), (1, 0, "tool", '{"content": "x"}'),
+        (1, 1, "tool", '{"tool_call_id": null, "content": {"b": 1}}'), (None, 2, "tool", '{"tool_call_id": null}'),
+        (1, 3, "tool", "{}"), (1, 4, "assistant", call((None, "now", {}))),
+    ])
+    assert sorted((str(r.conv_id), r.turn, r.call_id, r.status, r.n_results, r.message) for r in rows) == [
+        ("1", 0, None, "orphan", 1, '{"result":"x"}'), ("1", 0, None, "orphan", 1, '{"result":"x"}'),
+        ("1", 1, None, "orphan", 1, '{"result":{"b":1}}'),
+        ("1", 4, None, "unanswered", 0, '{"arguments":{},"name":"now"}'),
+        ("None", 2, None, "orphan", 1, "{}"),
+    ]
+
+
+def test_query_on_nulls(spark, tmp_path):
+    turns = [
+        (1, 0, "user", "a"), (1, 1, "assistant", "b"), (1, None, "assistant", "c"), (1, None, "user", "d"),
+        (1, 2, None, "e"), (1, 3, "critic", "f"), (2, 0, "assistant", None), (2, None, "assistant", None),
+        (None, 0, "system", "g"), (None, 1, "assistant", "h"), (None, 1, "assistant", "h"),
+        (None, None, "assistant", None), (None, 2, None, "i"), (3, 0, None, "j"),
+    ]
+    spark.createDataFrame(turns, MESSAGES).coalesce(1).write.parquet(str(tmp_path / "out"))
+    next((tmp_path / "out").glob("*.parquet")).rename(tmp_path / "conversations.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{tmp_path}/conversations.parquet')")
+    key = "op4_chat_tool_calls"
+    assert difference(spark, con, str(tmp_path), QUERIES[key], ORACLES[key]) == ""
