@@ -139,3 +139,9 @@ def test_text_without_blanks_is_found(letters, size):
             passage = base64.b64encode(rng.randbytes(size * 3 // 4)).decode()
         assert left_of(passage, 5 * k) <= 160, (k, len(passage))
         assert left_of(passage, 5 * k, "") <= 160, (k, len(passage))
+
+
+def test_passages_just_over_50_words_are_found():
+    for k in range(1500):
+        passage = prose(51, 10_000 + k)
+        assert left_of(passage, 5 * k) < 0.5 * len(passage.encode()), (k, passage)
