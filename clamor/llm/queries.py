@@ -7,6 +7,7 @@ from clamor.llm import (
     exact_queries,
     license_queries,
     neighbour_queries,
+    run_queries,
     simhash_queries,
     substring_queries,
     token_queries,
@@ -24,6 +25,7 @@ _MODULES = [
     substring_queries,
     toxicity_queries,
     exact_queries,
+    run_queries,
 ]
 
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
