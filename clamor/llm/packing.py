@@ -189,8 +189,9 @@ def pack(
         packer, kind = Packer(TaskContext.get().partitionId(), tiers, step_tokens), None
         for batch in batches:
             kind = batch.column("doc_id").type
-            for key, value in zip(batch.column("doc_id"), batch.column("text"), strict=True):
-                packer.add(key.as_py(), tokens.encode(value.as_py()) + end)
+            keys, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
+            for key, ids in zip(keys, tokens.encode_all(texts), strict=True):
+                packer.add(key, ids + end)
             yield packer.drain(kind)
         if kind is not None:
             packer.close()
