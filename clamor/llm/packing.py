@@ -5,12 +5,14 @@ routed to the shortest tier that holds it.  Tiers are packed from the longest do
 a window takes one rest of its own tier and fills its gap from the shorter tiers,
 best fit first, and closes an open gap by cutting the next rest.  Windows of all
 tiers are full therefore, but for the last one of a partition, and a full window of
-any tier needs no padding.  Windows of a tier are dealt to training steps that hold
-equally many tokens.
+any tier needs no padding.
 
 Every partition is packed by itself and moves nowhere; the rests that wait in memory
 are bounded by a number of documents.  Sequence numbers hold the partition and a
-count.  The input should be a stored table, so that a repeated task sees the same rows.
+count.  The pieces are written once, and windows of all partitions are then dealt to
+training steps, the longest tier first: as window sizes are powers of two, every step
+but the last holds exactly the same number of tokens, and only counts by partition and
+tier are moved for that.
 
 A null or empty text has the end id alone.  Rows that repeat a doc_id are packed one
 by one.  An empty table has no pieces.
@@ -24,10 +26,10 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clamor.llm.common import text_or_empty
+from clamor.llm.common import materialise, text_or_empty
 from clamor.llm.word_tokens import word_tokens
 
 TIERS = (2048, 1024, 512, 256)  # powers of two, the longest first
@@ -37,7 +39,7 @@ STEP_TOKENS = 1 << 19  # of one training step
 COLUMNS = [
     ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()),
     ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64()),
-    ("tier", pa.int64()), ("step_id", pa.int64()),
+    ("tier", pa.int64()), ("step_id", pa.int64()), ("place", pa.int64()),
 ]
 
 
@@ -98,15 +100,15 @@ class Packer:
         self.rows: list[tuple] = []
 
     def emit(self, parts: list[Rest], tier: int) -> None:
-        sequence, offset = self.base + self.made, 0
-        step = self.by_tier[tier] // max(1, self.step_tokens // tier)
+        sequence, offset, place = self.base + self.made, 0, self.by_tier[tier]
+        step = place // max(1, self.step_tokens // tier)
         step_id = self.base + (step << 4) + self.tiers.index(tier)
         self.made += 1
         self.by_tier[tier] += 1
         for p in parts:
             crc = zlib.crc32(p.ids)
             self.rows.append(
-                (p.doc_id, p.start, len(p), crc, p.total, sequence, offset, tier, step_id)
+                (p.doc_id, p.start, len(p), crc, p.total, sequence, offset, tier, step_id, place)
             )
             offset += len(p)
 
@@ -177,10 +179,11 @@ def pack(
     step_tokens: int = STEP_TOKENS,
 ) -> DataFrame:
     """A row for each piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id,
-    offset, tier (the window's size) and step_id (steps hold windows of one tier).
+    offset, tier (the window's size) and step_id (steps of ``step_tokens`` tokens each,
+    but for the last).
 
     path names the tokenizer file on every executor.  tiers are powers of two, in
-    descending order.
+    descending order, and divide step_tokens.
     """
     end = end_id.to_bytes(4, "little")
 
@@ -198,6 +201,38 @@ def pack(
             yield packer.drain(kind)
 
     kind = docs.schema[doc_id].dataType.simpleString()
-    return docs.select(
+    pieces = docs.select(
         F.col(doc_id).alias("doc_id"), text_or_empty(text).alias("text")
     ).mapInArrow(packed, f"doc_id {kind}, " + ", ".join(f"{name} long" for name, _ in COLUMNS))
+    return dealt_to_steps(materialise(pieces), step_tokens)
+
+
+def dealt_to_steps(pieces: DataFrame, step_tokens: int) -> DataFrame:
+    """Pieces with the step of their window, in place of the step within its partition.
+
+    Windows are counted by partition and tier, and each such group begins where the ones
+    before it end, longer tiers first.
+    """
+    group = ["tier", "_part"]
+    pieces = pieces.withColumn("_part", F.shiftright("sequence_id", 40))
+    counts = (
+        pieces.where(F.col("offset") == 0)
+        .groupBy(*group)
+        .agg((F.count("*") * F.col("tier")).alias("_size"))
+    )
+    earlier = (Window.unboundedPreceding, -1)
+    in_tier = Window.partitionBy("tier").orderBy("_part").rowsBetween(*earlier)
+    tiers = counts.groupBy("tier").agg(F.sum("_size").alias("_all"))
+    longer = Window.orderBy(F.desc("tier")).rowsBetween(*earlier)  # a row for each tier
+    before = tiers.select("tier", F.coalesce(F.sum("_all").over(longer), F.lit(0)).alias("_base"))
+    starts = counts.withColumn(
+        "_start", F.coalesce(F.sum("_size").over(in_tier), F.lit(0))
+    ).join(F.broadcast(before), "tier")
+    at = F.col("_base") + F.col("_start") + F.col("place") * F.col("tier")
+    return (
+        pieces.drop("step_id")
+        .join(starts.drop("_size"), group)
+        .withColumn("step_id", F.floor(at / step_tokens))
+        .drop("_part", "_base", "_start", "place")
+        .select("doc_id", *[name for name, _ in COLUMNS if name != "place"])
+    )

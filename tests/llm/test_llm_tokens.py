@@ -140,6 +140,28 @@ def test_packing_holds_every_id_once(spark):
     assert padding < 2048
 
 
+def test_steps_hold_equally_many_tokens_over_all_partitions(spark):
+    rng = random.Random(6)
+    texts = [" ".join(["alpha"] * rng.randrange(1500)) for _ in range(150)]
+    rows = pack(documents(spark, texts).repartition(5), WORDS, step_tokens=8192).collect()
+    windows = {(r.sequence_id, r.tier, r.step_id) for r in rows}
+    assert len({s for s, _, _ in windows}) == len(windows)
+    sizes = defaultdict(int)
+    for _, tier, step in windows:
+        sizes[step] += tier
+    assert sorted(sizes) == list(range(len(sizes))) and len({s >> 40 for s, _, _ in windows}) == 5
+    assert all(sizes[k] == 8192 for k in range(len(sizes) - 1)) and 0 < sizes[max(sizes)] <= 8192
+
+
+def test_words_beyond_latin_are_remembered_in_bounds(monkeypatch):
+    monkeypatch.setattr(word_tokens, "KNOWN", 2000)
+    library, own = Tokenizer.from_file(WORDS), word_tokens.WordTokens(WORDS)
+    for k in range(60):
+        text = f"слово{'а' * k}, grün {'Ж' * (k % 7)}! 42½ it's {k}"
+        assert own.ids(text) == library.encode(text, add_special_tokens=False).ids
+        assert own.held < 4000
+
+
 def test_packing_in_small_pools(monkeypatch):
     monkeypatch.setattr(packing, "WAITING", 5)
     packer, rng, total = Packer(3, step_tokens=4096), random.Random(5), 0
