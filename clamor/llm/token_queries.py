@@ -1,4 +1,4 @@
-"""Encoding and packing of all documents.  SQL cannot express the tokenizers."""
+"""Encoding, packing and token counts of all documents.  SQL cannot express the tokenizers."""
 
 from __future__ import annotations
 
@@ -7,6 +7,7 @@ import public_tokenizers
 from clamor.llm.byte_bpe import token_digests
 from clamor.llm.common import table
 from clamor.llm.packing import pack
+from clamor.llm.token_counts import token_counts
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 WORDS = "word_bpe_49k.json"
@@ -22,5 +23,13 @@ def op8_packing(spark, sf_dir):
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path(WORDS))
 
 
-QUERIES = {"op5_byte_bpe": op5_byte_bpe, "op8_packing": op8_packing}
+def op12_token_counts(spark, sf_dir):
+    return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(WORDS))
+
+
+QUERIES = {
+    "op5_byte_bpe": op5_byte_bpe,
+    "op8_packing": op8_packing,
+    "op12_token_counts": op12_token_counts,
+}
 ORACLES = {}
