@@ -17,7 +17,8 @@ from clamor.session import configure
 from clamor.sources.messages import RECORDS_PER_TRIGGER, decode, file_stream, topic_stream
 from clamor.sources.store import MentionStore
 from clamor.streaming.job import (
-    live_buckets,
+    DELAY,
+    live_mentions,
     run_of,
     start,
     use_state_settings,
@@ -31,6 +32,7 @@ def main() -> None:
     parser.add_argument("--checkpoint", required=True, help="checkpoint folder of the query")
     parser.add_argument("--brand", required=True, help="brand named in batch records")
     parser.add_argument("--trigger-seconds", type=int, default=10)
+    parser.add_argument("--delay", default=DELAY, help="how late messages may be")
     parser.add_argument("--drain", action="store_true", help="work off what is there and end")
     parser.add_argument("--records-per-trigger", type=int, default=RECORDS_PER_TRIGGER)
     parser.add_argument("--files-per-trigger", type=int, default=1)
@@ -67,13 +69,17 @@ def main() -> None:
         return topic_stream(session, options.servers, options.topic, options.records_per_trigger)
 
     seconds = None if options.drain else options.trigger_seconds
-    queries = [start(values(spark), options.root, options.checkpoint, options.brand, seconds)]
+    queries = [
+        start(values(spark), options.root, options.checkpoint, options.brand, seconds, options.delay)
+    ]
     if options.live_folder:
         own = configure(spark.newSession())
         use_state_settings(own)
-        counts = live_buckets(valid_rows(decode(values(own))), options.live_delay)
+        counted = live_mentions(valid_rows(decode(values(own))), options.live_delay)
         queries.append(
-            write_live_buckets(counts, options.live_folder, options.live_checkpoint, seconds)
+            write_live_buckets(
+                counted, options.live_folder, options.live_checkpoint, seconds, "append"
+            )
         )
     for query in queries:
         query.awaitTermination()

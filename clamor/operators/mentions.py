@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from clamor.functions.scoring import with_scores
 from clamor.schema import CLASSES, DEFAULT_LANG, DEFAULT_SOURCE, FACT_COLUMNS
+from clamor.session import materialise
 
+SPECIAL = 500_000  # ids that are sent to all tasks at most
 REQUIRED = ["ts", "brand", "platform", "author"]
 
 
@@ -58,24 +60,42 @@ def split_rejects(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def dedupe(messages: DataFrame, order: list[str] | None = None) -> DataFrame:
-    """One row per ``mention_id``, the first by ``order``, then by content.
+    """One row per ``mention_id``, the first by ``order``, then by content."""
+    return new_mentions(messages, None, order)
 
-    A count of ids alone, which combines in every task before the shuffle, finds the few
-    that occur more than once.  Only their rows are ordered; all others stay where they
-    are.  ``messages`` is read twice and should be stored or cheap.
+
+def new_mentions(
+    messages: DataFrame, known: DataFrame | None, order: list[str] | None = None
+) -> DataFrame:
+    """First row of each ``mention_id`` that is not among the ``known`` ids.
+
+    One pass over the ids alone, which combines in every task before the shuffle, finds
+    those that occur more than once or are known, and writes them.  Up to SPECIAL of them
+    are sent to the rows, so that no row is shuffled but the first of each repeated id in
+    each task; beyond that Spark shuffles the rows by id.  ``messages`` is read three
+    times, once for ids only, and should be held or stored.
     """
     rest = [c for c in messages.columns if c != "mention_id"]
     first = [c for c in (order or ["ts"]) if c in rest]
     ranked = F.struct(*first, *[c for c in rest if c not in first])
-    repeated = (
-        messages.groupBy("mention_id")
-        .agg(F.count("*").alias("_copies"))
-        .where(F.col("_copies") > 1)
-        .select(F.col("mention_id").alias("_id"))
-    )
+    ids = messages.groupBy(F.col("mention_id").alias("_id")).agg(F.count("*").alias("_copies"))
+    if known is None:
+        ids = ids.withColumn("_known", F.lit(False))
+    else:
+        # The history meets the ids of the messages only, and is not shuffled if these are few.
+        met = known.select("mention_id").join(
+            messages.select("mention_id"), "mention_id", "left_semi"
+        )
+        seen = met.distinct().select(F.col("mention_id").alias("_seen"), F.lit(True).alias("_known"))
+        ids = ids.join(seen, F.col("_id") == F.col("_seen"), "left").select(
+            "_id", "_copies", F.coalesce("_known", F.lit(False)).alias("_known")
+        )
+    special = materialise(ids.where((F.col("_copies") > 1) | F.col("_known")))
+    if special.count() <= SPECIAL:
+        special = F.broadcast(special)
     same = F.col("mention_id").eqNullSafe(F.col("_id"))
-    single = messages.join(repeated, same, "left_anti")
-    copies = messages.join(repeated, same, "left_semi")
+    single = messages.join(special, same, "left_anti")
+    copies = messages.join(special.where(~F.col("_known")), same, "left_semi")
     kept = copies.groupBy("mention_id").agg(F.min(ranked).alias("_kept"))
     return single.unionByName(
         kept.select(*["mention_id" if c == "mention_id" else F.col("_kept")[c].alias(c)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from clamor.functions.scoring import NEGATIVE, NEUTRAL, POSITIVE
 from clamor.operators.graph import edges_among, node_id
+from clamor.operators.mentions import dedupe
 from clamor.session import materialise
 
 BRAND_NODE = "MARCA"
@@ -23,10 +24,9 @@ def majority(pos: str = "pos", neu: str = "neu", neg: str = "neg") -> Column:
 
 def _first_seen(messages: DataFrame) -> DataFrame:
     """One row per mention, the earliest by (ts, mention_id)."""
-    kept = messages.groupBy("mention_id").agg(
-        F.min(F.struct("ts", "author", "platform", "keywords", "sentiment")).alias("m")
+    return dedupe(
+        messages.select("mention_id", "ts", "author", "platform", "keywords", "sentiment")
     )
-    return kept.select("mention_id", "m.*")
 
 
 def _element(src: Column, label: str, name: Column, dst: Column, rel: str) -> Column:

@@ -351,7 +351,11 @@ CLEAN_BUCKETS = (
     "SELECT CAST(date_trunc('minute', ts) AS VARCHAR) AS bucket, sentiment, "
     "count(*) AS mentions FROM clean_facts GROUP BY 1, 2"
 )
-STORED = "mention_id, brand, source, platform, author, sentiment, score, confidence"
+STORED = (
+    f"mention_id, {TS.format('ts')} AS ts, brand, source, platform, author, author_followers, "
+    f"text, lang, {JOINED.format('hashtags')}, {JOINED.format('keywords')}, sentiment, score, "
+    "confidence, tokens, opinions, decisions, expected, likes, shares"
+)
 SESSION_LIST = "src, dst, rel, name, weight, pos, neu, neg, sentiment"
 STATS_LIST = (
     "batch_id, messages, total_tokens, decisions, opinions, bound, max_tokens, correct, positive, "
@@ -774,6 +778,37 @@ ORACLE: dict[str, str] = {
         GRAPH,
         "SELECT * EXCLUDE (rn) FROM ranked WHERE label IN ('MARCA', 'PLATAFORMA') OR rn <= 90",
     ),
+    "stream_outputs": _with(
+        CLEAN_GRAPH,
+        """SELECT 'rejects' AS output, 'author missing' AS part, count(*) AS n,
+          CAST(sum(length(mention_id)) AS BIGINT) AS total
+        FROM mentions WHERE n % 97 = 0 AND n % 83 <> 0 AND n % 89 <> 0
+        UNION ALL SELECT 'ids', 'all', count(*), CAST(sum(length(mention_id)) AS BIGINT)
+        FROM clean_facts
+        UNION ALL SELECT 'buckets', sentiment, count(DISTINCT date_trunc('minute', ts)), count(*)
+        FROM clean_facts GROUP BY sentiment
+        UNION ALL SELECT 'nodes', label, count(*), CAST(sum(weight) AS BIGINT)
+        FROM nodes_s GROUP BY label
+        UNION ALL SELECT 'edges', rel, count(*), CAST(sum(weight) AS BIGINT)
+        FROM edges_s GROUP BY rel
+        UNION ALL SELECT 'batch_stats', 'acme', count(*), CAST(sum(tokens) AS BIGINT)
+        FROM clean_facts""",
+    ),
+    "stream_late": _with(
+        f"""{CLEAN_FACTS},
+        timed AS (
+          SELECT *, n % 10 = 0 AND ts >= max(ts) OVER () - INTERVAL 10 DAY AS kept_back
+          FROM mentions
+        ),
+        mark AS (
+          SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 1 DAY AS too_late
+          FROM timed WHERE NOT kept_back AND n % 83 <> 0 AND n % 89 <> 0
+        )""",
+        f"""SELECT {STORED} FROM clean_facts
+        WHERE n IN (SELECT n FROM timed WHERE NOT kept_back) OR ts > (SELECT too_late FROM mark)""",
+    ),
+    "graph_folds": _with(CLEAN_GRAPH, "SELECT * FROM nodes_s"),
+    "stream_buckets_replayed": _with(CLEAN_FACTS, CLEAN_BUCKETS),
     "graph_replay": _with(CLEAN_GRAPH, "SELECT * FROM nodes_s"),
     "stream_graph": _with(CLEAN_GRAPH, "SELECT * FROM edges_s"),
     "stream_buckets": _with(CLEAN_FACTS, CLEAN_BUCKETS),

@@ -104,9 +104,9 @@ def rejects(spark, sf):
 def dedup_mentions(spark, sf):
     """The first half of the batches is stored; the rest comes with copies of it."""
     accepted, _ = mn.split_rejects(fx.raw_mentions(spark, sf))
-    known = accepted.where(F.col("batch_id") % 2 == 0)
-    fresh = mn.without_known(mn.dedupe(accepted), known)
-    return fresh.select("mention_id", "author", "text", "batch_id")
+    held = materialise(accepted.select("mention_id", "ts", "author", "text", "batch_id"))
+    known = held.where(F.col("batch_id") % 2 == 0)
+    return mn.new_mentions(held, known).drop("ts")
 
 
 def batch_stats(spark, sf):

@@ -6,12 +6,16 @@ shared folder; every run uses new folders there.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from clamor.operators.mentions import dedupe, mention_facts, split_rejects, valid_rows
 from clamor.operators import reports
 from clamor.plans import fixtures as fx
+from clamor.schema import FACT_COLUMNS
 from clamor.session import configure, work_folder
 from clamor.sources.messages import decode, encode, file_stream, write_files
 from clamor.sources.store import MentionStore
@@ -38,11 +42,13 @@ def copies_of(rows: DataFrame) -> DataFrame:
     return rows.where(F.col("likes") == 0)
 
 
-def run_job(spark: SparkSession, folder: str, per_trigger: int, root: str, checkpoint: str) -> None:
-    query = job.start(
-        file_stream(spark, folder, per_trigger), root, checkpoint, BRAND, trigger_seconds=None
-    )
+def run_job(
+    spark: SparkSession, folder: str, per_trigger: int, root: str, checkpoint: str, delay: str = DELAY
+) -> StreamingQuery:
+    arriving = file_stream(spark, folder, per_trigger)
+    query = job.start(arriving, root, checkpoint, BRAND, trigger_seconds=None, delay=delay)
     query.awaitTermination()
+    return query
 
 
 def drained_store(spark: SparkSession, sf: str) -> MentionStore:
@@ -57,7 +63,15 @@ def drained_store(spark: SparkSession, sf: str) -> MentionStore:
     return MentionStore(spark, root)
 
 
-FACTS = ["mention_id", "brand", "source", "platform", "author", "sentiment", "score", "confidence"]
+def stored(store: MentionStore) -> DataFrame:
+    """All columns of the stored facts but the time of their batch."""
+    return store.read("mentions").select(*FACT_COLUMNS).withColumns(
+        {
+            "ts": F.col("ts").cast("string"),
+            "hashtags": F.array_join("hashtags", ","),
+            "keywords": F.array_join("keywords", ","),
+        }
+    )
 
 
 def stream_source(spark, sf):
@@ -76,7 +90,53 @@ def stream_source(spark, sf):
 
 
 def stream_run(spark, sf):
-    return drained_store(spark, sf).read("mentions").select(*FACTS)
+    return stored(drained_store(spark, sf))
+
+
+def stream_outputs(spark, sf):
+    """Sizes and sums of every other table that the job has written."""
+    store = drained_store(spark, sf)
+    nodes, edges = store.graph()
+
+    def part(name: str, rows: DataFrame, by: str, total: str) -> DataFrame:
+        return rows.groupBy(F.lit(name).alias("output"), F.col(by).alias("part")).agg(
+            F.count("*").alias("n"), F.sum(F.expr(total)).cast("long").alias("total")
+        )
+
+    parts = [
+        part("rejects", store.read("rejects"), "reason", "length(mention_id)"),
+        part("ids", store.read("ids").withColumn("all", F.lit("all")), "all", "length(mention_id)"),
+        part("buckets", store.bucket_rows(), "sentiment", "mentions"),
+        part("nodes", nodes, "label", "weight"),
+        part("edges", edges, "rel", "weight"),
+    ]
+    stats = store.read("batch_stats").groupBy("brand").agg(
+        F.sum("messages").alias("n"), F.sum("total_tokens").alias("total")
+    )
+    parts.append(stats.select(F.lit("batch_stats").alias("output"), F.col("brand").alias("part"), "n", "total"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def late_runs(spark: SparkSession, sf: str) -> tuple[MentionStore, list[StreamingQuery]]:
+    """Three drains of one job that takes messages of the last day: the old ones, those of
+    the last ten days but a tenth, and this tenth with copies of others."""
+    rows = fx.raw_mentions(spark, sf)
+    number = F.coalesce(F.substring("mention_id", 2, 20).cast("long"), F.lit(1))
+    newest = rows.agg(F.max("ts")).scalar()
+    recent = F.col("ts") >= newest - F.expr("INTERVAL 10 DAYS")
+    kept_back = recent & (number % 10 == 0)
+    folder, root = work_folder(spark, "messages"), work_folder(spark, "store")
+    checkpoint, queries = work_folder(spark, "checkpoint"), []
+    for part in (~recent, recent & ~kept_back, kept_back | (number % 10 == 1)):
+        write_files(rows.where(part), folder, ROWS_PER_FILE)
+        # One batch each, as files of one drain come in any order.
+        queries.append(run_job(spark, folder, 100_000, root, checkpoint, "1 day"))
+    return MentionStore(spark, root), queries
+
+
+def stream_late(spark, sf):
+    store, _ = late_runs(spark, sf)
+    return stored(store)
 
 
 def stream_restart(spark, sf):
@@ -92,7 +152,7 @@ def stream_restart(spark, sf):
     run_job(spark, folder, few_batches(spark, folder), root, checkpoint)
     store = MentionStore(spark, root)
     runs = store.read("batch_stats").select("run_id").distinct().agg(F.count("*")).scalar()
-    return store.read("mentions").select(*FACTS, runs.alias("runs"))
+    return stored(store).withColumn("runs", runs)
 
 
 def sink_idempotent(spark, sf):
@@ -109,7 +169,7 @@ def sink_idempotent(spark, sf):
         unfinished.path("mentions")
     )
     job.process_batch(unfinished, "run", BRAND, first, 0)
-    return unfinished.read("mentions").select(*FACTS)
+    return stored(unfinished)
 
 
 def graph_seed(spark, sf):
@@ -131,6 +191,18 @@ def graph_replay(spark, sf):
     return nodes
 
 
+def graph_folds(spark, sf):
+    """Three batches; ledgers are folded into a base after each of the first two."""
+    rows = valid_rows(fx.raw_mentions(spark, sf))
+    store = MentionStore(spark, work_folder(spark, "store"))
+    for batch in range(3):
+        job.process_batch(store, "run", BRAND, rows.where(F.col("batch_id") % 3 == batch), batch)
+        if batch < 2:
+            store.fold_graph()
+    nodes, _ = store.graph()
+    return nodes
+
+
 def stream_graph(spark, sf):
     """Part of the mentions is history; the stream brings the rest and some of
     it again; edges equal those of one pass over everything."""
@@ -157,6 +229,15 @@ def count_live(spark: SparkSession, folder: str, out: str, checkpoint: str) -> N
     job.write_live_buckets(job.live_buckets(arriving, DELAY), out, checkpoint).awaitTermination()
 
 
+def keep_live(spark: SparkSession, folder: str, out: str) -> None:
+    """Live rows of a folder under a new checkpoint."""
+    own = stream_session(spark)
+    arriving = valid_rows(decode(file_stream(own, folder, few_batches(spark, folder))))
+    job.write_live_buckets(
+        job.live_mentions(arriving, DELAY), out, work_folder(spark, "checkpoint"), None, "append"
+    ).awaitTermination()
+
+
 def as_text(buckets: DataFrame) -> DataFrame:
     return buckets.withColumn("bucket", F.col("bucket").cast("string"))
 
@@ -178,8 +259,17 @@ def stream_buckets_runs(spark, sf):
     for part in (F.col("batch_id") % 2 == 0, F.col("batch_id") % 2 == 1):
         folder = work_folder(spark, "messages")
         write_files(rows.where(part), folder, ROWS_PER_FILE)
-        count_live(spark, folder, out, work_folder(spark, "checkpoint"))
-    return as_text(job.read_live_buckets(spark, out))
+        keep_live(spark, folder, out)
+    return as_text(job.read_live_mentions(spark, out))
+
+
+def stream_buckets_replayed(spark, sf):
+    """Live counts over two checkpoints that both read the same files."""
+    folder, out = work_folder(spark, "messages"), work_folder(spark, "table")
+    write_files(fx.raw_mentions(spark, sf), folder, ROWS_PER_FILE)
+    for _ in range(2):
+        keep_live(spark, folder, out)
+    return as_text(job.read_live_mentions(spark, out))
 
 
 def stream_dedup(spark, sf):
@@ -257,6 +347,10 @@ def replayed_batch(spark, sf):
 STREAM_QUERIES = {
     "stream_source": stream_source,
     "stream_run": stream_run,
+    "stream_outputs": stream_outputs,
+    "stream_late": stream_late,
+    "graph_folds": graph_folds,
+    "stream_buckets_replayed": stream_buckets_replayed,
     "stream_restart": stream_restart,
     "sink_idempotent": sink_idempotent,
     "graph_seed": graph_seed,

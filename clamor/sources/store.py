@@ -10,6 +10,9 @@ new run and cannot be mistaken for old ones.
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,6 +28,7 @@ TABLES = {
         "confidence double, tokens int, opinions int, decisions int, expected string, "
         "likes int, shares int, processed_at timestamp"
     ),
+    "ids": "mention_id string",
     "rejects": "mention_id string, ts timestamp, reason string, message string",
     "buckets": "bucket timestamp, sentiment string, mentions bigint",
     "graph": (
@@ -78,22 +82,54 @@ class MentionStore:
         """True once the record of a batch, its last table, is committed."""
         return self.exists(f"{self.path('batch_stats', run_id, batch_id)}/part-*")
 
-    def known_ids(self, run_id: str, batch_id: int) -> DataFrame:
-        """Ids of all stored mentions but those of this batch, from a scan of
-        the id column alone.  A batch that is repeated must not see itself."""
+    def known_ids(self, run_id: str, batch_id: int, ledgers_whole: bool = False) -> DataFrame:
+        """Ids of all stored mentions but those of this batch, which must not see itself
+        when it is repeated.
+
+        They come from the ledger of ids; no fact file is opened.  Facts whose ids are not
+        in it, left by a run that ended in between, are looked for unless the caller knows
+        that ``rebuild_ledgers`` has been here.
+        """
         own = (F.col("run_id") == run_id) & (F.col("batch_id") == batch_id)
-        return self.read("mentions").where(~own).select("mention_id")
+        ids = self.read("ids").where(~own).select("mention_id")
+        if ledgers_whole:
+            return ids
+        for run in self.lacking("ids"):
+            ids = ids.unionByName(self.rows_of("mentions", *run).where(~own).select("mention_id"))
+        return ids
+
+    def rows_of(self, table: str, run_id: str, numbers: list[int]) -> DataFrame:
+        """Rows of some batches of a run, read from their partitions alone."""
+        own = (F.col("run_id") == run_id) & F.col("batch_id").isin(numbers)
+        return self.read(table).where(own)
+
+    def lacking(self, table: str, skipped: str | None = None) -> list[tuple[str, list[int]]]:
+        """(run, batches) of stored facts that have no rows in a ledger.
+
+        ``skipped`` names a run whose unfinished batches are left out.
+        """
+        stored = self.batches("mentions")
+        if self.exists(self.path("folded")):
+            folded = self.spark.read.schema(PARTITION).parquet(self.path("folded"))
+            stored -= {(row["run_id"], row["batch_id"]) for row in folded.collect()}
+        if skipped is not None:
+            stored -= {b for b in stored if b[0] == skipped} - self.batches("batch_stats")
+        missing = stored - self.batches(table)
+        return [
+            (run_id, sorted(batch for run, batch in missing if run == run_id))
+            for run_id in sorted({run for run, _ in missing})
+        ]
 
     def load_history(self, facts: DataFrame, batch_id: int | None = None) -> int:
         """Store facts that were scored elsewhere as a batch of their own.
 
-        Each load has a number of its own, by default the next one; one that is taken is
+        Each load has a number above all earlier ones, by default the next; another is
         refused, as facts that others were computed from are never replaced.
         ``rebuild_ledgers`` adds what follows from them.
         """
         taken = {batch for run, batch in self.batches("mentions") if run == SEED_RUN}
         number = max(taken, default=-1) + 1 if batch_id is None else batch_id
-        if number in taken:
+        if number <= max(taken, default=-1):
             raise ValueError(f"history batch {number} is stored already")
         self.write_batch("mentions", facts, SEED_RUN, number)
         return number
@@ -110,7 +146,7 @@ class MentionStore:
         return {(run.split("=", 1)[1], int(batch.split("=", 1)[1])) for run, batch in pairs}
 
     def rebuild_ledgers(self, brand: str = "", running: str | None = None) -> None:
-        """Write buckets, graph and batch record for stored facts that lack them.
+        """Write ids, buckets, graph and batch record for stored facts that lack them.
 
         Such facts are history, or were left by a run that ended between its outputs and
         whose checkpoint is lost.  ``running`` names the run that goes on from its
@@ -118,12 +154,6 @@ class MentionStore:
         read, each replaces its own partition only, and the record comes last, so this
         is safe to repeat.
         """
-        stored = self.batches("mentions")
-        if self.exists(self.path("folded")):
-            folded = self.spark.read.schema(PARTITION).parquet(self.path("folded"))
-            stored -= {(row["run_id"], row["batch_id"]) for row in folded.collect()}
-        if running is not None:
-            stored -= {b for b in stored if b[0] == running} - self.batches("batch_stats")
         keys = ("run_id", "batch_id")
 
         def stats(facts: DataFrame) -> DataFrame:
@@ -131,32 +161,99 @@ class MentionStore:
             return counted.na.fill(0).withColumn("brand", F.lit(brand))
 
         makers = {
+            "ids": lambda facts: facts.select("mention_id", *keys),
             "buckets": lambda facts: reports.buckets(facts, *keys),
             "graph": lambda facts: graph.graph_elements(facts, *keys),
             "batch_stats": stats,
         }
         for table, make in makers.items():
             names = [*T.StructType.fromDDL(TABLES[table]).names, *keys]
-            missing = stored - self.batches(table)
-            for run_id in sorted({run for run, _ in missing}):
-                numbers = sorted(batch for run, batch in missing if run == run_id)
-                own = (F.col("run_id") == run_id) & F.col("batch_id").isin(numbers)
-                rows = make(self.read("mentions").where(own)).select(*names)
+            for run_id, numbers in self.lacking(table, running):
+                rows = make(self.rows_of("mentions", run_id, numbers)).select(*names)
                 rows.write.mode("overwrite").option(
                     "partitionOverwriteMode", "dynamic"
                 ).partitionBy(*keys).parquet(self.path(table))
 
-    def read_complete(self, table: str) -> DataFrame:
-        """Rows of the batches that have their record: all tables agree on these."""
+    def complete(self) -> DataFrame:
+        """(run_id, batch_id) of the batches that have their record."""
         done = self.read("batch_stats").select("run_id", "batch_id").distinct()
         if self.exists(self.path("folded")):
             done = done.unionAll(self.spark.read.schema(PARTITION).parquet(self.path("folded")))
-        return self.read(table).join(done, ["run_id", "batch_id"], "left_semi")
+        return done
+
+    def read_complete(self, table: str) -> DataFrame:
+        """Rows of the batches that have their record: all tables agree on these."""
+        return self.read(table).join(self.complete(), ["run_id", "batch_id"], "left_semi")
+
+    # Graph: a merged base and the ledgers after it ---------------------------
+
+    def graph_base(self) -> tuple[DataFrame | None, dict[str, int]]:
+        """(merged elements, last batch that they hold of each run) of the newest base."""
+        if not self.exists(self.path("graph_base_state")):
+            return None, {}
+        state = self.spark.read.parquet(self.path("graph_base_state"))
+        newest = state.where(F.col("version") == state.agg(F.max("version")).scalar()).collect()
+        schema = T.StructType.fromDDL(TABLES["graph"])
+        elements = self.spark.read.schema(schema).parquet(
+            f"{self.path('graph_base')}/version={newest[0]['version']}"
+        )
+        return elements, {r["run_id"]: r["last_batch"] for r in newest}
+
+    def graph_tail(self, held: dict[str, int]) -> DataFrame:
+        """Ledger rows of complete batches that a base does not hold.
+
+        The condition is on partition columns alone, one term for each run, so the files
+        of the batches in the base are not opened.
+        """
+        new = reduce(
+            lambda c, run: c & ~((F.col("run_id") == run) & (F.col("batch_id") <= held[run])),
+            held, F.lit(True),
+        )
+        return self.read_complete("graph").where(new)
+
+    def graph_elements(self) -> DataFrame:
+        """Nodes and edges added up over all complete batches, from base and tail."""
+        base, held = self.graph_base()
+        tail = self.graph_tail(held).drop("run_id", "batch_id")
+        return graph.merge_elements(tail if base is None else base.unionByName(tail))
+
+    def fold_graph(self) -> bool:
+        """Write a new base that holds all batches so far; False if there is nothing new.
+
+        Of each run the base takes the batches before its first unfinished one, so that it
+        can be told by one number.  The state comes last and names the version; a reader
+        sees the old base until then, and old versions are left for readers that run.
+        """
+        found = self.batches("graph")
+        done = {(r["run_id"], r["batch_id"]) for r in self.complete().collect()}
+        _, held = self.graph_base()
+        last = dict(held)
+        for run in {run for run, _ in found}:
+            open_batches = [b for r, b in found - done if r == run]
+            ends = min(open_batches, default=float("inf"))
+            numbers = [b for r, b in found & done if r == run and b < ends]
+            if numbers:
+                last[run] = max(*numbers, last.get(run, -1))
+        if last == held:
+            return False
+        taken = reduce(
+            lambda c, run: c | ((F.col("run_id") == run) & (F.col("batch_id") <= last[run])),
+            last, F.lit(False),
+        )
+        base, _ = self.graph_base()
+        fresh = self.graph_tail(held).where(taken).drop("run_id", "batch_id")
+        merged = graph.merge_elements(fresh if base is None else base.unionByName(fresh))
+        version = uuid.uuid1().time  # grows with time
+        merged.write.parquet(f"{self.path('graph_base')}/version={version}")
+        rows = [(version, run, batch) for run, batch in last.items()]
+        self.spark.createDataFrame(rows, "version long, run_id string, last_batch long").coalesce(
+            1
+        ).write.mode("append").parquet(self.path("graph_base_state"))
+        return True
 
     def graph(self) -> tuple[DataFrame, DataFrame]:
         """(nodes, edges) added up over all batches."""
-        merged = graph.merge_elements(self.read_complete("graph"))
-        return graph.split_elements(graph.with_sentiment(merged))
+        return graph.split_elements(graph.with_sentiment(self.graph_elements()))
 
     def bucket_rows(self) -> DataFrame:
         return (
@@ -181,12 +278,19 @@ class MentionStore:
 
         The copy is a store of its own, so a failed run leaves this one as it
         was.  Batch records stay one row each: they tell which batches are done.  The
-        folded partition is named in a table of its own, as it has no record.
+        folded partition is named in a table of its own, as it has no record.  In every
+        table the complete batches are folded and the others are copied as they are, so
+        that all tables go on to agree and a rebuild still finds what lacks a record.
         """
-        target.write_batch("mentions", self.read("mentions"), run_id, 0)
-        target.write_batch("rejects", self.read("rejects"), run_id, 0)
+        keys = ["run_id", "batch_id"]
+        done = self.complete()
+        for table in ("mentions", "ids", "rejects"):
+            target.write_batch(table, self.read_complete(table), run_id, 0)
         target.write_batch("buckets", self.bucket_rows(), run_id, 0)
-        target.write_batch("graph", graph.merge_elements(self.read("graph")), run_id, 0)
+        target.write_batch("graph", self.graph_elements(), run_id, 0)
+        for table in ("mentions", "ids", "rejects", "buckets", "graph"):
+            rest = self.read(table).join(done, keys, "left_anti")
+            rest.write.mode("append").partitionBy(*keys).parquet(target.path(table))
         self.read("batch_stats").write.mode("overwrite").partitionBy(
             "run_id", "batch_id"
         ).parquet(target.path("batch_stats"))

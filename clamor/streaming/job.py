@@ -10,13 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from clamor.functions.scoring import with_scores
 from clamor.operators.graph import graph_elements
-from clamor.operators.mentions import (
-    dedupe,
-    mention_facts,
-    split_rejects,
-    valid_rows,
-    without_known,
-)
+from clamor.operators.mentions import mention_facts, new_mentions, split_rejects, valid_rows
 from clamor.operators.reports import batch_counters, buckets, with_batch_accuracy
 from clamor.session import configure
 from clamor.sources.messages import WIRE_TIME, decode
@@ -24,6 +18,9 @@ from clamor.sources.store import MentionStore
 
 LOG = logging.getLogger(__name__)
 
+DELAY = "1 day"  # how late a message may be
+FOLD_EVERY = 50  # batches after which the graph ledgers are folded into a new base
+
 # Counters of the log line of a batch, beside the graph sizes.
 SUMMARY = [
     "messages", "accuracy", "decisions", "bound", "opinions", "max_tokens", "positive", "neutral",
@@ -40,7 +37,12 @@ STATE_SETTINGS = {
 
 
 def process_batch(
-    store: MentionStore, run_id: str, brand: str, messages: DataFrame, batch_id: int
+    store: MentionStore,
+    run_id: str,
+    brand: str,
+    messages: DataFrame,
+    batch_id: int,
+    ledgers_whole: bool = False,
 ) -> dict | None:
     """Store one batch and return its counters; None if there was nothing to do.
 
@@ -60,8 +62,7 @@ def process_batch(
         if messages.count() == 0:
             return None
         accepted, rejected = split_rejects(messages)
-        unique = dedupe(accepted)
-        new = without_known(unique, store.known_ids(run_id, batch_id))
+        new = new_mentions(accepted, store.known_ids(run_id, batch_id, ledgers_whole))
         facts = mention_facts(new.withColumn("processed_at", now), ("processed_at",))
         store.write_batch("mentions", facts, run_id, batch_id)
         message = F.to_json(F.struct(*messages.columns), WIRE_TIME).alias("message")
@@ -71,6 +72,7 @@ def process_batch(
     finally:
         messages.unpersist()
     stored = store.read_batch("mentions", run_id, batch_id)
+    store.write_batch("ids", stored, run_id, batch_id)
     store.write_batch("buckets", buckets(stored), run_id, batch_id)
     sizes, counters = Observation(), Observation()
     elements = graph_elements(stored).observe(
@@ -94,16 +96,22 @@ def start(
     checkpoint: str,
     brand: str,
     trigger_seconds: int | None = 10,
+    delay: str = DELAY,
 ) -> StreamingQuery:
     """Start the job on a stream of JSON values.
 
-    Without ``trigger_seconds`` the query works off what is there and ends.
+    Without ``trigger_seconds`` the query works off what is there and ends.  Copies that
+    come within ``delay`` of each other are dropped by the state of the stream, and so are
+    messages later than that (``late_rows`` counts them); ids that are stored already are
+    left out exactly, behind it.
     """
     spark = values.sparkSession
     store = MentionStore(spark, root)
+    ledgers_whole = True
     try:
         store.rebuild_ledgers(brand, run_of(spark, checkpoint))
     except Exception as error:  # the stream has to start in any case
+        ledgers_whole = False
         LOG.warning("ledgers not rebuilt: %s", error)
 
     def on_batch(messages: DataFrame, batch_id: int) -> None:
@@ -112,11 +120,13 @@ def start(
         session = configure(messages.sparkSession)
         run_id = session.sparkContext.getLocalProperty("sql.streaming.queryId")
         here = MentionStore(session, root)
-        summary = process_batch(here, run_id, brand, messages, batch_id)
+        summary = process_batch(here, run_id, brand, messages, batch_id, ledgers_whole)
         LOG.info("batch %s of run %s: %s", batch_id, run_id, summary or "nothing to do")
+        if batch_id % FOLD_EVERY == FOLD_EVERY - 1:
+            here.fold_graph()
 
     writer = (
-        valid_rows(decode(values))
+        first_copies(valid_rows(decode(values)), delay)
         .writeStream.foreachBatch(on_batch)
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
@@ -154,6 +164,22 @@ def unique_stream(messages: DataFrame, delay: str = "1 hour") -> DataFrame:
     )
 
 
+def first_copies(messages: DataFrame, delay: str) -> DataFrame:
+    """``unique_stream`` of the messages with a time; those without one, which will be
+    rejected, pass by it, as they would count as late."""
+    timed = unique_stream(messages.where(F.col("ts").isNotNull()), delay)
+    return timed.unionByName(messages.where(F.col("ts").isNull()))
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Messages that came too late in the batches whose progress is still known."""
+    return sum(
+        int(state.numRowsDroppedByWatermark)
+        for progress in query.recentProgress
+        for state in progress.stateOperators
+    )
+
+
 def live_buckets(messages: DataFrame, delay: str = "10 minutes") -> DataFrame:
     """Running mentions per minute and class of accepted, unique messages; copies and
     rows later than ``delay`` are left out, which bounds the state."""
@@ -166,10 +192,27 @@ def live_buckets(messages: DataFrame, delay: str = "10 minutes") -> DataFrame:
     )
 
 
+def live_mentions(messages: DataFrame, delay: str = "10 minutes") -> DataFrame:
+    """Id, minute and class of accepted, unique messages as they come.
+
+    Its only state are the ids of the last ``delay``; what is counted is kept by id in the
+    written rows, so a lost checkpoint counts nothing twice.
+    """
+    accepted, _ = split_rejects(messages)
+    return with_scores(unique_stream(accepted, delay)).select(
+        "mention_id", F.date_trunc("minute", "ts").alias("bucket"), "sentiment"
+    )
+
+
 def write_live_buckets(
-    rows: DataFrame, folder: str, checkpoint: str, trigger_seconds: int | None = None
+    rows: DataFrame,
+    folder: str,
+    checkpoint: str,
+    trigger_seconds: int | None = None,
+    mode: str = "update",
 ) -> StreamingQuery:
-    """Keep the updates of ``live_buckets``, one folder per run and batch."""
+    """Keep the rows of ``live_mentions`` (mode append) or the updates of ``live_buckets``,
+    one folder per run and batch."""
 
     def on_batch(updates: DataFrame, batch_id: int) -> None:
         run_id = updates.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
@@ -177,7 +220,7 @@ def write_live_buckets(
 
     writer = (
         rows.writeStream.foreachBatch(on_batch)
-        .outputMode("update")
+        .outputMode(mode)
         .option("checkpointLocation", checkpoint)
     )
     if trigger_seconds is None:
@@ -186,11 +229,24 @@ def write_live_buckets(
 
 
 def read_live_buckets(spark: SparkSession, folder: str) -> DataFrame:
-    """Count of each bucket: the latest of each run, as counts of a run only grow, added
-    up over the runs."""
+    """Count of each bucket from the updates of ``live_buckets``: the latest of each run,
+    as counts of a run only grow, added up over runs that read different messages."""
     latest = (
         spark.read.parquet(folder)
         .groupBy("run_id", "bucket", "sentiment")
         .agg(F.max("mentions").alias("mentions"))
     )
     return latest.groupBy("bucket", "sentiment").agg(F.sum("mentions").alias("mentions"))
+
+
+def read_live_mentions(spark: SparkSession, folder: str) -> DataFrame:
+    """Count of each bucket from the rows of ``live_mentions``.
+
+    Ids are unique within a run.  Where there are several runs, a mention that more than
+    one of them has read counts once.
+    """
+    rows = spark.read.parquet(folder)
+    if rows.select("run_id").distinct().limit(2).count() > 1:
+        first = F.min(F.struct("run_id", "bucket", "sentiment")).alias("m")
+        rows = rows.groupBy("mention_id").agg(first).select("m.bucket", "m.sentiment")
+    return rows.groupBy("bucket", "sentiment").agg(F.count("*").alias("mentions"))
