@@ -59,6 +59,13 @@ def _coarse_class(codes, gap: int = 96) -> str:
     return "[" + "".join(f"\\x{{{lo:x}}}-\\x{{{hi:x}}}" for lo, hi in parts) + "]"
 
 
+def rare_class() -> str:
+    """Regex class of characters that may become several, but the ellipsis."""
+    several = folding_tables()[2]
+    syllables = set(range(HANGUL_FIRST, HANGUL_LAST + 1, 90)) | {HANGUL_LAST}
+    return _coarse_class({ord(c) for c in several} - {0x2026} | syllables)
+
+
 def _fold_several(char: Column) -> Column:
     """Folding of one character that becomes several."""
     _, _, several = folding_tables()
@@ -87,13 +94,12 @@ def strip_accents(text: Column) -> Column:
     rows that may hold a character that becomes several are taken apart, after
     the frequent one of these, the ellipsis, is written out.
     """
-    single, deleted, several = folding_tables()
+    single, deleted, _ = folding_tables()
     source = "".join(single) + deleted
     target = "".join(single.values())
     dotted = F.replace(text, F.lit("\u2026"), F.lit("..."))
-    rare = _coarse_class({ord(c) for c in several} - {0x2026} | set(range(HANGUL_FIRST, HANGUL_LAST + 1, 90)) | {HANGUL_LAST})
     characters = F.regexp_extract_all(dotted, F.lit("(?s)."), F.lit(0))
     pieces = F.array_join(F.transform(characters, _fold_several), "")
-    taken_apart = F.when(dotted.rlike(rare), pieces).otherwise(dotted)
+    taken_apart = F.when(dotted.rlike(rare_class()), pieces).otherwise(dotted)
     is_ascii = F.octet_length(text) == F.length(text)
     return F.when(is_ascii, text).otherwise(F.translate(taken_apart, source, target))

@@ -53,15 +53,19 @@ def _token_codes() -> dict[str, int]:
     return codes
 
 
-def token_codes(hits: str) -> Column:
-    """Role and value of each scored piece as one integer."""
+def token_codes_sql(hits: str) -> str:
     codes = lx.map_of(_token_codes(), "int")
-    return F.expr(
+    return (
         f"transform({hits}, p -> CASE WHEN {is_punctuation('p')} THEN {BREAK_CODE} "
         f"ELSE try_element_at({codes}, p) END)"
     )
 
 
+def token_codes(hits: str) -> Column:
+    """Role and value of each scored piece as one integer."""
+    return F.expr(token_codes_sql(hits))
+
+
 def without_idle_breaks(codes: str) -> Column:
     """Codes without breaks at the start or right after another plain break.
 
@@ -73,11 +77,13 @@ def without_idle_breaks(codes: str) -> Column:
     )
 
 
+def scored_sql(found: str) -> str:
+    return f"filter({found}, p -> p {lx.in_list(lx.scored_tokens)} OR {is_punctuation('p')})"
+
+
 def scored(found: str) -> Column:
     """Pieces or tokens with a role in the score."""
-    return F.expr(
-        f"filter({found}, p -> p {lx.in_list(lx.scored_tokens)} OR {is_punctuation('p')})"
-    )
+    return F.expr(scored_sql(found))
 
 
 def opinion_words(found: str) -> Column:

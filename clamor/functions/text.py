@@ -64,41 +64,53 @@ def is_punctuation(piece: str) -> str:
     return f"substring({piece}, 1, 1) {in_list('.!?;:,')}"
 
 
-def as_tokens(found: str) -> Column:
-    """Pieces with each punctuation run as its sentinel."""
-    return F.expr(
+def tokens_sql(found: str) -> str:
+    return (
         f"transform({found}, p -> CASE WHEN startswith(p, ',') THEN '{COMMA_TOKEN}' "
         f"WHEN {is_punctuation('p')} THEN '{PAUSE_TOKEN}' ELSE p END)"
     )
 
 
+def as_tokens(found: str) -> Column:
+    """Pieces with each punctuation run as its sentinel."""
+    return F.expr(tokens_sql(found))
+
+
 def collapse_phrases(joined: Column) -> Column:
     """Two-word connectors become the contrast token, wherever they occur."""
     marker = F.lit(f" {CONTRAST_TOKEN} ")
     return reduce(lambda t, phrase: F.replace(t, F.lit(phrase), marker), PHRASES, joined)
 
 
+def may_collapse_sql(clean: str) -> str:
+    """Whether a text holds both words of a connector."""
+    pairs = [phrase.split() for phrase in PHRASES]
+    return " OR ".join(
+        f"(contains({clean}, '{x}') AND contains({clean}, '{y}'))" for x, y in pairs
+    )
+
+
 def collapsed_pieces(found: str, clean: str) -> Column:
     """Pieces with connectors collapsed.
 
     Only texts that hold both words of a connector are joined and split again.
     """
-    pairs = [phrase.split() for phrase in PHRASES]
-    possible = " OR ".join(
-        f"(contains({clean}, '{x}') AND contains({clean}, '{y}'))" for x, y in pairs
-    )
     joined = collapse_phrases(F.array_join(found, " "))
-    return F.when(F.expr(possible), F.split(joined, " ")).otherwise(F.col(found))
+    return F.when(F.expr(may_collapse_sql(clean)), F.split(joined, " ")).otherwise(F.col(found))
 
 
-def meaningful(found: str) -> Column:
-    """Punctuation, and words of two characters or more but stopwords."""
-    return F.expr(
+def meaningful_sql(found: str) -> str:
+    return (
         f"filter({found}, p -> (length(p) > 1 OR {is_punctuation('p')}) "
         f"AND NOT p {in_list(stopwords)})"
     )
 
 
+def meaningful(found: str) -> Column:
+    """Punctuation, and words of two characters or more but stopwords."""
+    return F.expr(meaningful_sql(found))
+
+
 def extract_hashtags(text: Column) -> Column:
     """Distinct names after ``#`` or ``@`` in first-seen order, lower case."""
     pattern = rf"[@#]([{WORD_CHAR}][{WORD_CHAR}.-]*)"

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clamor.functions import sql
 from clamor.operators import graph as gr
 from clamor.operators import reports
 from clamor.operators.session_graph import session_graph
@@ -71,7 +72,8 @@ def work(store: MentionStore, limit: int = 40) -> tuple[DataFrame, DataFrame]:
 
 def register_views(store: MentionStore) -> None:
     """Temporary views of the store for SQL: mentions, sentiment_buckets,
-    batch_stats, graph_nodes, graph_edges, kpis and accuracy."""
+    batch_stats, graph_nodes, graph_edges, kpis and accuracy, and the scoring functions."""
+    sql.register(store.spark)
     facts = store.read_complete("mentions")
     nodes, edges = store.graph()
     views = {

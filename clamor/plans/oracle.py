@@ -533,6 +533,7 @@ ORACLE: dict[str, str] = {
              ORDER BY abs(signed_weight) DESC, pos) AS INTEGER) AS strength_rank,
         pos, token, round(signed_weight, 6) AS signed_weight FROM opinions""",
     ),
+    "sql_scores": _over(MENTION_TEXTS, SCORES, "SELECT mention_id, sentiment, score FROM scores"),
     "correct_flag": _with(
         FACTS, "SELECT mention_id, CAST(expected = sentiment AS VARCHAR) AS correct FROM facts"
     ),
@@ -836,3 +837,6 @@ ORACLE: dict[str, str] = {
         WHERE mention_id IS NOT NULL AND text IS NOT NULL""",
     ),
 }
+
+# The same rules behind SQL functions.
+ORACLE |= {"sql_tokens": ORACLE["tokenize"], "sql_opinions": ORACLE["opinions_ranked"]}

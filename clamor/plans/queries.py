@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clamor.functions import sql
 from clamor.functions import text as tx
 from clamor.functions.scoring import with_scores
 from clamor.operators import detail, graph, mentions as mn, ordering, reports
@@ -243,6 +244,34 @@ def opinions_ranked(spark, sf):
     return detail.opinions_ranked(fx.mentions(spark, sf), KEY)
 
 
+def sql_session(spark: SparkSession, sf: str) -> SparkSession:
+    """The session with the SQL functions and the texts as views."""
+    sql.register(spark)
+    fx.mentions(spark, sf).select("mention_id", "text").createOrReplaceTempView("mention_texts")
+    fx.document_texts(spark, sf).createOrReplaceTempView("document_texts")
+    return spark
+
+
+def sql_scores(spark, sf):
+    return sql_session(spark, sf).sql(
+        "SELECT mention_id, mention_sentiment(text) AS sentiment, mention_score(text) AS score "
+        "FROM mention_texts"
+    )
+
+
+def sql_tokens(spark, sf):
+    return sql_session(spark, sf).sql(
+        "SELECT mention_id, size(list) AS tokens, md5(array_join(list, ' ')) AS tokens_md5 "
+        "FROM (SELECT mention_id, mention_token_list(text) AS list FROM document_texts)"
+    )
+
+
+def sql_opinions(spark, sf):
+    return sql_session(spark, sf).sql(
+        "SELECT mention_id, o.* FROM mention_texts, LATERAL mention_opinions(text) o"
+    )
+
+
 def correct_flag(spark, sf):
     return facts(spark, sf).select(
         "mention_id", mn.correct_flag().cast("string").alias("correct")
@@ -575,6 +604,9 @@ QUERIES: dict[str, Query] = {
     "score_mentions": score_mentions,
     "score_documents": score_documents,
     "opinions_ranked": opinions_ranked,
+    "sql_scores": sql_scores,
+    "sql_tokens": sql_tokens,
+    "sql_opinions": sql_opinions,
     "correct_flag": correct_flag,
     "mention_facts": mention_facts,
     "node_contrib": node_contrib,

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import model
-from clamor.functions import lexicon as lx
+from clamor.functions import lexicon as lx, sql
 from clamor.functions.scoring import with_scores
 from clamor.operators import detail
 from clamor.plans.fixtures import PHRASES
@@ -180,3 +180,23 @@ def test_product_of_many_modifiers(spark, n):
     factor = lx.active_modifiers["muy"]
     rows = detail.opinions(df, ["i"]).orderBy("pos").collect()
     assert [r.factor for r in rows] == [pytest.approx(factor ** (k + 1), rel=1e-9) for k in range(n)]
+
+
+def test_sql_functions_agree_with_the_operators(spark):
+    """Odd texts, each once by SQL text and once by the operators."""
+    texts = [
+        None, "", "   ", "not good, never bad; but excellent!", "ﬁne ｇｏｏｄ Übel… 각 excelente",
+        "no obstante sin embargo malo http://x.y/z @who", "muy muy muy bueno", "it\'s 'bad' \\ good",
+        "bueno " * 300 + "pero " * 40 + "malo", "très extremadamente lento. odio no odio",
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "k int, text string")
+    sql.register(spark)
+    df.createOrReplaceTempView("odd_texts")
+    want = {r.k: r for r in with_scores(df.where("text IS NOT NULL")).collect()}
+    for r in spark.sql("SELECT k, mention_score(text) s, mention_sentiment(text) c FROM odd_texts").collect():
+        assert (r.s, r.c) == ((want[r.k].score, want[r.k].sentiment) if r.k in want else (None, None))
+    ranked = detail.opinions_ranked(df, ["k"]).collect()
+    found = spark.sql("SELECT k, o.* FROM odd_texts, LATERAL mention_opinions(text) o").collect()
+    assert sorted(map(tuple, found)) == sorted(map(tuple, ranked))
+    rows = spark.sql("SELECT k, o.* FROM odd_texts, LATERAL mention_tokens(text) o").collect()
+    assert sorted(map(tuple, rows)) == sorted(map(tuple, detail.token_rows(df, ["k"]).collect()))
