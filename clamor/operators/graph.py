@@ -41,6 +41,7 @@ RELATIONS = [
 
 ALWAYS_KEPT = ["MARCA", "PLATAFORMA"]
 KEEP_PER_LABEL = 90
+KEPT_SENT = 500_000  # kept nodes that are sent to all tasks at most
 SLICE_SIZE = 140
 
 
@@ -256,6 +257,16 @@ def top_nodes(nodes: DataFrame, per_label: int = KEEP_PER_LABEL) -> DataFrame:
     )
 
 
+def edges_among_kept(edges: DataFrame, kept: DataFrame) -> DataFrame:
+    """Edges with both ends in a written table of kept nodes.
+
+    These are counted once; up to KEPT_SENT of them are sent to the edges, which then stay
+    where they are.  Of more, Spark chooses the join.
+    """
+    ids = kept.select("node_id")
+    return edges_among(edges, F.broadcast(ids) if ids.count() <= KEPT_SENT else ids)
+
+
 def edges_among(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     """Edges with both ends in ``nodes``, which are read twice.
 

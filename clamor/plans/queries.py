@@ -355,9 +355,9 @@ def graph_top_nodes(spark, sf):
 
 def graph_kept_edges(spark, sf):
     every_node, every_edge = stored_graph(spark, sf)
-    # Written once: it is read for both ends, and Spark knows its size then.
+    # Written once: it is counted and read for both ends.
     kept = materialise(graph.top_nodes(every_node, 20).select("node_id"))
-    return graph.edges_among(every_edge, kept)
+    return graph.edges_among_kept(every_edge, kept)
 
 
 def graph_increment(spark, sf):

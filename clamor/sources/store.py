@@ -268,7 +268,7 @@ class MentionStore:
         target = self.path("snapshot_nodes")
         graph.top_nodes(nodes, per_label).write.mode("overwrite").parquet(target)
         kept = self.spark.read.parquet(target)
-        graph.edges_among(edges, kept).write.mode("overwrite").parquet(
+        graph.edges_among_kept(edges, kept).write.mode("overwrite").parquet(
             self.path("snapshot_edges")
         )
         return kept, self.spark.read.parquet(self.path("snapshot_edges"))

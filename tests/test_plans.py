@@ -84,3 +84,19 @@ def test_one_pass_for_the_graph(spark):
 def test_spread_leaves_large_inputs_alone(spark):
     many = spark.range(0, 1000, 1, 64)
     assert fx.spread(many, "id") is many
+
+
+def test_edges_among_kept_nodes_are_not_shuffled(spark, tmp_path, monkeypatch):
+    """With automatic broadcasts off the counted set is still sent, up to its bound."""
+    edges = spark.range(1000).selectExpr("concat('n', id) AS src", "concat('n', id + 1) AS dst")
+    spark.range(50).selectExpr("concat('n', id) AS node_id").write.parquet(str(tmp_path / "kept"))
+    kept = spark.read.parquet(str(tmp_path / "kept"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(graph_module.edges_among_kept(edges, kept))
+        assert plan.count("BroadcastHashJoin") == 2 and "Exchange hashpartitioning" not in plan
+        monkeypatch.setattr(graph_module, "KEPT_SENT", 10)
+        assert "BroadcastHashJoin" not in plan_of(graph_module.edges_among_kept(edges, kept))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
