@@ -232,8 +232,9 @@ def link_tool_calls(messages: DataFrame, parameters: DataFrame) -> DataFrame:
     )
     waiting = ready_states(calls).withColumn("late", F.lit(True))
     linked = (
-        calls.join(results, node, "left")
-        .join(waiting, node, "left")
+        # Both sides are spread by call, whose rows are few: results and states are hashed.
+        calls.join(results.hint("shuffle_hash"), node, "left")
+        .join(waiting.hint("shuffle_hash"), node, "left")
         .join(schema_rows(parameters), F.col("name") == F.col("tool"), "left")
         .withColumn("given", F.expr("try_cast(arguments AS map<string, variant>)"))
     )
@@ -261,7 +262,8 @@ def link_tool_calls(messages: DataFrame, parameters: DataFrame) -> DataFrame:
             F.struct("turn", "content").alias("first"), F.col("conv_id").alias("result_conv"),
         )
     )
-    uncalled = results.join(calls.select(*node).distinct(), node, "left_anti").unionByName(nameless)
+    called = calls.select(*node).distinct().hint("shuffle_hash")
+    uncalled = results.join(called, node, "left_anti").unionByName(nameless)
     orphans = uncalled.select(
         F.col("result_conv").alias("conv_id"), F.col("first.turn").alias("turn"),
         F.lit(0).alias("place"), "call_id", F.lit(None).cast("string").alias("name"),

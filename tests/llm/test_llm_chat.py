@@ -182,3 +182,10 @@ def test_query_on_nulls(spark, tmp_path):
     con.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{tmp_path}/conversations.parquet')")
     key = "op4_chat_tool_calls"
     assert difference(spark, con, str(tmp_path), QUERIES[key], ORACLES[key]) == ""
+
+
+def test_calls_and_results_meet_in_hash_joins(spark):
+    frame = spark.createDataFrame([(1, 0, "assistant", call(("a", "now", {})))], MESSAGES)
+    plan = link_tool_calls(frame, spark.createDataFrame(RULES, PARAMETERS))
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert text.count("ShuffledHashJoin") == 3
