@@ -1,9 +1,10 @@
 import re
 
+import numpy as np
 import pytest
 from llm_tables import clashing
 
-from clamor.llm.url_filter import UNWANTED, WANTED, row_vector, train, url_verdicts
+from clamor.llm.url_filter import UNWANTED, WANTED, parts, row_vector, train, url_verdicts
 
 RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
 
@@ -70,6 +71,18 @@ def test_held_out_urls(kept):
     assert right >= 0.65 * len(out)
 
 
+def test_labels_are_cut_as_pages_are(spark):
+    weights = train()
+    assert parts("a.test/x?y#z") == ("a.test", "/x") and parts("") == ("", "")
+    frame = spark.createDataFrame([(k, f"http://{u}") for k, u in enumerate((*UNWANTED, *WANTED))], "page_id long, url string")
+    for r in url_verdicts(frame).collect():
+        label = (*UNWANTED, *WANTED)[r.page_id]
+        assert (r.host, r.path) == parts(label)
+        assert r.spam == pytest.approx(1 / (1 + np.exp(-(row_vector(*parts(label)) @ weights[:-1] + weights[-1]))))
+    empty = url_verdicts(spark.createDataFrame([(1, None), (2, "x"), (3, "://")], "page_id long, url string"))
+    assert {r.verdict for r in empty.collect()} == {"allow"}
+
+
 def test_clashing_columns_and_empty_table(spark):
     pages = clashing(
         spark.createDataFrame([(1, "http://a.net/"), (1, "http://a.net/")], "page_id long, url string"),
