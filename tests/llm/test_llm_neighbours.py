@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -60,8 +61,7 @@ def test_full_recall_is_exact_with_many_copies(spark, monkeypatch):
     data = rng.integers(-2, 3, (400, 4)).astype(np.float32)
     data[::3] = data[0] if data[0].any() else 1
     data[~data.any(axis=1)] = 1
-    vectors = table(spark, data)
-    found = answers(nearest_neighbours(vectors.unionAll(vectors), F.col("id") % 20 == 0, k=7, recall=1.0))
+    found = answers(nearest_neighbours(table(spark, data), F.col("id") % 20 == 0, k=7, recall=1.0))
     want = brute(range(400), data, range(0, 400, 20), 7)
     hits = sum(len({r.vec_id for r in found[q]} & set(want[q])) for q in want)
     assert hits == 7 * len(want) or hits >= 0.99 * 7 * len(want)
@@ -81,12 +81,39 @@ def test_rows_that_take_no_part(spark):
     }
 
 
-def test_repeated_ids_have_one_vector(spark):
+def test_rows_of_a_repeated_id_are_told_apart(spark):
     vectors = spark.createDataFrame(
         [(0, [1.0, 0.0], 0), (0, [0.5, 0.0], 0), (1, [0.0, 1.0], 0), (1, [0.0, 1.0], 0)], VECTORS
     )
-    found = answers(nearest_neighbours(vectors, F.col("id") == 0))
-    assert [(r.vec_id, r.score) for r in found[0]] == [(1, 0.0)]
+    rows = nearest_neighbours(vectors, F.col("id") == 0).collect()
+    found = sorted((r.rank, r.vec_id, r.score) for r in rows if r.query_id == 0)
+    # Each of the two rows of id 0 finds the other one, then both rows of id 1.
+    assert found == [(1, 0, 0.5)] * 2 + [(2, 1, 0.0)] * 2 + [(3, 1, 0.0)] * 2
+
+
+def test_every_length_and_every_row_is_searched(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "LEAF", 12)
+    monkeypatch.setattr(neighbours, "CROWDED", 20)
+    monkeypatch.setattr(neighbours, "BLOCK", 16)
+    rng = np.random.default_rng(7)
+    rows = []
+    for k in range(600):
+        size = (3, 8, 5)[0 if k % 3 == 0 else 1 if k % 7 else 2]
+        rows.append((k % 450, rng.normal(size=size).astype(np.float32)))
+    rows.append((20, np.ones(11, np.float32)))  # alone of its length
+    vectors = spark.createDataFrame([(i, v.tolist(), 0) for i, v in rows], VECTORS)
+    got = nearest_neighbours(vectors, F.col("id") % 10 == 0, k=6, recall=1.0).collect()
+    want = Counter()
+    for at, (i, v) in enumerate(rows):
+        if i % 10 == 0:
+            near = sorted(
+                (-float(np.dot(w.astype(float), v.astype(float))), j)
+                for b, (j, w) in enumerate(rows) if b != at and len(w) == len(v)
+            )[:6]
+            want.update((i, r + 1, j, round(-s, 9)) for r, (s, j) in enumerate(near))
+    found = Counter((r.query_id, r.rank, r.vec_id, round(r.score, 9)) for r in got)
+    assert sum(found.values()) == sum(want.values())
+    assert sum((found & want).values()) >= 0.99 * sum(want.values())
 
 
 @pytest.mark.parametrize("n", [0, 1])
@@ -104,6 +131,35 @@ def test_best_bins_visit_every_leaf_once():
     assert Tree(np.ones((1000, 3)), np.random.default_rng(5)).leaves == 1
 
 
+def test_split_leaves_hand_their_vectors_on():
+    data = np.random.default_rng(8).normal(size=(900, 4))
+    tree = Tree(data, np.random.default_rng(9))
+    before = tree.leaf_of(data)
+    crowded = int(np.bincount(before).argmax())
+    inside = data[before == crowded]
+    tree.split({crowded: inside[:3]})
+    after = tree.leaf_of(data)
+    assert (after[before != crowded] == before[before != crowded]).all()
+    assert crowded not in after and len(set(after[before == crowded].tolist())) == 3
+    assert sorted(tree.best_bins(data[0], tree.leaves)) == sorted(set(range(tree.leaves)) - {crowded})
+    bare = Tree(np.empty((0, 0)), np.random.default_rng(10))
+    bare.split({0: np.eye(4)})
+    assert set(bare.leaf_of(data).tolist()) == {1, 2, 3, 4}
+
+
+def test_crowded_leaves_are_split_until_none_is(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "CROWDED", 30)
+    data = np.random.default_rng(11).normal(size=(1200, 5)).astype(np.float32)
+    data[:200] = 1  # equal vectors cannot be told apart
+    rows = table(spark, data).select(
+        F.col("vec_id").alias("id"), F.col("embedding").alias("vector"), F.col("vec_id").alias("key")
+    )
+    forest = neighbours.fitted(rows, sample=100)
+    sizes = {r["leaf"]: r["count"] for r in neighbours.grown(rows, forest).groupBy("leaf").count().collect()}
+    assert sum(sizes.values()) == 1200 and len(sizes) > 30
+    assert sorted(sizes.values())[-2] <= 30 and 200 <= max(sizes.values()) <= 230
+
+
 def test_block_search_breaks_ties_by_id():
     rng = random.Random(6)
     ids = np.array(rng.sample(range(1000), 300))
