@@ -6,8 +6,9 @@ holds no end.  Thus no chunk is long, except in blanks, and repeated lines are c
 each turn.  Where chunks end depends on the bytes near by only, so a passage is cut
 alike wherever it stands and insertions shift nothing.  Two chunks in a row have one
 digest; their repeats are searched over all texts, and the text with the
-smallest doc_id that holds a digest owns it.  In every other text the chunks of owned
-digests are marked, and runs of marked chunks of at least ``MIN_WORDS`` words (or
+smallest doc_id that holds a digest owns it; of texts that share a doc_id the one with
+the least hash, and one with a doc_id before those that have none.  In every other text
+the chunks of owned digests are marked, and runs of marked chunks of at least ``MIN_WORDS`` words (or
 ``MIN_BYTES`` bytes) are taken out.  For that, a stretch without blanks counts one word
 more for each ``LETTERS`` bytes after the first ``LONG_WORD``.
 
@@ -15,9 +16,11 @@ A passage loses its chunks that lie whole in it, thus a few words at its ends ma
 stay.  Digests have 64 bits: a chance meeting marks two chunks, which are too short a
 run to be taken out as a rule.
 
-Repeats within one text stay, and so do those between rows that share a doc_id.  A
-null doc_id owns nothing and comes after all others.  Null and empty texts have no
-chunks.  An empty table gives no rows.
+Rows are told apart by doc_id and a hash of the text, so a third of all rows without
+a doc_id is no group.  Repeats within one text stay, and rows that are equal in both
+share one fate: exact copies under one doc_id are the matter of exact dedup.  Null and
+empty texts have no chunks.  Texts of any length are cut as a whole, in linear time.  An
+empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -28,7 +31,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clamor.llm.common import fresh, materialise, text_or_empty
@@ -148,8 +151,13 @@ def digests(octets: bytes, ends: list[int]) -> list[int]:
     return found
 
 
+def text_key(text: str) -> Column:
+    """With doc_id this tells rows apart, and is the same when a task runs again."""
+    return F.xxhash64(F.col(f"`{text}`"))
+
+
 def chunk_digests(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id and the distinct digests of each text."""
+    """doc_id, key and the distinct digests of each text."""
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -163,34 +171,43 @@ def chunk_digests(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
             lists = pa.ListArray.from_arrays(
                 pa.array(ends), pa.array(np.concatenate([*values, np.empty(0, np.int64)]))
             )
-            yield pa.record_batch([batch.column("doc_id"), lists], names=["doc_id", "digests"])
+            yield pa.record_batch(
+                [batch.column("doc_id"), batch.column("key"), lists], names=["doc_id", "key", "digests"]
+            )
 
     kind = docs.schema[doc_id].dataType.simpleString()
     return docs.select(
-        F.col(doc_id).alias("doc_id"), text_or_empty(text).alias("text")
-    ).mapInArrow(found, f"doc_id {kind}, digests array<long>")
+        F.col(doc_id).alias("doc_id"), text_key(text).alias("key"), text_or_empty(text).alias("text")
+    ).mapInArrow(found, f"doc_id {kind}, key long, digests array<long>")
 
 
 def marked_digests(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, digests, owners: for each doc_id those of its digests that another owns."""
+    """marked_id, marked_key, digests, owners, nameless: for each text those of its digests
+    that another owns, the doc_ids of their owners, and the digests of owners without one."""
     chunks = materialise(chunk_digests(docs, doc_id, text)).select(
-        "doc_id", F.explode("digests").alias("digest")
+        "doc_id", "key", F.explode("digests").alias("digest")
     )
-    owners = chunks.groupBy("digest").agg(
-        F.min("doc_id").alias("owner"),
-        (F.max("doc_id") > F.min("doc_id")).alias("several"),
-        F.bool_or(F.col("doc_id").isNull()).alias("nameless"),
-    ).filter("owner IS NOT NULL AND (several OR nameless)")
-    marked = chunks.join(owners.select("digest", "owner"), "digest").filter(
-        F.col("doc_id").isNull() | (F.col("owner") < F.col("doc_id"))
+    place = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), "key")
+    owners = (
+        chunks.groupBy("digest")
+        .agg(F.min(place).alias("owner"), F.max(place).alias("last"))
+        .filter("owner < last")
     )
+    marked = chunks.join(owners.select("digest", "owner"), "digest").filter(F.col("owner") < place)
     return (
-        marked.groupBy("doc_id")
-        .agg(F.collect_set(F.struct("digest", "owner")).alias("marks"))
+        marked.groupBy("doc_id", "key")
+        .agg(
+            F.collect_set(
+                F.when(F.col("owner.id").isNotNull(), F.struct("digest", F.col("owner.id").alias("owner")))
+            ).alias("marks"),
+            F.collect_set(F.when(F.col("owner.id").isNull(), F.col("digest"))).alias("nameless"),
+        )
         .select(
             F.col("doc_id").alias("marked_id"),
+            F.col("key").alias("marked_key"),
             F.col("marks.digest").alias("digests"),
             F.col("marks.owner").alias("owners"),
+            "nameless",
         )
     )
 
@@ -244,29 +261,33 @@ def without(text: str, spans: list[tuple[int, int, int]]) -> str:
 def with_repeats_removed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """docs with one more column ``removed`` (a clashing name gets an underscore): null
     for a text that keeps all, else a struct of the text that is left, the spans taken
-    out (bytes, as start-end), their words, and the owners of what went."""
-    marked_id, marks, owners, removed = fresh(docs, "marked_id", "digests", "owners", "removed")
+    out (bytes, as start-end), their words, and the owners of what went that have a
+    doc_id."""
+    names = fresh(docs, "marked_id", "marked_key", "digests", "owners", "nameless", "removed")
+    marked_id, marked_key, marks, owners, nameless, removed = names
     kind = docs.schema[doc_id].dataType.simpleString()
 
     @F.pandas_udf(f"text string, spans string, words long, sources array<{kind}>")
-    def cleaned(texts: pd.Series, digest: pd.Series, owner: pd.Series) -> pd.DataFrame:
+    def cleaned(texts: pd.Series, digest: pd.Series, owner: pd.Series, unnamed: pd.Series) -> pd.DataFrame:
         rows = []
-        for t, d, o in zip(texts, digest, owner, strict=True):
-            spans, sources = ([], set()) if t is None else repeated_spans(t, dict(zip(d, o, strict=True)))
+        for t, d, o, u in zip(texts, digest, owner, unnamed, strict=True):
+            spans, sources = [], set()
+            if t is not None:
+                spans, sources = repeated_spans(t, dict.fromkeys(u) | dict(zip(d, o, strict=True)))
             if spans:
+                named = (s for s in sources if s is not None)
                 where = ",".join(f"{a}-{b}" for a, b, _ in spans)
-                rows.append((without(t, spans), where, sum(w for *_, w in spans), sorted(sources)))
+                rows.append((without(t, spans), where, sum(w for *_, w in spans), sorted(named)))
             else:
                 rows.append((None, None, None, None))
         return pd.DataFrame(rows, columns=["text", "spans", "words", "sources"])
 
-    found = materialise(marked_digests(docs, doc_id, text)).toDF(marked_id, marks, owners)
-    joined = docs.join(
-        found, F.col(f"`{doc_id}`").eqNullSafe(F.col(marked_id)) & F.col(f"`{text}`").isNotNull(), "left"
-    )
+    found = materialise(marked_digests(docs, doc_id, text)).toDF(*names[:5])
+    same = F.col(f"`{doc_id}`").eqNullSafe(F.col(marked_id)) & (text_key(text) == F.col(marked_key))
+    joined = docs.join(found, same, "left")
     marked_text = F.when(F.col(marks).isNotNull(), F.col(f"`{text}`"))
-    whole = joined.withColumn(removed, cleaned(marked_text, F.col(marks), F.col(owners)))
-    return whole.drop(marked_id, marks, owners).withColumn(
+    whole = joined.withColumn(removed, cleaned(marked_text, F.col(marks), F.col(owners), F.col(nameless)))
+    return whole.drop(*names[:5]).withColumn(
         removed, F.when(F.col(removed)["spans"].isNotNull(), F.col(removed))
     )
 

@@ -104,6 +104,53 @@ def test_whole_copies_and_odd_rows(spark):
     assert drop_repeats(spark.createDataFrame([], DOCUMENTS)).count() == 0
 
 
+def test_rows_without_a_doc_id_and_of_one_doc_id_are_told_apart(spark):
+    passage = prose(120, 13)
+    texts = [f"{prose(60, 20 + k)} {passage} {prose(60, 50 + k)}" for k in range(6)]
+    rows = [(None, t) for t in texts[:3]] + [(7, t) for t in texts[3:]] + [(None, prose(200, 80)), (7, prose(200, 81))]
+    docs = spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, marked_key int")
+    left = {r.marked_key: r for r in with_repeats_removed(docs).collect()}
+    changed = [k for k in range(8) if left[k].removed is not None]
+    # One text keeps the passage: one of those with a doc_id.
+    assert len(changed) == 5 and {0, 1, 2} <= set(changed) and not {6, 7} & set(changed)
+    for k in changed:
+        assert list(left[k].removed.sources) == [7] and left[k].removed.words >= 100
+    nameless = with_repeats_removed(docs.filter("doc_id IS NULL")).collect()
+    assert sum(r.removed is not None for r in nameless) == 2
+    assert all(list(r.removed.sources) == [] for r in nameless if r.removed is not None)
+
+
+def brute_marks(rows):
+    """For each row the digests that a row before it in the order of owners holds."""
+    held = [set(digests(t.encode(), cuts(np.frombuffer(t.encode(), np.uint8)))) for _, t in rows]
+    return [
+        {d: min(j for (j, _), other in zip(rows, held, strict=True) if d in other) for d in mine}
+        for (i, _), mine in zip(rows, held, strict=True)
+    ]
+
+
+def test_result_equals_brute_force(spark):
+    rng = random.Random(14)
+    shared = [prose(rng.randrange(20, 90), 100 + k) for k in range(12)]
+    rows = []
+    for k in range(80):
+        parts = [prose(rng.randrange(10, 60), 1000 + 5 * k + n) for n in range(3)]
+        parts[1:1] = rng.choices(shared, k=rng.randrange(3))
+        rows.append((k, rng.choice([" ", "\n"]).join(parts)))
+    found = {r.doc_id: r.removed for r in with_repeats_removed(documents(spark, [t for _, t in rows])).collect()}
+    cut = 0
+    for (i, text), owners in zip(rows, brute_marks(rows), strict=True):
+        spans, sources = repeated_spans(text, {d: o for d, o in owners.items() if o < i})
+        got = found[i]
+        if spans:
+            cut += 1
+            assert got.text == without(text, spans) and set(got.sources) == sources
+            assert got.spans == ",".join(f"{a}-{b}" for a, b, _ in spans)
+        else:
+            assert got is None
+    assert cut >= 20
+
+
 def test_unknown_digests_change_nothing():
     assert repeated_spans(prose(100, 12), {}) == ([], set())
     assert repeated_spans("", {1: 2}) == ([], set())
