@@ -14,6 +14,8 @@ from clamor.functions.text import work_bound
 from clamor.operators.mentions import correct_flag
 from clamor.schema import CLASSES, UNLABELLED
 
+SKETCH_BITS = 12  # a sketch has 2^12 registers: standard error 1.6 %
+
 
 def percent(part: Column, whole: Column, digits: int) -> Column:
     return F.when(whole > 0, F.round(F.lit(100.0) * part / whole, digits)).otherwise(F.lit(0.0))
@@ -29,6 +31,11 @@ def latest(facts: DataFrame, column: str = "ts") -> Column:
 # --------------------------------------------------------------------------
 
 
+def window_start(as_of: Column, minutes: int) -> Column:
+    """Start of the last minutes, a whole minute."""
+    return F.date_trunc("minute", as_of) - F.make_interval(mins=F.lit(minutes))
+
+
 def buckets(facts: DataFrame, *extra: str) -> DataFrame:
     """Mentions per minute and class."""
     minute = F.date_trunc("minute", "ts").alias("bucket")
@@ -41,15 +48,14 @@ def minute_buckets(facts: DataFrame, as_of: Column, window_minutes: int = 20) ->
     The window starts at a whole minute, so a recomputed bucket is never
     smaller than the one it replaces.
     """
-    start = F.date_trunc("minute", as_of) - F.make_interval(mins=F.lit(window_minutes))
-    return buckets(facts.where(F.col("ts") >= start))
+    return buckets(facts.where(F.col("ts") >= window_start(as_of, window_minutes)))
 
 
 def trend(bucket_rows: DataFrame, as_of: Column, minutes: int = 30) -> DataFrame:
     """One row per minute with a column per class and their total."""
     if not 1 <= minutes <= 1440:
         raise ValueError("minutes must be between 1 and 1440")
-    start = F.date_trunc("minute", as_of) - F.make_interval(mins=F.lit(minutes))
+    start = window_start(as_of, minutes)
 
     def of_class(label: str) -> Column:
         return F.sum(F.when(F.col("sentiment") == label, F.col("mentions")).otherwise(0))
@@ -105,6 +111,37 @@ def kpis(facts: DataFrame) -> DataFrame:
     )
 
 
+def kpis_of_batches(stats: DataFrame) -> DataFrame:
+    """``kpis`` from the records of batches, without a look at the facts.
+
+    Totals and averages are those of the facts.  ``authors`` and ``platforms`` are
+    estimates of the merged sketches (standard error 1.6 %; few values are counted exactly).
+    """
+
+    def total(name: str) -> Column:
+        return F.coalesce(F.sum(name), F.lit(0)).cast("long")
+
+    def mean(name: str, digits: int) -> Column:
+        return F.round(F.try_divide(F.sum(name), F.sum("messages")), digits)
+
+    def distinct(name: str) -> Column:
+        return F.coalesce(F.hll_sketch_estimate(F.hll_union_agg(name)), F.lit(0)).cast("long")
+
+    return stats.agg(
+        total("messages").alias("total"),
+        total("positive").alias("positive"),
+        total("neutral").alias("neutral"),
+        total("negative").alias("negative"),
+        total("labelled").alias("labelled"),
+        total("correct").alias("correct"),
+        mean("score_sum", 4).alias("avg_score"),
+        mean("confidence_sum", 4).alias("avg_confidence"),
+        mean("decisions", 1).alias("avg_decisions"),
+        distinct("authors").alias("authors"),
+        distinct("platforms").alias("platforms"),
+    )
+
+
 def kpi_ratios(kpi_row: DataFrame) -> DataFrame:
     """Accuracy among labelled rows and class shares, 0 where there is nothing."""
     total = F.col("total")
@@ -185,7 +222,26 @@ def source_platform(facts: DataFrame) -> DataFrame:
 
 def batch_counters(facts: DataFrame, keys: tuple[str, ...] = ("batch_id",)) -> DataFrame:
     """Work and result counters per batch."""
+    return facts.groupBy(*keys).agg(*_counters())
+
+
+def batch_record(facts: DataFrame, keys: tuple[str, ...] = ("batch_id",)) -> DataFrame:
+    """``batch_counters`` with what lets reports do without the facts of a batch: sums and
+    mergeable sketches for the KPIs, and the first and last time of its mentions."""
     return facts.groupBy(*keys).agg(
+        *_counters(),
+        F.count("expected").alias("labelled"),
+        F.sum("score").alias("score_sum"),
+        F.sum("confidence").alias("confidence_sum"),
+        F.hll_sketch_agg("author", SKETCH_BITS).alias("authors"),
+        F.hll_sketch_agg("platform", SKETCH_BITS).alias("platforms"),
+        F.min("ts").alias("first_ts"),
+        F.max("ts").alias("last_ts"),
+    )
+
+
+def _counters() -> list[Column]:
+    return [
         F.max("processed_at").alias("processed_at"),
         F.count("*").alias("messages"),
         F.sum("tokens").alias("total_tokens"),
@@ -197,7 +253,7 @@ def batch_counters(facts: DataFrame, keys: tuple[str, ...] = ("batch_id",)) -> D
         F.count_if(F.col("sentiment") == POSITIVE).alias("positive"),
         F.count_if(F.col("sentiment") == NEUTRAL).alias("neutral"),
         F.count_if(F.col("sentiment") == NEGATIVE).alias("negative"),
-    )
+    ]
 
 
 def with_batch_accuracy(counters: DataFrame) -> DataFrame:
@@ -251,10 +307,16 @@ def pipeline_state(stats: DataFrame) -> DataFrame:
     )
 
 
-def health(stats: DataFrame, facts: DataFrame, default_brand: str) -> DataFrame:
-    """One status row; -1 and the default brand before the first batch."""
+def health(stats: DataFrame, facts: DataFrame | None, default_brand: str) -> DataFrame:
+    """One status row; -1 and the default brand before the first batch.
+
+    Without ``facts`` the mentions are those that the records count.
+    """
     state = pipeline_state(stats)
-    counted = facts.agg(F.count("*").alias("mentions"))
+    if facts is None:
+        counted = stats.agg(F.coalesce(F.sum("messages"), F.lit(0)).alias("mentions"))
+    else:
+        counted = facts.agg(F.count("*").alias("mentions"))
     return state.select(
         F.lit("ok").alias("status"),
         F.coalesce("brand", F.lit(default_brand)).alias("brand"),

@@ -17,17 +17,26 @@ from clamor.sources.store import MentionStore
 
 
 def health(store: MentionStore, default_brand: str) -> DataFrame:
-    facts = store.read_complete("mentions")
-    return reports.health(store.read("batch_stats"), facts, default_brand)
+    return reports.health(store.read("batch_stats"), None, default_brand)
 
 
-def kpis(store: MentionStore) -> DataFrame:
-    return reports.kpi_ratios(reports.kpis(store.read_complete("mentions")))
+def kpis(store: MentionStore, exact: bool = True) -> DataFrame:
+    """The KPIs; if not ``exact``, from the batch records, with authors estimated."""
+    if exact:
+        return reports.kpi_ratios(reports.kpis(store.read_complete("mentions")))
+    return reports.kpi_ratios(reports.kpis_of_batches(store.read("batch_stats")))
 
 
 def trend(store: MentionStore, minutes: int = 30, as_of: Column | None = None) -> DataFrame:
     now = F.current_timestamp() if as_of is None else as_of
-    return reports.trend(store.bucket_rows(), now, minutes)
+    return reports.trend(store.bucket_rows(reports.window_start(now, minutes)), now, minutes)
+
+
+def minutes(store: MentionStore, window: int = 20, as_of: Column | None = None) -> DataFrame:
+    """Buckets of the last minutes, counted from the facts."""
+    now = F.current_timestamp() if as_of is None else as_of
+    facts = store.read_since("mentions", "last_ts", reports.window_start(now, window))
+    return reports.minute_buckets(facts, now, window)
 
 
 def graph(store: MentionStore, limit: int = 140) -> tuple[DataFrame, DataFrame]:
@@ -38,7 +47,7 @@ def graph(store: MentionStore, limit: int = 140) -> tuple[DataFrame, DataFrame]:
 
 
 def messages(store: MentionStore, limit: int = 30) -> DataFrame:
-    return reports.latest_mentions(store.read_complete("mentions"), limit)
+    return reports.latest_mentions(store.newest_mentions(limit), limit)
 
 
 def accuracy(store: MentionStore) -> tuple[DataFrame, DataFrame]:

@@ -840,3 +840,13 @@ ORACLE: dict[str, str] = {
 
 # The same rules behind SQL functions.
 ORACLE |= {"sql_tokens": ORACLE["tokenize"], "sql_opinions": ORACLE["opinions_ranked"]}
+
+# The same reports over a store.
+ORACLE |= {
+    "store_trend": ORACLE["trend"].replace("SELECT bucket,", "SELECT CAST(bucket AS VARCHAR) AS bucket,"),
+    "store_minutes": ORACLE["minute_buckets"],
+    "store_latest": ORACLE["latest_mentions"],
+    "store_kpis": ORACLE["kpi_ratios"].replace(
+        "SELECT *, round", "SELECT * EXCLUDE (authors), true AS authors_close, round"
+    ),
+}

@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from clamor.operators.mentions import dedupe, mention_facts, split_rejects, valid_rows
 from clamor.operators import reports
-from clamor.plans import fixtures as fx
+from clamor.plans import endpoints, fixtures as fx
 from clamor.schema import FACT_COLUMNS
 from clamor.session import configure, work_folder
 from clamor.sources.messages import decode, encode, file_stream, write_files
@@ -25,6 +25,7 @@ BRAND = "acme"
 # Longer than the time the test events cover, as files come in any order.
 DELAY = "40 days"
 ROWS_PER_FILE = 1_000_000
+DAY = 1440
 
 
 def few_batches(spark: SparkSession, folder: str) -> int:
@@ -330,6 +331,50 @@ def history_graph(spark, sf):
     return nodes
 
 
+def dated_store(spark: SparkSession, sf: str) -> MentionStore:
+    """History in batches that follow each other in time: until ten days before the newest
+    mention, until one and a half days before it, and the rest."""
+    store = MentionStore(spark, work_folder(spark, "store"))
+    facts = mention_facts(fx.mentions(spark, sf), ("processed_at",))
+    newest = reports.latest(fx.mentions(spark, sf))
+    ten, few = (newest - F.expr(f"INTERVAL {hours} HOURS") for hours in (240, 36))
+    ts = F.col("ts")
+    for part in (ts < ten, (ts >= ten) & (ts < few), ts >= few):
+        store.load_history(facts.where(part))
+    store.rebuild_ledgers(BRAND)
+    return store
+
+
+def store_trend(spark, sf):
+    """The trend of the last day; only the last batch is opened."""
+    now = reports.latest(fx.mentions(spark, sf))
+    return as_text(endpoints.trend(dated_store(spark, sf), DAY, now))
+
+
+def store_minutes(spark, sf):
+    now = reports.latest(fx.mentions(spark, sf))
+    return as_text(endpoints.minutes(dated_store(spark, sf), DAY, now))
+
+
+def store_latest(spark, sf):
+    return endpoints.messages(dated_store(spark, sf), 200).withColumns(
+        {
+            "ts": F.col("ts").cast("string"),
+            "keywords": F.array_join("keywords", ","),
+            "correct": F.col("correct").cast("string"),
+        }
+    )
+
+
+def store_kpis(spark, sf):
+    """KPIs from the records alone; authors are an estimate, held against the count."""
+    store = dated_store(spark, sf)
+    authors = store.read("mentions").agg(F.countDistinct("author")).scalar()
+    off = F.abs(F.col("authors") - authors)
+    row = endpoints.kpis(store, exact=False)
+    return row.withColumn("authors_close", off <= 0.05 * authors).drop("authors")
+
+
 def replayed_batch(spark, sf):
     """A second batch brings known messages only; its record tells when that was."""
     rows = valid_rows(fx.raw_mentions(spark, sf))
@@ -364,4 +409,8 @@ STREAM_QUERIES = {
     "history_load": history_load,
     "history_graph": history_graph,
     "replayed_batch": replayed_batch,
+    "store_trend": store_trend,
+    "store_minutes": store_minutes,
+    "store_latest": store_latest,
+    "store_kpis": store_kpis,
 }

@@ -13,7 +13,7 @@ from __future__ import annotations
 import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,10 +38,15 @@ TABLES = {
     "batch_stats": (
         "brand string, processed_at timestamp, messages bigint, total_tokens bigint, "
         "decisions bigint, opinions bigint, bound bigint, max_tokens bigint, correct bigint, "
-        "positive bigint, neutral bigint, negative bigint"
+        "positive bigint, neutral bigint, negative bigint, labelled bigint, score_sum double, "
+        "confidence_sum double, authors binary, platforms binary, first_ts timestamp, "
+        "last_ts timestamp"
     ),
 }
+# Partitions that ``compact`` has made, with what their records would tell of times.
+FOLDED = f"{PARTITION}, last_ts timestamp, processed_at timestamp"
 SEED_RUN = "history"
+BATCHES_SENT = 500_000  # keys of batches that are sent to all tasks at most
 
 
 class MentionStore:
@@ -157,7 +162,7 @@ class MentionStore:
         keys = ("run_id", "batch_id")
 
         def stats(facts: DataFrame) -> DataFrame:
-            counted = reports.with_batch_accuracy(reports.batch_counters(facts, keys))
+            counted = reports.with_batch_accuracy(reports.batch_record(facts, keys))
             return counted.na.fill(0).withColumn("brand", F.lit(brand))
 
         makers = {
@@ -185,6 +190,39 @@ class MentionStore:
         """Rows of the batches that have their record: all tables agree on these."""
         return self.read(table).join(self.complete(), ["run_id", "batch_id"], "left_semi")
 
+    def extents(self) -> DataFrame:
+        """(run_id, batch_id, last_ts, processed_at) of complete batches that have rows."""
+        stats = self.read("batch_stats").where(F.col("messages") > 0)
+        found = stats.select("run_id", "batch_id", "last_ts", "processed_at")
+        if self.exists(self.path("folded")):
+            found = found.unionByName(self.spark.read.schema(FOLDED).parquet(self.path("folded")))
+        return found
+
+    def read_since(self, table: str, column: str, start: Column) -> DataFrame:
+        """Rows of the complete batches that go on to ``start`` or beyond by a column of
+        ``extents``, of which some may be earlier.
+
+        The keys of these batches prune the partitions of the table, so the files of older
+        batches are not opened.  A batch that tells no time is among them.
+        """
+        # One comparison, as Spark prunes by keys only behind a filter it takes for selective.
+        recent = F.coalesce(F.col(column), start) >= start
+        keys = self.extents().where(recent).select("run_id", "batch_id")
+        if keys.limit(BATCHES_SENT + 1).count() <= BATCHES_SENT:
+            keys = F.broadcast(keys)
+        return self.read(table).join(keys, ["run_id", "batch_id"], "left_semi")
+
+    def newest_mentions(self, count: int) -> DataFrame:
+        """Rows among which the ``count`` last processed mentions are.
+
+        Each of the ``count`` last batches brought a mention, so none from a batch before
+        them can be among the last.
+        """
+        last = self.extents().orderBy(F.desc("processed_at")).limit(count + 1)
+        return self.read_since(
+            "mentions", "processed_at", last.agg(F.min("processed_at")).scalar()
+        )
+
     # Graph: a merged base and the ledgers after it ---------------------------
 
     def graph_base(self) -> tuple[DataFrame | None, dict[str, int]]:
@@ -255,10 +293,15 @@ class MentionStore:
         """(nodes, edges) added up over all batches."""
         return graph.split_elements(graph.with_sentiment(self.graph_elements()))
 
-    def bucket_rows(self) -> DataFrame:
+    def bucket_rows(self, start: Column | None = None) -> DataFrame:
+        """Mentions per minute and class; with ``start``, those from then on are complete
+        and the files of batches that end before it stay closed."""
+        if start is None:
+            rows = self.read_complete("buckets")
+        else:
+            rows = self.read_since("buckets", "last_ts", start)
         return (
-            self.read_complete("buckets")
-            .groupBy("bucket", "sentiment")
+            rows.groupBy("bucket", "sentiment")
             .agg(F.sum("mentions").alias("mentions"))
         )
 
@@ -294,7 +337,10 @@ class MentionStore:
         self.read("batch_stats").write.mode("overwrite").partitionBy(
             "run_id", "batch_id"
         ).parquet(target.path("batch_stats"))
-        folded = self.spark.createDataFrame([(run_id, 0)], PARTITION)
+        folded = self.extents().agg(
+            F.lit(run_id).alias("run_id"), F.lit(0).cast("long").alias("batch_id"),
+            F.max("last_ts").alias("last_ts"), F.max("processed_at").alias("processed_at"),
+        )
         folded.write.mode("overwrite").parquet(target.path("folded"))
 
 

@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from clamor.functions.scoring import with_scores
 from clamor.operators.graph import graph_elements
 from clamor.operators.mentions import mention_facts, new_mentions, split_rejects, valid_rows
-from clamor.operators.reports import batch_counters, buckets, with_batch_accuracy
+from clamor.operators.reports import batch_record, buckets, with_batch_accuracy
 from clamor.session import configure
 from clamor.sources.messages import WIRE_TIME, decode
 from clamor.sources.store import MentionStore
@@ -81,7 +81,7 @@ def process_batch(
         F.count_if(F.col("dst").isNotNull()).alias("edges"),
     )
     store.write_batch("graph", elements, run_id, batch_id)
-    stats = with_batch_accuracy(batch_counters(stored, ())).na.fill(0)
+    stats = with_batch_accuracy(batch_record(stored, ())).na.fill(0)
     # One row; its values are observed as it is written.
     stats = stats.withColumns({"brand": F.lit(brand), "processed_at": now}).observe(
         counters, *[F.max(c).alias(c) for c in SUMMARY]

@@ -3,9 +3,9 @@
 import pytest
 from pyspark.sql import functions as F
 
-from clamor.operators import graph, mentions as mn
-from clamor.plans import fixtures as fx
-from clamor.plans.stream_queries import BRAND, late_runs
+from clamor.operators import graph, mentions as mn, reports
+from clamor.plans import endpoints, fixtures as fx
+from clamor.plans.stream_queries import BRAND, dated_store, late_runs
 from clamor.session import work_folder
 from clamor.sources.messages import file_stream, write_files
 from clamor.sources.store import MentionStore
@@ -126,3 +126,55 @@ def test_unique_rows_are_not_shuffled(spark):
         assert "LeftAnti" in single and "Exchange hashpartitioning" not in single.split("LeftAnti")[0]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_reports_open_the_batches_of_their_window(spark):
+    store = dated_store(spark, SF)
+    newest = reports.latest(store.read("mentions"))
+    for df in (endpoints.trend(store, 1440, newest), endpoints.minutes(store, 1440, newest)):
+        assert "dynamicpruning" in plan(df)
+    found = store.read_since("mentions", "last_ts", newest).select("batch_id").distinct().collect()
+    assert [r.batch_id for r in found] == [2]
+    # Last processed: of the newest mention's batch and the one before it.
+    last = store.newest_mentions(1)
+    assert sorted(r.batch_id for r in last.select("batch_id").distinct().collect()) == [1, 2]
+    assert "dynamicpruning" in plan(last)
+    # Records without times, as older ones are, prune nothing.
+    stats = store.read("batch_stats").withColumn("last_ts", F.lit(None).cast("timestamp"))
+    older = MentionStore(spark, work_folder(spark, "store"))
+    for table, df in (("mentions", store.read("mentions")), ("batch_stats", stats)):
+        df.write.partitionBy("run_id", "batch_id").parquet(older.path(table))
+    assert older.read_since("mentions", "last_ts", newest).count() == store.read("mentions").count()
+
+
+def test_reports_over_a_compacted_store(spark):
+    store, small = dated_store(spark, SF), MentionStore(spark, work_folder(spark, "store"))
+    store.compact(small, "compacted")
+    smaller = MentionStore(spark, work_folder(spark, "store"))
+    small.compact(smaller, "again")
+    newest = reports.latest(store.read("mentions"))
+    for other in (small, smaller):
+        for ask in (
+            lambda s: endpoints.trend(s, 1440, newest),
+            lambda s: endpoints.minutes(s, 1440, newest),
+            lambda s: endpoints.messages(s, 30),
+            lambda s: endpoints.kpis(s, exact=False),
+            lambda s: endpoints.health(s, BRAND).select("mentions"),
+        ):
+            assert rows(ask(other)) == rows(ask(store))
+
+
+def test_kpis_of_records_open_no_fact_file(spark):
+    store = dated_store(spark, SF)
+    got, exact = endpoints.kpis(store, exact=False), endpoints.kpis(store)
+    assert all("/batch_stats/" in f for f in got.inputFiles())
+    got, exact = got.first().asDict(), exact.first().asDict()
+    assert abs(got.pop("authors") / exact.pop("authors") - 1) <= 0.05
+    assert got == exact
+    none = MentionStore(spark, work_folder(spark, "store"))
+    assert endpoints.kpis(none, exact=False).first() == endpoints.kpis(none).first()
+    assert endpoints.health(none, BRAND).first().mentions == 0
