@@ -187,13 +187,19 @@ def marked_digests(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     chunks = materialise(chunk_digests(docs, doc_id, text)).select(
         "doc_id", "key", F.explode("digests").alias("digest")
     )
-    place = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), "key")
-    owners = (
+    # Most digests are in one text only.  Two numbers tell them, which tasks combine by
+    # hash; the owner is looked for among the chunks that are left.
+    row = F.xxhash64("doc_id", "key")
+    several = (
         chunks.groupBy("digest")
-        .agg(F.min(place).alias("owner"), F.max(place).alias("last"))
-        .filter("owner < last")
+        .agg(F.min(row).alias("least"), F.max(row).alias("greatest"))
+        .filter("least < greatest")
+        .select("digest")
     )
-    marked = chunks.join(owners.select("digest", "owner"), "digest").filter(F.col("owner") < place)
+    repeated = materialise(chunks.join(several, "digest", "left_semi"))
+    place = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), "key")
+    owners = repeated.groupBy("digest").agg(F.min(place).alias("owner"))
+    marked = repeated.join(owners, "digest").filter(F.col("owner") < place)
     return (
         marked.groupBy("doc_id", "key")
         .agg(
