@@ -100,3 +100,32 @@ def test_edges_among_kept_nodes_are_not_shuffled(spark, tmp_path, monkeypatch):
         assert "BroadcastHashJoin" not in plan_of(graph_module.edges_among_kept(edges, kept))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_spread_deals_few_crowded_splits(spark, monkeypatch):
+    """Splits enough for all cores, but one of them holds all rows."""
+    monkeypatch.setattr(session, "ROWS_PER_TASK", 100)
+    crowded = spark.range(0, 10_000, 1, 8).where("id < 1250")
+    dealt = fx.spread(crowded, "id")
+    assert dealt.rdd.getNumPartitions() == 13
+    assert max(dealt.rdd.glom().map(len).collect()) < 300 and dealt.count() == 1250
+
+
+def test_session_elements_are_not_sorted(spark, tmp_path):
+    """One row per message and element: counted in hash tables, whatever their number."""
+    query_module.facts(spark, SF).write.parquet(str(tmp_path / "facts"))
+    elements = session_module.session_elements(spark.read.parquet(str(tmp_path / "facts")))
+    plan = plan_of(elements)
+    assert "SortAggregate" not in plan and plan.count("HashAggregate") >= 2
+
+
+def test_graph_elements_are_compiled(spark, tmp_path):
+    query_module.facts(spark, SF).write.parquet(str(tmp_path / "facts"))
+    plan = plan_of(graph_module.graph_elements(spark.read.parquet(str(tmp_path / "facts"))))
+    assert "lambda" not in plan
+
+
+def test_written_facts_are_read_in_small_splits(spark):
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == session.SETTINGS[
+        "spark.sql.files.maxPartitionBytes"
+    ] == "16m"
