@@ -38,6 +38,9 @@ RELATIONS = [
     ("PALABRA", "MARCA", "APARECE_EN"),
     ("PALABRA", "USUARIO", "USA"),
 ]
+# Elements by number: nodes by their label, then the relations.
+KINDS = [(label, None, None) for label in [*SINGLE, *LISTED]] + RELATIONS
+NODE_KINDS = len(SINGLE) + len(LISTED)
 
 ALWAYS_KEPT = ["MARCA", "PLATAFORMA"]
 KEEP_PER_LABEL = 90
@@ -63,55 +66,83 @@ def edge_id(src: str = "src", dst: str = "dst", rel: str = "rel") -> Column:
     return F.concat(F.col(src), F.lit("->"), F.col(dst), F.lit(":"), F.col(rel))
 
 
-def _node(label: str, name: Column) -> Column:
-    return F.struct(
-        node_id(label, name).alias("node_id"), F.lit(label).alias("label"), name.alias("name")
-    )
-
-
-def _edge(src: Column, dst: Column, rel: str) -> Column:
-    return F.struct(src.alias("src"), dst.alias("dst"), F.lit(rel).alias("rel"))
-
-
 def _list(name: str) -> Column:
     """A list column; a null one is empty."""
     return F.coalesce(F.col(name), F.array().cast("array<string>"))
 
 
-def _node_array() -> Column:
-    single = F.array(*[_node(label, _named(F.col(name))) for label, name in SINGLE.items()])
+def _parts(facts: DataFrame, carried: list[str], kinds: range) -> DataFrame:
+    """One row per fact and element as (kind, first, second), the plain names.
 
-    def nodes_of(label: str) -> Column:
-        return F.transform(_list(LISTED[label]), lambda v: _node(label, v))
+    A fact is exploded into what it names once, and this into elements: arrays of
+    fixed length, which Spark compiles.  A kind is a place in KINDS; nodes have no
+    second name.
+    """
+    single = {label: _named(F.col(name)).alias(f"_{label}") for label, name in SINGLE.items()}
+    lists = [_list(name) for name in LISTED.values()]
+    named = facts.select(
+        *carried, *single.values(), F.size(lists[0]).alias("_tags"),
+        # The first unit stands for the single names.
+        F.concat(F.array(F.lit(None).cast("string")), *lists).alias("_units"),
+    )
+    units = named.select(
+        *carried, *[f"_{label}" for label in SINGLE], "_tags",
+        F.posexplode_outer("_units").alias("_place", "_value"),
+    )
 
-    listed = [nodes_of(label) for label in LISTED]
-    return F.filter(F.concat(single, *listed), lambda n: n["node_id"].isNotNull())
+    def end(label: str | None) -> Column:
+        if label is None:
+            return F.lit(None).cast("string")
+        return F.col(f"_{label}" if label in SINGLE else "_value")
+
+    def parts_of(listed: str | None) -> Column:
+        own = [k for k in kinds if next((e for e in KINDS[k][:2] if e in LISTED), None) == listed]
+        return F.array(
+            *[
+                F.struct(
+                    F.lit(k).alias("kind"), end(KINDS[k][0]).alias("first"),
+                    end(KINDS[k][1]).alias("second"),
+                )
+                for k in own
+            ]
+        )
+
+    tags, words = LISTED
+    every = (
+        F.when(F.col("_place") == 0, parts_of(None))
+        .when(F.col("_place") <= F.col("_tags"), parts_of(tags))
+        .otherwise(parts_of(words))
+    )
+    return units.select(*carried, F.inline_outer(every)).where(
+        F.col("first").isNotNull() & ((F.col("kind") < NODE_KINDS) | F.col("second").isNotNull())
+    )
 
 
-def _edge_array() -> Column:
-    single = {label: node_id(label, _named(F.col(name))) for label, name in SINGLE.items()}
+def _of_kind(values: list[str | None]) -> Column:
+    return F.element_at(F.array(*[F.lit(v).cast("string") for v in values]), F.col("kind") + 1)
 
-    def edges_of(src: str, dst: str, rel: str) -> Column:
-        if src in LISTED:
-            own = _list(LISTED[src])
-            return F.transform(own, lambda v: _edge(node_id(src, v), single[dst], rel))
-        if dst in LISTED:
-            own = _list(LISTED[dst])
-            return F.transform(own, lambda v: _edge(single[src], node_id(dst, v), rel))
-        return F.array(_edge(single[src], single[dst], rel))
 
-    every = F.concat(*[edges_of(*relation) for relation in RELATIONS])
-    return F.filter(every, lambda e: e["src"].isNotNull() & e["dst"].isNotNull())
+def _end(place: int, name: str) -> Column:
+    """Node id of one end of an element; null where it has none."""
+    return F.concat(_of_kind([k[place] and f"{k[place]}:" for k in KINDS]), F.col(name))
 
 
 def node_contributions(facts: DataFrame, *extra: str) -> DataFrame:
     """One row per fact and entity; repeated tags and keywords count again."""
-    return facts.select(*extra, "sentiment", "score", F.inline(_node_array()))
+    carried = [*extra, "sentiment", "score"]
+    return _parts(facts, carried, range(NODE_KINDS)).select(
+        *carried, _end(0, "first").alias("node_id"),
+        _of_kind([k[0] for k in KINDS]).alias("label"), F.col("first").alias("name"),
+    )
 
 
 def edge_contributions(facts: DataFrame, *extra: str) -> DataFrame:
     """One row per fact and relation whose two ends are present."""
-    return facts.select(*extra, "sentiment", "score", F.inline(_edge_array()))
+    carried = [*extra, "sentiment", "score"]
+    return _parts(facts, carried, range(NODE_KINDS, len(KINDS))).select(
+        *carried, _end(0, "first").alias("src"), _end(1, "second").alias("dst"),
+        _of_kind([k[2] for k in KINDS]).alias("rel"),
+    )
 
 
 def edge_contributions_joined(facts: DataFrame) -> DataFrame:
@@ -120,7 +151,7 @@ def edge_contributions_joined(facts: DataFrame) -> DataFrame:
     For entities that are stored as a table of their own.  The relations are a constant
     of seven rows.
     """
-    entities = facts.select("mention_id", "sentiment", "score", F.inline(_node_array()))
+    entities = node_contributions(facts, "mention_id")
     relations = facts.sparkSession.createDataFrame(
         RELATIONS, "label string, dst_label string, rel string"
     )
@@ -191,28 +222,30 @@ def with_sentiment(elements: DataFrame) -> DataFrame:
 
 
 def graph_elements(facts: DataFrame, *extra: str) -> DataFrame:
-    """Nodes (``dst`` null) and edges in one table, from one pass over facts."""
-    nodes = F.transform(
-        _node_array(),
-        lambda n: F.struct(
-            n["node_id"].alias("src"), n["label"].alias("label"), n["name"].alias("name"),
-            F.lit(None).cast("string").alias("dst"), F.lit(None).cast("string").alias("rel"),
-        ),
-    )
-    edges = F.transform(
-        _edge_array(),
-        lambda e: F.struct(
-            e["src"].alias("src"), F.lit(None).cast("string").alias("label"),
-            F.lit(None).cast("string").alias("name"), e["dst"].alias("dst"), e["rel"].alias("rel"),
-        ),
-    )
-    rows = facts.select(*extra, "sentiment", "score", F.inline(F.concat(nodes, edges)))
-    return rows.groupBy(*extra, "src", "label", "name", "dst", "rel").agg(
+    """Nodes (``dst`` null) and edges in one table, from one pass over facts.
+
+    Plain names are counted; ids are built for the elements that come out.
+    """
+    sentiment = F.col("sentiment")
+    sign = F.when(sentiment == POSITIVE, 1).when(sentiment == NEUTRAL, 0).when(sentiment == NEGATIVE, -1)
+    carried = {"_sign": sign, "_micros": F.round(F.col("score") * MILLION).cast("long")}
+    parts = _parts(facts.withColumns(carried), [*extra, *carried], range(len(KINDS)))
+    counted = parts.groupBy(*extra, "kind", "first", "second").agg(
         F.count("*").alias("weight"),
-        _count_class(POSITIVE).alias("pos"),
-        _count_class(NEUTRAL).alias("neu"),
-        _count_class(NEGATIVE).alias("neg"),
-        score_total().alias("score_sum"),
+        F.count_if(F.col("_sign") == 1).alias("pos"),
+        F.count_if(F.col("_sign") == 0).alias("neu"),
+        F.count_if(F.col("_sign") == -1).alias("neg"),
+        (F.sum("_micros") / MILLION).alias("score_sum"),
+    )
+    is_node = F.col("kind") < NODE_KINDS
+    return counted.select(
+        *extra,
+        _end(0, "first").alias("src"),
+        F.when(is_node, _of_kind([k[0] for k in KINDS])).alias("label"),
+        F.when(is_node, F.col("first")).alias("name"),
+        _end(1, "second").alias("dst"),
+        _of_kind([k[2] for k in KINDS]).alias("rel"),
+        *NODE_SUMS,
     )
 
 
