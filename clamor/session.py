@@ -6,6 +6,9 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+ROWS_PER_TASK = 200_000  # rows of an input that a task works on at most
 
 # SQL settings the operators rely on or profit from; all can change at runtime.
 SETTINGS = {
@@ -13,6 +16,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Written facts are narrow and exploded into many elements: small splits bound a task.
+    "spark.sql.files.maxPartitionBytes": "16m",
 }
 
 
@@ -55,11 +60,17 @@ def materialise(df: DataFrame) -> DataFrame:
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Use all cores for costly row work on an input with few splits.
+    """Use all cores for costly row work, in tasks of a bounded number of rows.
 
-    Large inputs have more splits than cores and are left alone.
+    A file has as many splits as its size tells, but rows come by row groups, so some
+    splits may be empty and others hold very many rows.  Inputs whose splits are enough
+    and hold few rows each are left alone.  Only row counts are read for this.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    counted = df.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n"))
+    size = counted.agg(F.sum("n").alias("rows"), F.max("n").alias("largest")).first()
+    rows, largest = size["rows"] or 0, size["largest"] or 0
+    even = largest <= ROWS_PER_TASK and largest * cores <= 2 * rows
+    if even and df.rdd.getNumPartitions() >= cores:
         return df
-    return df.repartition(cores, key)
+    return df.repartition(max(cores, -(-rows // ROWS_PER_TASK)), key)
