@@ -28,6 +28,7 @@ gives no rows.  Other columns are not read, whatever their names.
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -50,6 +51,8 @@ CALIBRATION = 200  # queries
 RECALL = 0.95  # of the calibration queries
 BLOCK = 4096  # vectors of a leaf searched at a time
 QUERY_BLOCK = 2048
+FIRST = 4  # leaves of the first round of visits
+WIDER = 16  # times the leaves so far that a round goes on to at most
 SEED = 20_771
 
 
@@ -351,8 +354,16 @@ def calibrate(
     return visits
 
 
+def round_ends(wide: int) -> list[int]:
+    """Visits after which each round of visits ends: every round is wider than all before
+    it together by the same factor, of WIDER at most."""
+    steps = max(0, math.ceil(math.log(wide / FIRST, WIDER)))
+    ends = [math.ceil(FIRST * (wide / FIRST) ** (n / steps)) for n in range(steps)]
+    return [*ends, wide]
+
+
 def visit_plan(queries: DataFrame, forest: Forest, visits: dict[int, int]) -> DataFrame:
-    """class, vector and each leaf that the query visits, and whether among the first."""
+    """class, vector and each leaf that the query visits, with the round it does so in."""
 
     def planned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -360,25 +371,26 @@ def visit_plan(queries: DataFrame, forest: Forest, visits: dict[int, int]) -> Da
                 tree = forest.of(size)
                 wide = visits.get(size, tree.leaves)
                 bins = [[(size << 32) + b for b in tree.best_bins(q, wide)] for q in data]
+                rounds = np.searchsorted(round_ends(wide), np.arange(wide), side="right")
                 at = pa.array(rows)
                 yield pa.record_batch(
                     [
                         batch.column("class").take(at), batch.column("vector").take(at),
                         pa.array(bins, pa.list_(pa.int64())),
-                        pa.array([int(np.ceil(np.sqrt(wide)))] * len(rows), pa.int32()),
+                        pa.array([rounds[: len(b)] for b in bins], pa.list_(pa.int32())),
                     ],
-                    names=["class", "vector", "leaves", "first"],
+                    names=["class", "vector", "leaves", "rounds"],
                 )
 
     kind = queries.schema["vector"].dataType.simpleString()
     # The queries are a small file, the walk is not small: a part for each shuffle partition.
     parts = int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     planned_rows = queries.repartition(parts, "class").mapInArrow(
-        planned, f"class long, vector {kind}, leaves array<long>, first int"
+        planned, f"class long, vector {kind}, leaves array<long>, rounds array<int>"
     )
     return planned_rows.select(
-        "class", "vector", "first", F.posexplode("leaves").alias("turn", "leaf")
-    ).select("class", "vector", "leaf", (F.col("turn") < F.col("first")).alias("early"))
+        "class", "vector", F.inline(F.arrays_zip(F.col("leaves").alias("leaf"), F.col("rounds").alias("round")))
+    )
 
 
 def search(
@@ -386,22 +398,29 @@ def search(
 ) -> DataFrame:
     """class, id, key, score: the k best of the visited leaves.
 
-    The first leaves of a query are searched before the others, which then add only
-    what is no worse than the k-th best of those.
+    The leaves of a query are searched in rounds.  Each adds only what is no worse than the
+    k-th best of those before it, so a query gets about k rows for every WIDER-fold of its
+    visits and not k for each of them.
     """
     plan = materialise(visit_plan(queries, forest, visits))
-    early = F.col("early")
     order = Window.partitionBy("class").orderBy(F.desc("score"), "id")
-
-    def best(rows: DataFrame) -> DataFrame:
-        return rows.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= k)
-
     none = F.lit(float("-inf"))
-    first = materialise(best(visit(plan.filter(early).withColumn("floor", none), placed, k)))
-    floors = first.filter(F.col("place") == k).select("class", F.col("score").alias("found"))
-    later = plan.filter(~early).join(floors, "class", "left")
-    later = materialise(later.withColumn("floor", F.coalesce("found", none)).drop("found"))
-    return best(first.drop("place").unionAll(visit(later, placed, k))).drop("place")
+    rounds = max(
+        [len(round_ends(visits.get(s, t.leaves))) for s, t in forest.trees.items()], default=1
+    )
+    found = None
+    for number in range(rounds):
+        now = plan.filter(F.col("round") == number).drop("round")
+        if found is None:
+            rows = visit(now.withColumn("floor", none), placed, k)
+        else:
+            floors = found.filter(F.col("place") == k).select("class", F.col("score").alias("found"))
+            now = now.join(floors, "class", "left").withColumn("floor", F.coalesce("found", none))
+            rows = found.drop("place").unionAll(visit(materialise(now.drop("found")), placed, k))
+        found = rows.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= k)
+        if number < rounds - 1:
+            found = materialise(found)
+    return found.drop("place")
 
 
 def visit(plan: DataFrame, placed: DataFrame, k: int) -> DataFrame:

@@ -69,6 +69,32 @@ def test_full_recall_is_exact_with_many_copies(spark, monkeypatch):
     assert all([r.vec_id for r in found[q]] == want[q] for q in hot)
 
 
+def test_rows_of_visits_do_not_grow_with_the_leaves(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "LEAF", 32)
+    counts, visit = [], neighbours.visit
+
+    def counted(plan, placed, k):
+        rows = neighbours.materialise(visit(plan, placed, k))
+        counts.append(rows.count())
+        return rows
+
+    monkeypatch.setattr(neighbours, "visit", counted)
+    data = np.random.default_rng(12).normal(size=(9000, 16)).astype(np.float32)
+    found = answers(nearest_neighbours(table(spark, data), F.col("id") % 90 == 0, recall=1.0))
+    want = brute(range(9000), data, range(0, 9000, 90), 20)
+    hits = sum(len({r.vec_id for r in found[q]} & set(want[q])) for q in want)
+    assert hits >= 0.99 * 20 * len(want)
+    # 21 rows for each leaf of the square root of the visits would be over 400 a query.
+    assert len(counts) == 3 and sum(counts) <= 250 * len(want)
+
+
+def test_rounds_end_with_the_last_visit():
+    for wide in (1, 2, 4, 5, 64, 65, 300, 70_000):
+        ends = neighbours.round_ends(wide)
+        assert ends == sorted(ends) and ends[-1] == wide and (wide <= 4 or ends[0] == 4)
+        assert all(b <= 16 * a + 1 for a, b in zip(ends, ends[1:]))
+
+
 def test_rows_that_take_no_part(spark):
     nan, inf = float("nan"), float("inf")
     data = [[1, 0], None, [0, 0], [nan, 1], [inf, 1], [None, 1], [], [1, 2, 3], [2, 0], [0, 1]]
