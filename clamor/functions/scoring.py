@@ -232,6 +232,44 @@ def clause_array(tokens: str, scored_only: bool = False) -> Column:
     )
 
 
+def clause_spans(tokens: str, breaks: str) -> Column:
+    """Tokens cut into clauses: array of (clause, depth, start, found).
+
+    ``breaks`` is the column of ``break_places``; ``start`` is the place of the first of the
+    ``found`` tokens.  The depths come from one mark for each break, cut at the contrast
+    words, so the cost is linear in the length of the text and no token is copied into text.
+    """
+    marks = F.array_join(
+        F.transform(
+            breaks, lambda i: F.when(lx.is_contrast(F.get(F.col(tokens), i)), "|").otherwise("/")
+        ),
+        "",
+    )
+    depths = F.flatten(
+        F.transform(
+            F.split(marks, r"\|"), lambda plain, depth: F.array_repeat(depth, F.length(plain) + 1)
+        )
+    )
+
+    def span(depth: Column, clause: Column) -> Column:
+        start = F.coalesce(F.get(F.col(breaks), clause - 1), F.lit(0))
+        end = F.coalesce(F.get(F.col(breaks), clause), F.size(tokens))
+        return F.struct(
+            clause.alias("clause"), depth.alias("depth"), start.alias("start"),
+            F.slice(tokens, start + 1, end - start).alias("found"),
+        )
+
+    return F.transform(depths, span)
+
+
+def break_places(tokens: str) -> Column:
+    """Places of the clause breaks in a token list."""
+    return F.expr(
+        f"filter(transform({tokens}, (t, i) -> CASE WHEN t {lx.in_list(lx.clause_breaks)} THEN i END), "
+        "i -> i IS NOT NULL)"
+    )
+
+
 def item_position(item: Column) -> Column:
     return F.substring_index(item, ":", 1).cast("int")
 

@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 from clamor.functions import lexicon as lx
 from clamor.functions.scoring import (
     CONTRAST_GAIN,
+    break_places,
     clause_array,
     clause_opinions,
+    clause_spans,
     gained,
     item_position,
     item_token,
@@ -61,17 +63,19 @@ def token_stats(df: DataFrame, keys: list[str], text: str = "text") -> DataFrame
 
 
 def clauses(df: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
-    """Clause number and contrast depth of every token."""
+    """Clause number and contrast depth of every token.
+
+    The outer forms keep Spark from testing the sizes of the lists beforehand, as in
+    ``token_rows``: it would build them again inside the test.
+    """
     return (
-        with_clauses(df, text)
-        .select(*keys, "clause", "depth", F.explode("items").alias("item"))
-        .select(
-            *keys,
-            item_position(F.col("item")).alias("pos"),
-            item_token(F.col("item")).alias("token"),
-            "clause",
-            "depth",
-        )
+        with_tokens(df, text, "_tokens")
+        .withColumn("_breaks", break_places("_tokens"))
+        .withColumn("_spans", clause_spans("_tokens", "_breaks"))
+        .select(*keys, F.inline_outer("_spans"))
+        .select(*keys, "clause", "depth", "start", F.posexplode_outer("found").alias("_place", "token"))
+        .where(F.col("token").isNotNull())
+        .select(*keys, (F.col("start") + F.col("_place")).alias("pos"), "token", "clause", "depth")
     )
 
 
