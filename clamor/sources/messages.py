@@ -44,9 +44,12 @@ def decode(rows: DataFrame, value: str = "value") -> DataFrame:
 
     The schema is fixed.  A malformed value gives nulls in every column, a
     field of the wrong type a null in that column.
+
+    The generator keeps Spark from moving later filters below the columns, where each
+    condition would parse the value once more.
     """
     parsed = F.from_json(F.col(value).cast("string"), MESSAGE)
-    return rows.select(parsed.alias("m")).select("m.*")
+    return rows.select(F.inline_outer(F.array(parsed)))
 
 
 def encode(messages: DataFrame) -> DataFrame:

@@ -72,7 +72,9 @@ class MentionStore:
         """All rows of a table with their run and batch; empty before the first."""
         schema = T.StructType.fromDDL(f"{TABLES[table]}, {PARTITION}")
         if not self.exists(self.path(table)):
-            return self.spark.createDataFrame([], schema)
+            # Without rows from Python, so that Spark knows it to be empty and plans no join.
+            nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
+            return self.spark.range(1).select(*nulls).where(F.lit(False))
         return self.spark.read.schema(schema).parquet(self.path(table))
 
     def read_batch(self, table: str, run_id: str, batch_id: int) -> DataFrame:

@@ -6,7 +6,9 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from clamor.operators import graph, mentions as mn, ordering, reports
+from clamor.functions import lexicon as lx
+from clamor.functions.text import with_tokens
+from clamor.operators import detail, graph, mentions as mn, ordering, reports
 from clamor.operators.session_graph import session_graph
 from clamor.plans import endpoints, fixtures as fx
 from clamor.schema import MESSAGE
@@ -294,3 +296,31 @@ def test_endpoints_and_views(spark):
     counted = spark.sql("SELECT sum(n) AS n FROM (SELECT source, platform, count(*) AS n FROM mentions GROUP BY ALL)")
     assert counted.first().n == stored
     assert spark.sql("SELECT total FROM kpis").first().total == stored
+
+
+def test_filters_parse_no_value_again(spark, tmp_path):
+    spark.createDataFrame([('{"mention_id":"a","text":"t"}',), ("{",), ("",), (None,)], "value string").write.text(
+        f"{tmp_path}/lines"
+    )
+    got = ms.decode(spark.read.text(f"{tmp_path}/lines"))
+    kept = mn.valid_rows(got).where("ts IS NULL")
+    assert kept._jdf.queryExecution().executedPlan().toString().count("from_json") == 1
+    assert [(r.mention_id, r.text) for r in kept.collect()] == [("a", "t")]
+    # A value without a message gives a row of nulls.
+    assert got.where("mention_id IS NULL AND text IS NULL AND hashtags IS NULL").count() == 3
+
+
+def test_clauses_of_texts_full_of_breaks(spark):
+    texts = ["", None, "bueno", ", , pero", "casa, rojo. pero verde: sin embargo, azul aunque", "pero " * 50 + "gato, " * 50]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    want = []
+    for r in with_tokens(df, "text").collect():
+        clause = depth = 0
+        for pos, token in enumerate(r.tokens or []):
+            clause += token in lx.clause_breaks
+            depth += token in lx.contrasts
+            want.append((r.i, pos, token, clause, depth))
+    found = detail.clauses(df, ["i"])
+    assert sorted(map(tuple, found.select("i", "pos", "token", "clause", "depth").collect())) == sorted(want)
+    # Tokens are neither written into text with their places nor read out of it again.
+    assert "substring_index" not in found._jdf.queryExecution().executedPlan().toString()

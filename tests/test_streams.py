@@ -178,3 +178,11 @@ def test_kpis_of_records_open_no_fact_file(spark):
     none = MentionStore(spark, work_folder(spark, "store"))
     assert endpoints.kpis(none, exact=False).first() == endpoints.kpis(none).first()
     assert endpoints.health(none, BRAND).first().mentions == 0
+
+
+def test_a_table_not_written_yet_is_known_to_be_empty(spark):
+    store = MentionStore(spark, work_folder(spark, "store"))
+    empty = store.read("mentions")
+    assert empty.count() == 0 and [f.name for f in empty.schema][-2:] == ["run_id", "batch_id"]
+    plan = empty._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.startswith("LocalRelation <empty>")
