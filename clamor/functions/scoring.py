@@ -27,6 +27,7 @@ SUPPORT_OPINIONS = 3
 MAX_KEYWORDS = 4
 
 BLOCK = 64  # modifiers whose product is taken at once
+FEW_CODES = 16  # codes that are cheaper to fold as they are than to thin out before
 
 POSITIVE, NEUTRAL, NEGATIVE = "POSITIVO", "NEUTRAL", "NEGATIVO"
 
@@ -53,11 +54,27 @@ def _token_codes() -> dict[str, int]:
     return codes
 
 
+def _codes_by_length() -> str:
+    """SQL expression: the token codes as one map for each length of a token, from 0.
+
+    A lookup scans its map, so it passes the tokens of one length only.
+    """
+    codes = _token_codes()
+    if not all(t.isascii() for t in codes):
+        raise ValueError("tokens are found by their bytes and must be ASCII")
+    maps = []
+    for length in range(max(map(len, codes)) + 1):
+        own = {t: code for t, code in codes.items() if len(t) == length}
+        maps.append(lx.map_of(own, "int") if own else "CAST(NULL AS map<string, int>)")
+    return f"array({', '.join(maps)})"
+
+
 def token_codes_sql(hits: str) -> str:
-    codes = lx.map_of(_token_codes(), "int")
+    """No token with a code starts like punctuation, so it is looked up first."""
     return (
-        f"transform({hits}, p -> CASE WHEN {is_punctuation('p')} THEN {BREAK_CODE} "
-        f"ELSE try_element_at({codes}, p) END)"
+        f"transform({hits}, p -> coalesce("
+        f"try_element_at(get({_codes_by_length()}, octet_length(p)), p), "
+        f"CASE WHEN {is_punctuation('p')} THEN {BREAK_CODE} END))"
     )
 
 
@@ -69,11 +86,12 @@ def token_codes(hits: str) -> Column:
 def without_idle_breaks(codes: str) -> Column:
     """Codes without breaks at the start or right after another plain break.
 
-    They change no state, and most scored pieces of a long text are such breaks.
+    They change no state, and most scored pieces of a long text are such breaks.  Short
+    lists keep them.
     """
     return F.expr(
-        f"filter({codes}, (c, i) -> c <> {BREAK_CODE} "
-        f"OR (i > 0 AND get({codes}, i - 1) <> {BREAK_CODE}))"
+        f"CASE WHEN size({codes}) <= {FEW_CODES} THEN {codes} ELSE filter({codes}, (c, i) -> "
+        f"c <> {BREAK_CODE} OR (i > 0 AND get({codes}, i - 1) <> {BREAK_CODE})) END"
     )
 
 
@@ -121,38 +139,28 @@ def raw_score(codes: Column) -> Column:
     """Sum of the scoped weights over an array of token codes.
 
     The sum is kept relative to the gain of the current depth: a contrast word
-    divides what came before.  It stays finite for any number of them.
+    divides what came before.  It stays finite for any number of them.  ``scale`` is the
+    product of the factors in scope, below zero behind a negator.  A code passes the
+    conditions up to its own role only, and copies what it leaves alone.
     """
-    start = F.struct(
-        F.lit(False).alias("negated"),
-        F.lit(1.0).alias("factor"),
-        F.lit(0).alias("depth"),
-        F.lit(0.0).alias("raw"),
-    )
 
-    def step(state: Column, code: Column) -> Column:
-        breaks, contrast = code >= BREAK_CODE, code == CONTRAST_CODE
-        sign = F.when(state["negated"], -1.0).otherwise(1.0)
-        weight = clamp(sign * (code / F.lit(100.0)) * state["factor"])
-        return F.struct(
-            F.when(breaks, False)
-            .otherwise(state["negated"] | (code == NEGATOR_CODE))
-            .alias("negated"),
-            F.when(breaks, 1.0)
-            .when(
-                code.between(FACTOR_BASE, NEGATOR_CODE - 1),
-                state["factor"] * ((code - FACTOR_BASE) / F.lit(100.0)),
-            )
-            .otherwise(state["factor"])
-            .alias("factor"),
-            F.when(contrast, state["depth"] + 1).otherwise(state["depth"]).alias("depth"),
-            F.when(contrast, state["raw"] / CONTRAST_GAIN)
-            .when(code < FACTOR_BASE, state["raw"] + weight)
-            .otherwise(state["raw"])
-            .alias("raw"),
+    def state(scale: Column, depth: Column, raw: Column) -> Column:
+        return F.struct(scale.alias("scale"), depth.alias("depth"), raw.alias("raw"))
+
+    def step(s: Column, code: Column) -> Column:
+        scale, depth, raw = s["scale"], s["depth"], s["raw"]
+        weight = clamp((code / F.lit(100.0)) * scale)
+        factor = (code - FACTOR_BASE) / F.lit(100.0)
+        return (
+            F.when(code < FACTOR_BASE, state(scale, depth, raw + weight))
+            .when(code == BREAK_CODE, state(F.lit(1.0), depth, raw))
+            .when(code == NEGATOR_CODE, state(-F.abs(scale), depth, raw))
+            .when(code == CONTRAST_CODE, state(F.lit(1.0), depth + 1, raw / CONTRAST_GAIN))
+            .otherwise(state(scale * factor, depth, raw))
         )
 
-    return F.aggregate(codes, start, step, lambda state: gained(state["raw"], state["depth"]))
+    start = state(F.lit(1.0), F.lit(0), F.lit(0.0))
+    return F.aggregate(codes, start, step, lambda s: gained(s["raw"], s["depth"]))
 
 
 def with_scores(df: DataFrame, text: str = "text") -> DataFrame:

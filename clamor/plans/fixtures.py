@@ -55,10 +55,15 @@ def phrase(index: str) -> str:
     return pick([text for text, _ in PHRASES], f"{index} % 20")
 
 
-def mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One mention per event."""
+def mentions(spark: SparkSession, sf_dir: str, even: bool = True) -> DataFrame:
+    """One mention per event.
+
+    Without ``even`` the events stay in the splits of their file, for cheap work on them.
+    """
     label = pick([label for _, label in PHRASES], "event_id % 20")
-    events = spread(table(spark, sf_dir, "events"), "event_id")
+    events = table(spark, sf_dir, "events")
+    if even:
+        events = spread(events, "event_id")
     return events.selectExpr(
         "concat('m', event_id) AS mention_id",
         "CAST(ts AS timestamp) AS ts",

@@ -336,7 +336,7 @@ def dated_store(spark: SparkSession, sf: str) -> MentionStore:
     mention, until one and a half days before it, and the rest."""
     store = MentionStore(spark, work_folder(spark, "store"))
     facts = mention_facts(fx.mentions(spark, sf), ("processed_at",))
-    newest = reports.latest(fx.mentions(spark, sf))
+    newest = reports.latest(fx.mentions(spark, sf, even=False))
     ten, few = (newest - F.expr(f"INTERVAL {hours} HOURS") for hours in (240, 36))
     ts = F.col("ts")
     for part in (ts < ten, (ts >= ten) & (ts < few), ts >= few):
@@ -347,12 +347,12 @@ def dated_store(spark: SparkSession, sf: str) -> MentionStore:
 
 def store_trend(spark, sf):
     """The trend of the last day; only the last batch is opened."""
-    now = reports.latest(fx.mentions(spark, sf))
+    now = reports.latest(fx.mentions(spark, sf, even=False))
     return as_text(endpoints.trend(dated_store(spark, sf), DAY, now))
 
 
 def store_minutes(spark, sf):
-    now = reports.latest(fx.mentions(spark, sf))
+    now = reports.latest(fx.mentions(spark, sf, even=False))
     return as_text(endpoints.minutes(dated_store(spark, sf), DAY, now))
 
 

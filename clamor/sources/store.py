@@ -159,24 +159,26 @@ class MentionStore:
         whose checkpoint is lost.  ``running`` names the run that goes on from its
         checkpoint: it repeats its last batch itself.  Only the partitions concerned are
         read, each replaces its own partition only, and the record comes last, so this
-        is safe to repeat.
+        is safe to repeat.  A run is worked on at a time, so the batch alone tells groups
+        apart.
         """
         keys = ("run_id", "batch_id")
 
         def stats(facts: DataFrame) -> DataFrame:
-            counted = reports.with_batch_accuracy(reports.batch_record(facts, keys))
+            counted = reports.with_batch_accuracy(reports.batch_record(facts, ("batch_id",)))
             return counted.na.fill(0).withColumn("brand", F.lit(brand))
 
         makers = {
-            "ids": lambda facts: facts.select("mention_id", *keys),
-            "buckets": lambda facts: reports.buckets(facts, *keys),
-            "graph": lambda facts: graph.graph_elements(facts, *keys),
+            "ids": lambda facts: facts.select("mention_id", "batch_id"),
+            "buckets": lambda facts: reports.buckets(facts, "batch_id"),
+            "graph": lambda facts: graph.graph_elements(facts, "batch_id"),
             "batch_stats": stats,
         }
         for table, make in makers.items():
             names = [*T.StructType.fromDDL(TABLES[table]).names, *keys]
             for run_id, numbers in self.lacking(table, running):
-                rows = make(self.rows_of("mentions", run_id, numbers)).select(*names)
+                made = make(self.rows_of("mentions", run_id, numbers))
+                rows = made.withColumn("run_id", F.lit(run_id)).select(*names)
                 rows.write.mode("overwrite").option(
                     "partitionOverwriteMode", "dynamic"
                 ).partitionBy(*keys).parquet(self.path(table))

@@ -1,10 +1,12 @@
+import random
+import re
 import time
 
 import pytest
 from pyspark.sql import functions as F
 
 import model
-from clamor.functions import lexicon as lx, sql
+from clamor.functions import lexicon as lx, scoring as sc, sql
 from clamor.functions.scoring import with_scores
 from clamor.operators import detail
 from clamor.plans.fixtures import PHRASES
@@ -200,3 +202,43 @@ def test_sql_functions_agree_with_the_operators(spark):
     assert sorted(map(tuple, found)) == sorted(map(tuple, ranked))
     rows = spark.sql("SELECT k, o.* FROM odd_texts, LATERAL mention_tokens(text) o").collect()
     assert sorted(map(tuple, rows)) == sorted(map(tuple, detail.token_rows(df, ["k"]).collect()))
+
+
+def test_a_token_is_looked_up_among_those_of_its_length(spark):
+    codes = sc._token_codes()
+    maps = re.findall(r"str_to_map\('([^']*)'", sc.token_codes_sql("hits"))
+    assert sum(m.count(",") + 1 for m in maps) == len(codes)
+    assert max(m.count(",") + 1 for m in maps) < len(codes) / 4
+    hits = [*codes, "...", "!", ",,", ";"]
+    df = spark.createDataFrame([(hits,), ([],), (["zzz", "b" * 100, ""],)], "hits array<string>")
+    found = [r.c for r in df.select(sc.token_codes("hits").alias("c")).collect()]
+    assert found == [[*codes.values(), *[sc.BREAK_CODE] * 4], [], [None] * 3]
+
+
+def folded(codes):
+    """The rule of the score, one code after the other."""
+    negated, factor, depth, raw = False, 1.0, 0, 0.0
+    for code in codes:
+        if code >= sc.BREAK_CODE:
+            negated, factor = False, 1.0
+            if code == sc.CONTRAST_CODE:
+                depth, raw = depth + 1, raw / sc.CONTRAST_GAIN
+        elif code == sc.NEGATOR_CODE:
+            negated = True
+        elif code >= sc.FACTOR_BASE:
+            factor *= (code - sc.FACTOR_BASE) / 100.0
+        else:
+            raw += max(-1.0, min(1.0, (-1.0 if negated else 1.0) * (code / 100.0) * factor))
+    return raw * sc.CONTRAST_GAIN**depth
+
+
+def test_lists_of_any_length_are_folded_by_the_rule(spark):
+    """Idle breaks are left out of long lists only; roles come in any order."""
+    rng = random.Random(5)
+    kinds = [sc.BREAK_CODE, sc.BREAK_CODE, sc.CONTRAST_CODE, sc.NEGATOR_CODE, 1145, 1050, 85, -72, 20]
+    lists = [[rng.choice(kinds) for _ in range(n)] for n in range(2 * sc.FEW_CODES + 2) for _ in range(8)]
+    df = spark.createDataFrame(list(enumerate(lists)), "i int, codes array<int>")
+    thin = df.withColumn("thin", sc.without_idle_breaks("codes"))
+    for r in thin.withColumn("raw", sc.raw_score(F.col("thin"))).collect():
+        assert r.raw == pytest.approx(folded(lists[r.i]), rel=1e-12, abs=1e-12)
+        assert len(lists[r.i]) > sc.FEW_CODES or r.thin == lists[r.i]

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from clamor.operators import graph, mentions as mn, reports
 from clamor.plans import endpoints, fixtures as fx
-from clamor.plans.stream_queries import BRAND, dated_store, late_runs
+from clamor.plans.stream_queries import BRAND, dated_store, late_runs, store_trend
 from clamor.session import work_folder
 from clamor.sources.messages import file_stream, write_files
 from clamor.sources.store import MentionStore
@@ -186,3 +186,38 @@ def test_a_table_not_written_yet_is_known_to_be_empty(spark):
     assert empty.count() == 0 and [f.name for f in empty.schema][-2:] == ["run_id", "batch_id"]
     plan = empty._jdf.queryExecution().optimizedPlan().toString()
     assert plan.startswith("LocalRelation <empty>")
+
+
+def test_events_are_spread_for_scoring_only(spark, monkeypatch):
+    """The newest time of a dated store comes from the events as they lie."""
+    spread, dealt = fx.spread, []
+
+    def watched(df, key):
+        dealt.append(key)
+        return spread(df, key)
+
+    monkeypatch.setattr(fx, "spread", watched)
+    assert store_trend(spark, SF).count() > 0
+    assert dealt == ["event_id"]
+    as_they_lie = fx.mentions(spark, SF, even=False)
+    assert dealt == ["event_id"] and rows(as_they_lie) == rows(fx.mentions(spark, SF))
+
+
+def test_ledgers_of_two_runs_with_equal_batch_numbers(spark):
+    """Groups are told apart by batch alone, as each run is worked on by itself."""
+    facts = mn.mention_facts(fx.mentions(spark, SF).limit(60), ("processed_at",)).localCheckpoint()
+    store = MentionStore(spark, work_folder(spark, "store"))
+    for run, own in (("a", F.col("brand") == BRAND), ("b", F.col("brand") != BRAND)):
+        store.write_batch("mentions", facts.where(own), run, 0)
+        store.write_batch("mentions", facts.where(own & (F.col("likes") % 2 == 0)), run, 1)
+    store.rebuild_ledgers(BRAND)
+    keys = ["run_id", "batch_id"]
+    stored = store.read("mentions")
+    want = stored.groupBy(*keys).count()
+    assert rows(store.read("ids").groupBy(*keys).count()) == rows(want)
+    assert rows(store.read("batch_stats").select(*keys, F.col("messages").alias("count"))) == rows(want)
+    assert rows(store.read("buckets").select("bucket", "sentiment", "mentions", *keys)) == rows(
+        reports.buckets(stored, *keys).select("bucket", "sentiment", "mentions", *keys)
+    )
+    names = store.read("graph").columns
+    assert rows(store.read("graph")) == rows(graph.graph_elements(stored, *keys).select(*names))
