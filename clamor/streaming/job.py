@@ -28,11 +28,15 @@ SUMMARY = [
 ]
 
 # Keeps large streaming state on local disk of the executors, backed by the
-# checkpoint, instead of on their heap.
+# checkpoint, instead of on their heap.  What its tables hold in memory is bounded for
+# each executor, not for each of them, and a batch adds only what it changed to the
+# checkpoint.
 STATE_SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
@@ -103,9 +107,10 @@ def start(
     Without ``trigger_seconds`` the query works off what is there and ends.  Copies that
     come within ``delay`` of each other are dropped by the state of the stream, and so are
     messages later than that (``late_rows`` counts them); ids that are stored already are
-    left out exactly, behind it.
+    left out exactly, behind it.  The session of ``values`` gets the settings of that state.
     """
     spark = values.sparkSession
+    use_state_settings(spark)
     store = MentionStore(spark, root)
     ledgers_whole = True
     try:
@@ -149,26 +154,25 @@ def use_state_settings(spark: SparkSession) -> None:
         spark.conf.set(key, value)
 
 
-def unique_stream(messages: DataFrame, delay: str = "1 hour") -> DataFrame:
+def unique_stream(messages: DataFrame, delay: str = "1 hour", *apart: str) -> DataFrame:
     """First copy of each mention as long as copies lie within ``delay``.
 
-    A first pass drops copies per input partition, so that an id with very
-    many copies is spread over as many tasks before one task sees it.
+    An id is one entry of state and each message is shuffled once; a first pass per input
+    partition would keep every id twice.  Columns named in ``apart`` are part of the key.
     """
-    return (
-        messages.withWatermark("ts", delay)
-        .withColumn("_part", F.spark_partition_id())
-        .dropDuplicatesWithinWatermark(["mention_id", "_part"])
-        .drop("_part")
-        .dropDuplicatesWithinWatermark(["mention_id"])
+    return messages.withWatermark("ts", delay).dropDuplicatesWithinWatermark(
+        ["mention_id", *apart]
     )
 
 
 def first_copies(messages: DataFrame, delay: str) -> DataFrame:
     """``unique_stream`` of the messages with a time; those without one, which will be
-    rejected, pass by it, as they would count as late."""
-    timed = unique_stream(messages.where(F.col("ts").isNotNull()), delay)
-    return timed.unionByName(messages.where(F.col("ts").isNull()))
+    rejected, all pass, as each has a key of its own.
+
+    A union of the two would read and parse every message once more.
+    """
+    own = F.when(F.col("ts").isNull(), F.expr("uuid()"))
+    return unique_stream(messages.withColumn("_own", own), delay, "_own").drop("_own")
 
 
 def late_rows(query: StreamingQuery) -> int:

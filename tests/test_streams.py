@@ -1,13 +1,17 @@
 """What the state of the job, its ledgers and its graph base do between batches."""
 
+import json
+import uuid
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
 from clamor.operators import graph, mentions as mn, reports
 from clamor.plans import endpoints, fixtures as fx
 from clamor.plans.stream_queries import BRAND, dated_store, late_runs, store_trend
-from clamor.session import work_folder
-from clamor.sources.messages import file_stream, write_files
+from clamor.session import configure, work_folder
+from clamor.sources.messages import decode, file_stream, write_files
 from clamor.sources.store import MentionStore
 from clamor.streaming import job
 from conftest import SF
@@ -221,3 +225,65 @@ def test_ledgers_of_two_runs_with_equal_batch_numbers(spark):
     )
     names = store.read("graph").columns
     assert rows(store.read("graph")) == rows(graph.graph_elements(stored, *keys).select(*names))
+
+
+def wire(folder, *rows):
+    """A JSON-lines file of (id, time, author)."""
+    lines = [
+        json.dumps({"mention_id": i, "ts": ts, "text": "bueno", "author": author, "brand": BRAND, "platform": "p"})
+        for i, ts, author in rows
+    ]
+    Path(folder).mkdir(parents=True, exist_ok=True)
+    (Path(folder) / f"{uuid.uuid4().hex}.json").write_text("\n".join(lines) + "\n")
+
+
+def test_messages_without_a_time_pass_by_the_state(spark):
+    """Each of them is rejected, however many copies and whatever the watermark is, and
+    none takes the place of a message with a time."""
+    folder, root = work_folder(spark, "messages"), work_folder(spark, "store")
+    checkpoint = work_folder(spark, "checkpoint")
+    late = []
+    for given in (
+        [("a", None, "x"), ("a", None, "x"), ("b", "2024-03-09T00:00:00Z", "x"), ("c", "2024-03-09T00:00:00Z", None)],
+        [("a", "2024-03-09T00:00:00Z", "x"), ("a", "2024-03-09T00:00:00Z", "x"), ("b", None, "x")],
+        # The watermark is beyond the first time; "c" was rejected and its copy is dropped.
+        [("b", None, "x"), ("c", "2024-03-09T00:00:00Z", "x"), ("d", "2024-03-01T00:00:00Z", "x")],
+    ):
+        wire(folder, *given)
+        query = job.start(file_stream(spark, folder, 100), root, checkpoint, BRAND, None, "1 day")
+        query.awaitTermination()
+        late.append(job.late_rows(query))
+    store = MentionStore(spark, root)
+    assert sorted(r.mention_id for r in store.read("mentions").collect()) == ["a", "b"]
+    rejected = sorted((r.mention_id, r.reason) for r in store.read("rejects").collect())
+    assert rejected == [("a", "ts missing")] * 2 + [("b", "ts missing")] * 2 + [("c", "author missing")]
+    assert late == [0, 0, 1]
+
+
+def test_the_job_keeps_one_state_on_disk_and_parses_once(spark):
+    """State of the heap and two passes over the ids ended in a heap that was too small."""
+    own = configure(spark.newSession())
+    folder, root = work_folder(spark, "messages"), work_folder(spark, "store")
+    wire(folder, ("a", "2024-03-09T00:00:00Z", "x"), ("a", "2024-03-09T00:00:00Z", "x"))
+    query = job.start(
+        file_stream(own, folder, 100), root, work_folder(spark, "checkpoint"), BRAND, None, "1 day"
+    )
+    query.awaitTermination()
+    states = next(p for p in query.recentProgress if p.numInputRows).stateOperators
+    assert len(states) == 1 and states[0].numRowsTotal == 1
+    assert any(name.startswith("rocksdb") for name in states[0].customMetrics)
+    plan = query._jsq.explainInternal(True)
+    assert plan.split("== Physical Plan ==")[-1].count("from_json(") == 1
+
+
+def test_live_streams_tell_timeless_messages_by_id(spark):
+    """The key of its own is that of the job only."""
+    own = configure(spark.newSession())
+    folder, out = work_folder(spark, "messages"), work_folder(spark, "table")
+    wire(folder, ("a", None, "x"), ("a", None, "x"), ("b", "2024-03-09T00:00:00Z", "x"))
+    unique = job.unique_stream(decode(file_stream(own, folder, 100)), "1 day")
+    query = unique.writeStream.format("parquet").option(
+        "checkpointLocation", work_folder(spark, "checkpoint")
+    ).trigger(availableNow=True).start(out)
+    query.awaitTermination()
+    assert sorted(r.mention_id for r in spark.read.parquet(out).collect()) == ["a", "b"]
